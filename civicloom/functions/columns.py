@@ -15,12 +15,6 @@ def timestamp_literal(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def lookup(mapping: dict[str, object], key: Column) -> Column:
-    """Value of ``key`` in a literal map, NULL when it is not there."""
-    flat = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.try_element_at(F.create_map(*flat), key)
-
-
 def round_half_away(value: Column, digits: int) -> Column:
     """Binary rounding, halves away from zero.
 

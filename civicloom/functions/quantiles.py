@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,6 +25,30 @@ def numeric_value(column: Column) -> Column:
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
+@dataclass(frozen=True)
+class Bounds:
+    """Number, smallest and largest of a column's values; NULL and NaN are not values."""
+
+    count: int
+    low: float | None
+    high: float | None
+
+
+def column_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, Bounds]:
+    """Bounds of several columns from one scan."""
+    if not columns:
+        return {}
+    measures = {"n": F.count, "low": F.min, "high": F.max}
+    row = df.agg(
+        *[
+            f(numeric_value(F.col(f"`{c}`"))).alias(f"{name}{i}")
+            for i, c in enumerate(columns)
+            for name, f in measures.items()
+        ]
+    ).first()
+    return {c: Bounds(*[row[f"{name}{i}"] for name in measures]) for i, c in enumerate(columns)}
+
+
 @dataclass(frozen=True)
 class _Interval:
     """Values of one column in [low, high]; ``below`` counts the values under it."""
@@ -45,6 +70,12 @@ def _squash_number(value: float) -> float:
 
 def _bin(value: Column, interval: _Interval) -> Column:
     """Bin number; it never decreases as the value grows."""
+    if not (math.isfinite(interval.low) and math.isfinite(interval.high)):
+        # Infinities get the outermost bins to themselves; finite doubles squash into +-710.
+        place = F.floor((_squash(value) + 710.0) / 1420.0 * (BINS - 2)) + 1
+        return (
+            F.when(value == math.inf, BINS - 1).when(value == -math.inf, 0).otherwise(place).cast("int")
+        )
     wide = interval.high - interval.low
     if math.isfinite(wide) and (interval.low == 0 or wide <= 1e3 * abs(interval.low)):
         low, span, mapped = interval.low, wide, value
@@ -60,28 +91,31 @@ def _bin(value: Column, interval: _Interval) -> Column:
 def _narrow(
     df: DataFrame, wanted: dict[_Interval, set[int]]
 ) -> dict[_Interval, dict[int, _Interval]]:
-    """One pass over the data: where inside each interval does each rank lie?"""
+    """One pass over the data: where inside each interval does each rank lie?
+
+    The range test is on the bare column, so that a scan can skip what lies outside.
+    """
     intervals = list(wanted)
+    inside = [F.col(f"`{i.column}`").between(F.lit(i.low), F.lit(i.high)) for i in intervals]
     entries = []
-    for i, interval in enumerate(intervals):
-        value = numeric_value(F.col(f"`{interval.column}`"))
-        inside = value.between(F.lit(interval.low), F.lit(interval.high))
-        entries.append(
-            F.when(
-                inside,
-                F.struct(F.lit(i).alias("interval"), _bin(value, interval).alias("bin"), value.alias("v")),
-            )
+    for number, interval in enumerate(intervals):
+        value = F.col(f"`{interval.column}`").cast("double")
+        entry = F.struct(
+            F.lit(number).alias("interval"), _bin(value, interval).alias("bin"), value.alias("v")
         )
-    hits = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.*")
+        entries.append(F.when(inside[number], entry))
+    candidates = df.filter(reduce(lambda a, b: a | b, inside))
+    hits = candidates.select(
+        F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")
+    ).select("e.*")
     bins = (
         hits.groupBy("interval", "bin")
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .orderBy("interval", "bin")
         .collect()  # at most BINS rows per interval
     )
     found: dict[_Interval, dict[int, _Interval]] = {interval: {} for interval in intervals}
     below = {i: interval.below for i, interval in enumerate(intervals)}
-    for row in bins:
+    for row in sorted(bins, key=lambda b: (b.interval, b.bin)):
         interval = intervals[row.interval]
         start = below[row.interval]
         for rank in wanted[interval]:
@@ -91,28 +125,20 @@ def _narrow(
     return found
 
 
-def values_at_ranks(df: DataFrame, ranks: dict[str, set[int]]) -> dict[tuple[str, int], float]:
-    """The value at each zero-based ascending rank of each column (NULL and NaN left out)."""
-    columns = [c for c, wanted in ranks.items() if wanted]
-    if not columns:
-        return {}
-    bounds = df.agg(
-        *[
-            f(numeric_value(F.col(f"`{c}`"))).alias(f"{name}_{i}")
-            for i, c in enumerate(columns)
-            for name, f in (("low", F.min), ("high", F.max))
-        ]
-    ).first()
-    open_ranks: dict[tuple[str, int], _Interval] = {}
-    for i, c in enumerate(columns):
-        for rank in ranks[c]:
-            open_ranks[c, rank] = _Interval(c, bounds[f"low_{i}"], bounds[f"high_{i}"], 0)
+def values_at_ranks(
+    df: DataFrame, bounds: dict[str, Bounds], ranks: dict[str, set[int]]
+) -> dict[tuple[str, int], float]:
+    """The value at each zero-based ascending rank of each column."""
+    open_ranks = {
+        (c, rank): _Interval(c, bounds[c].low, bounds[c].high, 0)
+        for c, wanted in ranks.items()
+        for rank in wanted
+    }
     values: dict[tuple[str, int], float] = {}
     while open_ranks:
-        for key, interval in list(open_ranks.items()):
-            if interval.low == interval.high:
-                values[key] = interval.low
-                del open_ranks[key]
+        settled = {key: iv.low for key, iv in open_ranks.items() if iv.low == iv.high}
+        values.update(settled)
+        open_ranks = {key: iv for key, iv in open_ranks.items() if key not in settled}
         wanted: dict[_Interval, set[int]] = {}
         for (_, rank), interval in open_ranks.items():
             wanted.setdefault(interval, set()).add(rank)
@@ -123,18 +149,19 @@ def values_at_ranks(df: DataFrame, ranks: dict[str, set[int]]) -> dict[tuple[str
 
 
 def exact_quantiles(
-    df: DataFrame, counts: dict[str, int], probabilities: Sequence[float]
+    df: DataFrame, bounds: dict[str, Bounds], probabilities: Sequence[float]
 ) -> dict[tuple[str, float], float]:
     """Quantiles with linear interpolation between neighbours.
 
-    ``counts`` holds the number of values of each column; columns without values are
-    left out of the result.
+    Columns without values are left out of the result.
     """
-    position = {(c, p): (n - 1) * p for c, n in counts.items() if n > 0 for p in probabilities}
+    position = {
+        (c, p): (b.count - 1) * p for c, b in bounds.items() if b.count > 0 for p in probabilities
+    }
     ranks: dict[str, set[int]] = {}
     for (c, _), place in position.items():
         ranks.setdefault(c, set()).update((math.floor(place), math.ceil(place)))
-    values = values_at_ranks(df, ranks)
+    values = values_at_ranks(df, bounds, ranks)
     result = {}
     for (c, p), place in position.items():
         low, high = values[c, math.floor(place)], values[c, math.ceil(place)]
@@ -142,25 +169,32 @@ def exact_quantiles(
     return result
 
 
-def grouped_median(df: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, median) per group, exact.
+def grouped_summary(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, count, mean, median, min, max) per group, the median exact.
 
     Equal values are counted before anything is ordered, so what a group sorts is its
     distinct values, with disk to spill to, instead of a map of them in memory.
     """
     cells = (
         df.select(key, numeric_value(F.col(value)).alias("_v"))
-        .filter(F.col("_v").isNotNull())
         .groupBy(key, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    number = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
     spec = Window.partitionBy(key)
-    running = cells.withColumn("_upto", F.sum("_n").over(spec.orderBy("_v"))).withColumn(
-        "_all", F.sum("_n").over(spec)
-    )
+    running = cells.withColumn(
+        "_upto", F.sum(number).over(spec.orderBy(F.col("_v").asc_nulls_last()))
+    ).withColumn("_all", F.sum(number).over(spec))
     half = (F.col("_all") - 1) / 2.0
-    low, high = F.floor(half), F.ceil(half)
-    covers = [(F.col("_upto") - F.col("_n") <= r) & (r < F.col("_upto")) for r in (low, high)]
+
+    def at(rank: Column) -> Column:
+        covers = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+        return F.max(F.when(covers, F.col("_v")))
+
     return running.groupBy(key).agg(
-        ((F.max(F.when(covers[0], F.col("_v"))) + F.max(F.when(covers[1], F.col("_v")))) / 2).alias("median")
+        F.sum(number).alias("count"),
+        (F.sum(F.col("_v") * F.col("_n")) / F.nullif(F.sum(number), F.lit(0))).alias("mean"),
+        ((at(F.floor(half)) + at(F.ceil(half))) / 2).alias("median"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
     )

@@ -10,7 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from civicloom import rules
 from civicloom.functions.columns import count_where, timestamp_literal
-from civicloom.functions.quantiles import exact_quantiles, grouped_median, numeric_value, values_at_ranks
+from civicloom.functions.quantiles import (
+    column_bounds,
+    exact_quantiles,
+    grouped_summary,
+    numeric_value,
+    values_at_ranks,
+)
 from civicloom.functions.windows import global_rank
 
 _KEY = "row_key"
@@ -97,11 +103,10 @@ def iqr_anomalies(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     columns = [c for c in numeric_columns(df) if c not in keys]
     if not columns:
         return _empty(df, _IQR_SCHEMA)
-    sizes = df.agg(*[F.count(numeric_value(F.col(f"`{c}`"))).alias(c) for c in columns]).first()
-    counts = {c: sizes[c] for c in columns if sizes[c] >= rules.MIN_VALUES}
-    quartiles = exact_quantiles(df, counts, (0.25, 0.75))
+    bounds = {c: b for c, b in column_bounds(df, columns).items() if b.count >= rules.MIN_VALUES}
+    quartiles = exact_quantiles(df, bounds, (0.25, 0.75))
     fences = {}
-    for c in counts:
+    for c in bounds:
         q1, q3 = quartiles[c, 0.25], quartiles[c, 0.75]
         if q3 > q1:
             reach = rules.IQR_FENCE * (q3 - q1)
@@ -189,18 +194,9 @@ def detect_columns(df: DataFrame) -> dict[str, str | None]:
     score = named(rules.SCORE_COLUMNS)
     numeric = numeric_columns(df)
     if score is None and numeric:
-        low_high = df.agg(
-            *[
-                f(numeric_value(F.col(f"`{c}`"))).alias(f"{tag}{i}")
-                for i, c in enumerate(numeric)
-                for tag, f in (("low", F.min), ("high", F.max))
-            ]
-        ).first()
-        for i, c in enumerate(numeric):
-            low, high = low_high[f"low{i}"], low_high[f"high{i}"]
-            if low is not None and low >= 0 and high <= 100:
-                score = c
-                break
+        bounds = column_bounds(df, numeric)
+        in_range = [c for c in numeric if bounds[c].count and bounds[c].low >= 0 and bounds[c].high <= 100]
+        score = in_range[0] if in_range else None
     return {
         "score": score,
         "address": named(rules.ADDRESS_COLUMNS),
@@ -215,8 +211,7 @@ def profile_score(df: DataFrame, score: str, address: str | None = None) -> Data
     All rows without an address count as one address.
     """
     value = numeric_value(F.col(score))
-    size = df.agg(F.count(value).alias(score)).first()[0]
-    at = exact_quantiles(df, {score: size}, (0.5, 0.95, 0.99))
+    at = exact_quantiles(df, column_bounds(df, [score]), (0.5, 0.95, 0.99))
     if address is None:
         repeated = F.lit(None).cast("bigint")
     else:
@@ -248,15 +243,7 @@ def score_warnings(profile: DataFrame) -> DataFrame:
 
 def score_by(df: DataFrame, key: str, score: str) -> DataFrame:
     """Count, mean, exact median, minimum and maximum per key; rows without a key are left out."""
-    keyed = df.filter(F.col(key).isNotNull())
-    value = numeric_value(F.col(score))
-    measures = keyed.groupBy(key).agg(
-        F.count(value).alias("count"), F.avg(value).alias("mean"),
-        F.min(value).alias("min"), F.max(value).alias("max"),
-    )
-    return measures.join(grouped_median(keyed, key, score), key, "left").select(
-        key, "count", "mean", "median", "min", "max"
-    )
+    return grouped_summary(df.filter(F.col(key).isNotNull()), key, score)
 
 
 def top_share(
@@ -273,7 +260,8 @@ def top_share(
     keep = max(floor, int(total * share)) if total else 0
     candidates = df
     if 0 < keep <= scored:
-        cut = values_at_ranks(df, {score: {scored - keep}})[score, scored - keep]
+        place = scored - keep
+        cut = values_at_ranks(df, column_bounds(df, [score]), {score: {place}})[score, place]
         candidates = df.filter(value >= cut)
     order = [F.col(score).desc_nulls_last(), *ties]
     return global_rank(candidates, order, "score_rank").filter(F.col("score_rank") <= keep)

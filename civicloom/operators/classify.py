@@ -5,17 +5,13 @@ Everything here is column arithmetic on one row: no join, no shuffle, no Python
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civicloom import rules
-from civicloom.functions.columns import lookup, round_half_away
-
-_SEVERITY = {name: rules.SEVERITIES.index(rule[0]) for name, rule in rules.DEFECT_RULES.items()}
-_QUARANTINE = {name: rule[1] for name, rule in rules.DEFECT_RULES.items()}
-_RECOVER = {name: rule[2] for name, rule in rules.DEFECT_RULES.items()}
-
+from civicloom.functions.columns import round_half_away
 
 def defect_rules(spark: SparkSession) -> DataFrame:
     rows = [(name, *rule) for name, rule in rules.DEFECT_RULES.items()]
@@ -37,36 +33,56 @@ def defect_score(codes: Column) -> Column:
     known = F.filter(codes, lambda c: c.isin(listed))
     unknown = F.filter(codes, lambda c: ~c.isin(listed))
     none_known = F.size(known) == 0
-    severity_of_unknown, quarantine_of_unknown, score_of_unknown = rules.UNKNOWN_DEFECT
-    worst = F.get(
-        F.array(*map(F.lit, rules.SEVERITIES)),
-        F.array_max(F.transform(known, lambda c: lookup(_SEVERITY, c))),
-    )
+    of_unknown = rules.UNKNOWN_DEFECT
     clean = F.size(codes) == 0
+    severity, quarantine, score = _worst({c: F.array_contains(codes, c) for c in listed})
     return F.struct(
-        F.when(clean, "info").when(none_known, severity_of_unknown).otherwise(worst).alias("severity"),
+        F.when(clean, "info").when(none_known, of_unknown[0]).otherwise(severity).alias("severity"),
         F.when(clean, False)
-        .when(none_known, quarantine_of_unknown)
-        .otherwise((F.size(unknown) > 0) | F.exists(known, lambda c: lookup(_QUARANTINE, c)))
+        .when(none_known, of_unknown[1])
+        .otherwise((F.size(unknown) > 0) | quarantine)
         .alias("quarantine_flag"),
-        F.when(clean, 1.0)
-        .when(none_known, score_of_unknown)
-        .otherwise(F.array_min(F.transform(known, lambda c: lookup(_RECOVER, c))))
-        .alias("recoverability_score"),
+        F.when(clean, 1.0).when(none_known, of_unknown[2]).otherwise(score).alias("recoverability_score"),
         F.concat(known, unknown).alias("reason_codes"),
         unknown.alias("unknown_defects"),
     )
 
 
+def _worst(present: Mapping[str, Column]) -> tuple[Column, Column, Column]:
+    """(worst severity, any quarantine, lowest recoverability) of the defects present.
+
+    Without any defect these are info, false and 1.
+    """
+    def of(pick: Callable[[tuple], bool]) -> Column:
+        tests = [present[c] for c in present if pick(rules.DEFECT_RULES[c])]
+        return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False)) if tests else F.lit(False)
+
+    severity = F.lit(rules.SEVERITIES[0])
+    for name in rules.SEVERITIES[1:]:
+        severity = F.when(of(lambda rule, name=name: rule[0] == name), name).otherwise(severity)
+    score = F.lit(1.0)
+    for value in sorted({rules.DEFECT_RULES[c][2] for c in present}, reverse=True):
+        score = F.when(of(lambda rule, value=value: rule[2] == value), value).otherwise(score)
+    return severity, of(lambda rule: rule[1]), score
+
+
 def score_defects(df: DataFrame, codes_col: str) -> DataFrame:
     return df.withColumn("_score", defect_score(F.col(codes_col))).select("*", "_score.*").drop("_score")
 
 
 def recoverability(codes: Column) -> Column:
-    scores = F.transform(
-        codes, lambda c: F.coalesce(lookup(rules.RECOVERABILITY, c), F.lit(rules.UNKNOWN_RECOVERABILITY))
-    )
-    return F.coalesce(F.array_min(scores), F.lit(1.0))
+    codes = F.coalesce(codes, F.array().cast("array<string>"))
+    groups: dict[float, Column] = {}
+    for code, value in rules.RECOVERABILITY.items():
+        found = F.array_contains(codes, code)
+        groups[value] = groups[value] | found if value in groups else found
+    other = F.exists(codes, lambda c: ~c.isin(list(rules.RECOVERABILITY)))
+    unlisted = rules.UNKNOWN_RECOVERABILITY
+    groups[unlisted] = groups[unlisted] | other if unlisted in groups else other
+    score = F.lit(1.0)
+    for value in sorted(groups, reverse=True):
+        score = F.when(groups[value], value).otherwise(score)
+    return score
 
 
 def score_recoverability(df: DataFrame, codes_col: str) -> DataFrame:
@@ -87,8 +103,8 @@ def _first_filled(df: DataFrame, names: Sequence[str]) -> Column:
     return F.coalesce(*[F.nullif(_column(df, n), F.lit("")) for n in names])
 
 
-def derive_defects(df: DataFrame, domain: str) -> Column:
-    """The defects of a record, in a fixed order; one code may occur twice."""
+def defect_tests(df: DataFrame, domain: str) -> list[tuple[Column, str]]:
+    """The tests of a domain and the defect each one finds, in order; a defect may have two."""
     tests: list[tuple[Column, str]] = []
     if domain in rules.STATUS_REQUIRED:
         tests.append((_column(df, "validation_status").isNull(), "null_validation_status"))
@@ -109,8 +125,12 @@ def derive_defects(df: DataFrame, domain: str) -> Column:
             ),
             (F.coalesce(outside, F.lit(False)) | unreadable, "duration_outlier"),
         ]
-    found = F.array(*[F.when(test, code) for test, code in tests])
-    return F.filter(found, lambda code: code.isNotNull())
+    return tests
+
+
+def derive_defects(df: DataFrame, domain: str) -> Column:
+    """The list of a record's defects."""
+    return F.array_compact(F.array(*[F.when(test, code) for test, code in defect_tests(df, domain)]))
 
 
 def classify(df: DataFrame, domain: str = "unknown") -> DataFrame:
@@ -118,24 +138,35 @@ def classify(df: DataFrame, domain: str = "unknown") -> DataFrame:
 
     A medium defect that does not demand quarantine leaves the record valid.
     """
-    scored = df.select(
+    tests = defect_tests(df, domain)
+    flagged = df.select(
         _first_filled(df, ["record_id", "complaint_id", "route_key", "id", "index"]).alias("record_id"),
         F.coalesce(_first_filled(df, ["source_system", "source"]), F.lit(domain)).alias("source_system"),
         F.lit(domain).alias("domain"),
-        derive_defects(df, domain).alias("_codes"),
-    ).withColumn("_s", defect_score(F.col("_codes")))
-    severity = F.col("_s.severity")
+        *[F.when(test, code).alias(f"_d{i}") for i, (test, code) in enumerate(tests)],
+    )
+    found = [F.col(f"_d{i}") for i in range(len(tests))]
+    present: dict[str, Column] = {}
+    for column, (_, code) in zip(found, tests):
+        hit = column.isNotNull()
+        present[code] = present[code] | hit if code in present else hit
+    severity, quarantine, score = _worst(present)
+    scored = flagged.select(
+        "record_id", "source_system", "domain",
+        F.concat_ws(",", *found).alias("defect_type"),
+        severity.alias("severity"), quarantine.alias("quarantine_flag"),
+        score.alias("recoverability_score"),
+        F.array_compact(F.array(*found)).alias("reason_codes"),
+    )
     status = (
-        F.when(severity == "blocking", "invalid")
-        .when(F.col("_s.quarantine_flag") & severity.isin("high", "medium"), "quarantine_candidate")
-        .when(severity == "low", "pending")
+        F.when(F.col("severity") == "blocking", "invalid")
+        .when(F.col("quarantine_flag") & F.col("severity").isin("high", "medium"), "quarantine_candidate")
+        .when(F.col("severity") == "low", "pending")
         .otherwise("valid")
     )
     return scored.select(
-        "record_id", "source_system", "domain",
-        status.alias("validation_status"),
-        F.array_join("_s.reason_codes", ",").alias("defect_type"),
-        "_s.severity", "_s.quarantine_flag", "_s.recoverability_score", "_s.reason_codes",
+        "record_id", "source_system", "domain", status.alias("validation_status"), "defect_type",
+        "severity", "quarantine_flag", "recoverability_score", "reason_codes",
     )
 
 

@@ -13,7 +13,6 @@ from civicloom.functions.columns import (
     clean_upper,
     count_where,
     full_address,
-    has_text,
     neighborhood_quality,
     normalize_address,
     percent_of,
@@ -22,7 +21,8 @@ from civicloom.functions.columns import (
     round_half_away,
     timestamp_literal,
 )
-from civicloom.functions.windows import rank_by_level, top_value
+from civicloom.functions.windows import rank_by_level
+from civicloom.session import stage_table
 
 # A calendar frame has one narrow row per day. 200,000 days (five centuries) of a few
 # doubles is some 15 MB, which any executor can hold.
@@ -67,8 +67,9 @@ def borough_summary(silver: DataFrame) -> DataFrame:
     """Precinct statistics, top complaint type and priority rank.
 
     One pass over silver makes a cube of (precinct, borough, type) cells; both the
-    statistics and the top type are taken from those cells. The top type is per
-    precinct, across its boroughs. ``open`` here means any status but CLOSED.
+    statistics and the top type are taken from those cells. They are written once,
+    since the ranking reads the statistics twice. The top type is per precinct,
+    across its boroughs. ``open`` here means any status but CLOSED.
     """
     cells = (
         silver.filter(F.col("police_precinct") != rules.UNASSIGNED_PRECINCT)
@@ -85,7 +86,7 @@ def borough_summary(silver: DataFrame) -> DataFrame:
     by_size = Window.partitionBy("police_precinct").orderBy(
         F.desc("type_total"), F.col("complaint_type").asc_nulls_last()
     )
-    ranked = cells.withColumn("type_total", F.sum("total").over(by_type)).withColumn(
+    ranked = stage_table(cells, "precinct_cells").withColumn("type_total", F.sum("total").over(by_type)).withColumn(
         "top_type", F.first("complaint_type").over(by_size)
     )
     stats = ranked.groupBy("police_precinct", "borough").agg(
@@ -241,8 +242,21 @@ ADDRESS_KEYS = [
 ]
 
 
+# Yes/no facts a complaint contributes to its address, as 1 or NULL columns.
+def _risk_flags() -> dict[str, Column]:
+    kind = risk_class(F.col("complaint_type"))
+    flags = {"open_complaints": _not_closed(), "anomaly_count": F.col("is_resolution_anomaly")}
+    flags |= {f"{name.lower()}_risk_complaints": kind == name for name in ("HIGH", "MEDIUM", "LOW")}
+    flags |= {f"{name.lower()}_complaints": _is("channel_type", name) for name in ("PHONE", "ONLINE", "MOBILE")}
+    return flags
+
+
 def risk_base(silver: DataFrame) -> DataFrame:
-    """The columns the score needs, addresses cleaned."""
+    """The columns the score needs, addresses cleaned and facts turned into flags.
+
+    Two exact distinct counts make Spark expand each row; what is computed here is
+    computed once, and the aggregation that follows stays small enough to compile.
+    """
     return with_address(silver).select(
         normalize_address(F.col("incident_address")).alias("incident_address"),
         full_address(
@@ -252,8 +266,8 @@ def risk_base(silver: DataFrame) -> DataFrame:
         clean_upper(F.col("borough")).alias("borough"),
         blank_to_null(F.col("zip_code")).alias("zip_code"),
         "police_precinct", "community_board", "latitude", "longitude", "complaint_type",
-        "status", "complaint_date", "resolution_days", "is_resolution_anomaly", "channel_type",
-        risk_class(F.col("complaint_type")).alias("risk_class"),
+        "complaint_date", _settled_days().alias("settled_days"),
+        *[F.when(test, 1).alias(name) for name, test in _risk_flags().items()],
     )
 
 
@@ -300,34 +314,28 @@ def address_risk_score(silver: DataFrame, scored_at: datetime) -> DataFrame:
     pass a stored table.
     """
     base = risk_base(silver)
-    total = F.count(F.lit(1))
     measures = base.groupBy(*ADDRESS_KEYS).agg(
         round_half_away(F.avg("latitude"), 6).alias("latitude"),
         round_half_away(F.avg("longitude"), 6).alias("longitude"),
-        total.alias("total_complaints"),
+        F.count(F.lit(1)).alias("total_complaints"),
         F.countDistinct("complaint_date").alias("complaint_days"),
         F.countDistinct("complaint_type").alias("distinct_complaint_types"),
-        count_where(_not_closed()).alias("open_complaints"),
-        round_half_away(count_where(_not_closed()).cast("double") / total * 100, 1).alias("open_rate_pct"),
-        round_half_away(F.avg(_settled_days()), 1).alias("avg_resolution_days"),
-        F.max(_settled_days()).alias("max_resolution_days"),
-        count_where(F.col("is_resolution_anomaly")).alias("anomaly_count"),
-        round_half_away(
-            count_where(F.col("is_resolution_anomaly")).cast("double") / total * 100, 2
-        ).alias("anomaly_rate_pct"),
-        *[
-            count_where(_is("risk_class", name)).alias(f"{name.lower()}_risk_complaints")
-            for name in ("HIGH", "MEDIUM", "LOW")
-        ],
-        *[
-            count_where(_is("channel_type", name)).alias(f"{name.lower()}_complaints")
-            for name in ("PHONE", "ONLINE", "MOBILE")
-        ],
+        round_half_away(F.avg("settled_days"), 1).alias("avg_resolution_days"),
+        F.max("settled_days").alias("max_resolution_days"),
+        *[F.count(name).alias(name) for name in _risk_flags()],
         F.min("complaint_date").alias("first_complaint_date"),
         F.max("complaint_date").alias("last_complaint_date"),
-        F.datediff(F.max("complaint_date"), F.min("complaint_date")).cast("bigint").alias(
-            "complaint_history_days"
-        ),
+    )
+    total = F.col("total_complaints")
+    shares = {"open_rate_pct": ("open_complaints", 1), "anomaly_rate_pct": ("anomaly_count", 2)}
+    history = F.datediff("last_complaint_date", "first_complaint_date").cast("bigint")
+    measures = measures.select(
+        "*",
+        *[
+            round_half_away(F.col(part).cast("double") / total * 100, digits).alias(name)
+            for name, (part, digits) in shares.items()
+        ],
+        history.alias("complaint_history_days"),
     )
     scored = measures.withColumn("property_risk_score", risk_score()).join(
         address_types(base), ["incident_address", "zip_code"], "left"

@@ -16,7 +16,7 @@ from civicloom.functions.columns import (
     review_bucket,
     round_half_away,
 )
-from civicloom.functions.windows import keep_latest
+from civicloom.functions.windows import keep_latest, top_value
 from civicloom.operators import anomaly, classify, forecast, gate_log, gates, marts, silver as silver_layer
 from civicloom.operators.gates import GateContext
 from civicloom.plans.pipeline import GateConfig, Layers, run_gates
@@ -129,6 +129,13 @@ def borough_summary(spark, sf_dir):
     return marts.borough_summary(_silver(spark, sf_dir))
 
 
+@register
+def top_types(spark, sf_dir):
+    """Most frequent complaint type per precinct."""
+    assigned = _silver(spark, sf_dir).filter(F.col("police_precinct") != rules.UNASSIGNED_PRECINCT)
+    return top_value(assigned, ["police_precinct"], "complaint_type")
+
+
 @register
 def anomaly_summary(spark, sf_dir):
     return marts.anomaly_summary(_silver(spark, sf_dir))
@@ -353,7 +360,9 @@ def gate_promotion(spark, sf_dir):
 @register
 def run_all_gates(spark, sf_dir):
     bronze, silver, _, held = _layers(spark, sf_dir)
-    gold = silver.groupBy("complaint_date", "borough").agg(F.count(F.lit(1)).alias("complaint_count"))
+    gold = stage_table(
+        silver.groupBy("complaint_date", "borough").agg(F.count(F.lit(1)).alias("complaint_count")), "gold"
+    )
     config = GateConfig(
         contract={"complaint_date": "DATE", "borough": "VARCHAR", "complaint_count": "BIGINT"},
         critical=["complaint_date", "borough", "complaint_count"],
