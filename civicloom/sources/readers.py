@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from civicloom import rules
 
-_CORRUPT = "_corrupt_record"
-
 
 def read_json_bronze(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """JSON documents (an array of objects or one object per file), by column name.
@@ -16,15 +14,9 @@ def read_json_bronze(spark: SparkSession, path: str | list[str], schema: T.Struc
     Columns a file lacks come back NULL, columns outside the schema are not read,
     and documents that do not parse are left out.
     """
-    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    df = (
-        spark.read.schema(with_corrupt)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .json(path)
+    return (
+        spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
     )
-    return df.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
 
 
 def file_name() -> Column:
