@@ -47,7 +47,7 @@ def _percent(value: Column | float, digits: int = 2) -> Column:
     return F.format_string(f"%.{digits}f%%", column * 100.0)
 
 
-def _outcome(
+def outcome(
     status: str,
     message: Column | str,
     record_count: Column | int | None = None,
@@ -84,7 +84,7 @@ def _result(
     )
 
 
-def _constant(spark: SparkSession, gate: str, ctx: GateContext, outcome: Column) -> DataFrame:
+def fixed_result(spark: SparkSession, gate: str, ctx: GateContext, outcome: Column) -> DataFrame:
     """A result known from metadata alone."""
     return _result(spark.range(1), gate, ctx, [], outcome)
 
@@ -123,7 +123,7 @@ def schema_gate(
 ) -> DataFrame:
     """Columns and types against a contract. Reads metadata only; no job runs."""
     def result(*args: object, **kwargs: object) -> DataFrame:
-        return _constant(spark, "schema", ctx, _outcome(*args, **kwargs))
+        return fixed_result(spark, "schema", ctx, outcome(*args, **kwargs))
 
     def as_json(**values: list[str]) -> Column:
         return F.to_json(F.struct(*[F.array(*map(F.lit, v)).alias(k) for k, v in values.items()]))
@@ -205,7 +205,7 @@ def data_quality_gate(
     rates_json = F.to_json(F.struct("null_rates"))
 
     def over(status: str, limit: float) -> Column:
-        return _outcome(
+        return outcome(
             status, _text("column ", F.col("name"), " is ", _percent(worst), f" null, {status} limit ", _percent(limit)),
             total, limit, worst, rates_json,
         )
@@ -213,10 +213,10 @@ def data_quality_gate(
     return _result(
         row, "data_quality", ctx,
         [
-            (total == 0, _outcome("fail", "the table is empty", 0)),
+            (total == 0, outcome("fail", "the table is empty", 0)),
             (
                 F.size("bad") > 0,
-                _outcome(
+                outcome(
                     "fail", _text(F.size("bad"), " columns have values out of range"), total,
                     details=F.to_json(F.struct(F.col("bad").alias("range_violations"), "null_rates")),
                 ),
@@ -224,7 +224,7 @@ def data_quality_gate(
             (worst >= fail, over("fail", fail)),
             (worst >= warn, over("warn", warn)),
         ],
-        _outcome(
+        outcome(
             "pass", _text(f"{len(columns)} columns checked, at most ", _percent(worst), " null"),
             total, actual=worst, details=rates_json,
         ),
@@ -243,7 +243,7 @@ def validation_gate(
 ) -> DataFrame:
     """The newest report of the asset must be fresh and must approve it. Times are UTC."""
     if reports is None:
-        return _constant(spark, "validation", ctx, _outcome("fail", "the report table does not exist"))
+        return fixed_result(spark, "validation", ctx, outcome("fail", "the report table does not exist"))
     newest = reports.filter(F.col("asset_name") == ctx.asset).agg(
         F.count(F.lit(1)).alias("reports"),
         F.max("created_at").alias("created_at"),
@@ -260,15 +260,15 @@ def validation_gate(
     return _result(
         row, "validation", ctx,
         [
-            (F.col("reports") == 0, _outcome("fail", f"there is no validation report for {ctx.asset}")),
+            (F.col("reports") == 0, outcome("fail", f"there is no validation report for {ctx.asset}")),
             (
                 age > max_age_hours,
-                _outcome("fail", _text("the report is ", aged, f", limit {max_age_hours} h"), None, max_age_hours, age),
+                outcome("fail", _text("the report is ", aged, f", limit {max_age_hours} h"), None, max_age_hours, age),
             ),
-            (verdict == "APPROVE", _outcome("pass", _text("report approves, ", aged), details=details)),
-            (verdict == "REVIEW", _outcome("warn", _text("report asks for review, ", aged), details=details)),
+            (verdict == "APPROVE", outcome("pass", _text("report approves, ", aged), details=details)),
+            (verdict == "REVIEW", outcome("warn", _text("report asks for review, ", aged), details=details)),
         ],
-        _outcome("fail", _text("report says ", verdict, ", ", aged), details=details),
+        outcome("fail", _text("report says ", verdict, ", ", aged), details=details),
     )
 
 
@@ -291,9 +291,9 @@ def quarantine_gate(
     A quarantine table that does not exist counts zero rows.
     """
     if not configured:
-        return _constant(spark, "quarantine", ctx, _outcome("pass", "no quarantine set up, nothing to check"))
+        return fixed_result(spark, "quarantine", ctx, outcome("pass", "no quarantine set up, nothing to check"))
     if gold is None or silver is None:
-        return _constant(spark, "quarantine", ctx, _outcome("fail", "gold or silver table does not exist"))
+        return fixed_result(spark, "quarantine", ctx, outcome("fail", "gold or silver table does not exist"))
     row = layer_counts(spark, silver=silver, gold=gold, quarantine=quarantine).withColumn(
         "quarantine", F.coalesce("quarantine", F.lit(0))
     )
@@ -310,16 +310,16 @@ def quarantine_gate(
     cases = []
     if not aggregated:
         cases.append(
-            (orphans > 0, _outcome("fail", _text(orphans, " silver rows are unaccounted for: ", layers), None, 0, orphans, details))
+            (orphans > 0, outcome("fail", _text(orphans, " silver rows are unaccounted for: ", layers), None, 0, orphans, details))
         )
     cases += [
-        (in_silver == 0, _outcome("pass", "silver is empty")),
+        (in_silver == 0, outcome("pass", "silver is empty")),
         (
             share > warn,
-            _outcome("warn", _text(_percent(share), " of silver is quarantined, limit ", _percent(warn)), None, warn, share, details),
+            outcome("warn", _text(_percent(share), " of silver is quarantined, limit ", _percent(warn)), None, warn, share, details),
         ),
     ]
-    passed = _outcome("pass", _text(_percent(share), " quarantined: ", layers), actual=share, details=details)
+    passed = outcome("pass", _text(_percent(share), " quarantined: ", layers), actual=share, details=details)
     return _result(row, "quarantine", ctx, cases, passed)
 
 
@@ -334,27 +334,27 @@ def reconciliation_gate(
 ) -> DataFrame:
     """No layer may hold more rows than the one below it, and few rows may be lost."""
     if gold is None:
-        return _constant(spark, "reconciliation", ctx, _outcome("fail", f"{ctx.asset} does not exist"))
+        return fixed_result(spark, "reconciliation", ctx, outcome("fail", f"{ctx.asset} does not exist"))
     row = layer_counts(spark, bronze=bronze, silver=silver, gold=gold)
     raw, clean, final = F.col("bronze"), F.col("silver"), F.col("gold")
     lost = (raw - final).cast("double") / F.nullif(raw, F.lit(0))
     layers = _text("bronze ", raw, ", silver ", clean, ", gold ", final)
     mode = F.lit("aggregated" if aggregated else "row_level").alias("mode")
     details = F.to_json(F.struct("bronze", "silver", "gold", mode))
-    grew = (clean > raw, _outcome("fail", _text("silver outgrew bronze: ", layers), None, raw, clean, details))
+    grew = (clean > raw, outcome("fail", _text("silver outgrew bronze: ", layers), None, raw, clean, details))
     if aggregated:
         cases = [grew]
     else:
         cases = [
-            (final > clean, _outcome("fail", _text("gold outgrew silver: ", layers), None, clean, final, details)),
+            (final > clean, outcome("fail", _text("gold outgrew silver: ", layers), None, clean, final, details)),
             grew,
             (
                 (raw > 0) & (lost > attrition),
-                _outcome("warn", _text(_percent(lost, 1), " of bronze was lost: ", layers), None, attrition, lost, details),
+                outcome("warn", _text(_percent(lost, 1), " of bronze was lost: ", layers), None, attrition, lost, details),
             ),
         ]
     return _result(
-        row, "reconciliation", ctx, cases, _outcome("pass", _text("layers reconcile: ", layers), final, details=details)
+        row, "reconciliation", ctx, cases, outcome("pass", _text("layers reconcile: ", layers), final, details=details)
     )
 
 
@@ -394,12 +394,12 @@ def cost_gate(
     shown = F.format_string("%.1f MB", size)
 
     def over(status: str, limit: float) -> Column:
-        return _outcome(status, _text(shown, f" is over {limit:g} MB, {source}"), None, limit, size, details)
+        return outcome(status, _text(shown, f" is over {limit:g} MB, {source}"), None, limit, size, details)
 
     return _result(
         row, "cost", ctx,
         [(size > hard_mb, over("fail", hard_mb)), (size > soft_mb, over("warn", soft_mb))],
-        _outcome("pass", _text(shown, f" is within {soft_mb:g} MB"), rows, actual=size, details=details),
+        outcome("pass", _text(shown, f" is within {soft_mb:g} MB"), rows, actual=size, details=details),
     )
 
 
@@ -467,15 +467,15 @@ def security_gate(
 ) -> DataFrame:
     """Sensitive column names fail at once; sensitive values ask for a look."""
     if df is None:
-        return _constant(spark, "security", ctx, _outcome("fail", f"table {ctx.asset} does not exist"))
+        return fixed_result(spark, "security", ctx, outcome("fail", f"table {ctx.asset} does not exist"))
     named = sensitive_names(df.columns, whitelist)
     if named:
         listed = F.array(
             *[F.struct(F.lit(c).alias("column"), F.lit(p).alias("pattern")) for c, p in named.items()]
         )
-        return _constant(
+        return fixed_result(
             spark, "security", ctx,
-            _outcome(
+            outcome(
                 "fail", f"sensitive column names: {', '.join(named)}",
                 details=F.to_json(F.struct(listed.alias("sensitive_columns"))),
             ),
@@ -483,14 +483,14 @@ def security_gate(
     columns = [
         f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in whitelist
     ]
-    clean = _outcome("pass", "nothing sensitive in column names or values")
+    clean = outcome("pass", "nothing sensitive in column names or values")
     if not columns:
-        return _constant(spark, "security", ctx, clean)
+        return fixed_result(spark, "security", ctx, clean)
     # One entry per text column and kind at most, so the list is as small as the schema.
     row = scan_sensitive(df, columns, sample).agg(
         F.array_sort(F.collect_list(F.struct("column", "kind"))).alias("found")
     )
-    warning = _outcome(
+    warning = outcome(
         "warn", _text(F.size("found"), " column and kind pairs hold sensitive values"),
         details=F.to_json(F.struct(F.col("found").alias("value_pattern_hits"))),
     )
@@ -556,7 +556,7 @@ def promotion_gate(
     """
     spark = log.sparkSession
     if not ctx.run_id:
-        return _constant(spark, rules.PROMOTION_GATE, ctx, _outcome("fail", "promotion needs a run id"))
+        return fixed_result(spark, rules.PROMOTION_GATE, ctx, outcome("fail", "promotion needs a run id"))
     mine = log.filter(
         (F.col("run_id") == ctx.run_id)
         & (F.col("asset_name") == ctx.asset)
@@ -572,7 +572,7 @@ def promotion_gate(
         [
             (
                 F.size("missing") > 0,
-                _outcome(
+                outcome(
                     "fail", _text(f"run {ctx.run_id} lacks gates: ", listed("missing")),
                     details=F.to_json(
                         F.struct(F.col("missing").alias("missing_gates"), F.col("observed").alias("observed_gates"))
@@ -581,7 +581,7 @@ def promotion_gate(
             ),
             (
                 F.size("fails") > 0,
-                _outcome(
+                outcome(
                     "fail", _text("failed gates: ", listed("fails")),
                     details=F.to_json(
                         F.struct(F.col("fails").alias("failing_gates"), F.col("warns").alias("warning_gates"))
@@ -590,13 +590,13 @@ def promotion_gate(
             ),
             (
                 F.size("warns") > 0,
-                _outcome(
+                outcome(
                     "warn", _text("gates with warnings: ", listed("warns"), "; review before promoting"),
                     details=F.to_json(F.struct(F.col("warns").alias("warning_gates"))),
                 ),
             ),
         ],
-        _outcome(
+        outcome(
             "pass", f"all {len(required)} gates passed",
             details=F.to_json(F.struct(F.col("observed").alias("gates_passed"))),
         ),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from civicloom import rules
+from civicloom import rules, schemas
 from civicloom.functions.columns import (
     full_address,
     neighborhood_quality,
@@ -19,10 +19,11 @@ from civicloom.functions.columns import (
 from civicloom.functions.windows import keep_latest, top_value
 from civicloom.operators import anomaly, classify, forecast, gate_log, gates, marts, silver as silver_layer
 from civicloom.operators.gates import GateContext
-from civicloom.plans.pipeline import GateConfig, Layers, run_gates
+from civicloom.plans.pipeline import GateConfig, Layers, build_gold, run_gates
 from civicloom.session import stage_path, stage_table
 from civicloom.sources import driver_tables as given
 from civicloom.sources.increments import ingest_increment, late_rows
+from civicloom.sources.readers import read_json_bronze
 from civicloom.streaming import streams
 
 SCORED_AT = datetime(2024, 1, 31)
@@ -34,7 +35,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
-    QUERIES[query.__name__] = query
+    QUERIES[query.__name__.removeprefix("q_")] = query
     return query
 
 
@@ -66,12 +67,22 @@ def silver_complaints(spark, sf_dir):
 
 
 @register
-def keep_latest_events(spark, sf_dir):
+def bronze_json(spark, sf_dir):
+    """Silver by way of JSON: everything is text in the files, as the source delivers it."""
+    raw, path = given.raw_complaints(spark, sf_dir), stage_path(spark, "json")
+    raw.write.json(path)
+    typed = [f for f in raw.schema.fields if f.name in given.TIE_BREAKERS]
+    schema = T.StructType([*schemas.BRONZE_COMPLAINT.fields, *typed])
+    return silver_layer.stage_complaints(read_json_bronze(spark, path, schema, lines=True), given.TIE_BREAKERS)
+
+
+@register
+def q_keep_latest(spark, sf_dir):
     return keep_latest(given.table(spark, sf_dir, "events"), ["user_id"], [F.desc("ts")], [F.desc("event_id")])
 
 
 @register
-def ingest_increments(spark, sf_dir):
+def q_ingest_increment(spark, sf_dir):
     """Two pulls: one while the source ends at the split, one after it has grown."""
     events = given.table(spark, sf_dir, "events")
     state, target = stage_path(spark, "mark"), stage_path(spark, "bronze")
@@ -89,7 +100,7 @@ def ingest_increments(spark, sf_dir):
 
 
 @register
-def late_events(spark, sf_dir):
+def q_late_rows(spark, sf_dir):
     return late_rows(given.table(spark, sf_dir, "events"), "ts", SPLIT_AT)
 
 
@@ -97,7 +108,7 @@ def late_events(spark, sf_dir):
 
 
 @register
-def normalized_addresses(spark, sf_dir):
+def q_normalize_address(spark, sf_dir):
     address = [F.col("incident_address"), F.col("city"), F.col("borough"), F.col("zip_code")]
     return marts.with_address(_silver(spark, sf_dir)).select(
         "complaint_id",
@@ -107,7 +118,7 @@ def normalized_addresses(spark, sf_dir):
 
 
 @register
-def neighborhood_flags(spark, sf_dir):
+def q_neighborhood_quality(spark, sf_dir):
     flag = neighborhood_quality(F.col("city"), F.col("borough"))
     return (
         _silver(spark, sf_dir)
@@ -209,6 +220,17 @@ def property_incidents_asof(spark, sf_dir):
     return marts.property_incidents(_silver(spark, sf_dir), _macro(spark, sf_dir), "asof")
 
 
+@register
+def gold_export(spark, sf_dir):
+    """All layers built and exported; the manifest holds what was written."""
+    macro = marts.pivot_macro(_newest_macro(spark, sf_dir))
+    ctx = GateContext("gold", "run_check", SCORED_AT)
+    manifest = build_gold(
+        given.raw_complaints(spark, sf_dir), macro, ctx, stage_path(spark, "lake"), given.TIE_BREAKERS
+    )
+    return manifest.select("table_name", "row_count")
+
+
 # --- Gates ------------------------------------------------------------------
 
 
@@ -358,7 +380,7 @@ def gate_promotion(spark, sf_dir):
 
 
 @register
-def run_all_gates(spark, sf_dir):
+def q_run_gates(spark, sf_dir):
     bronze, silver, _, held = _layers(spark, sf_dir)
     gold = stage_table(
         silver.groupBy("complaint_date", "borough").agg(F.count(F.lit(1)).alias("complaint_count")), "gold"
@@ -418,7 +440,7 @@ def log_run_detail(spark, sf_dir):
 
 
 @register
-def defect_rule_usage(spark, sf_dir):
+def q_defect_rules(spark, sf_dir):
     """The rule table with how often each rule fires. The rules are 13 rows."""
     codes = given.coded_lines(spark, sf_dir).select(F.explode("codes").alias("defect_type"))
     used = codes.groupBy("defect_type").agg(F.count(F.lit(1)).alias("occurrences"))
@@ -439,7 +461,7 @@ def recoverability(spark, sf_dir):
 
 
 @register
-def classify_records(spark, sf_dir):
+def q_classify(spark, sf_dir):
     return classify.classify(given.classified_lines(spark, sf_dir), "aviation").drop("reason_codes")
 
 

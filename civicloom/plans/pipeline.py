@@ -97,7 +97,7 @@ def required_gates(spark: SparkSession, layers: Layers, config: GateConfig, ctx:
 
     def absent(gate: str) -> DataFrame:
         message = f"table {ctx.asset} does not exist"
-        return gates._constant(spark, gate, ctx, gates._outcome("fail", message))
+        return gates.fixed_result(spark, gate, ctx, gates.outcome("fail", message))
 
     missing_columns = gold is not None and [
         c for c in config.ranges if c not in gold.columns
@@ -105,9 +105,9 @@ def required_gates(spark: SparkSession, layers: Layers, config: GateConfig, ctx:
     if gold is None:
         quality = absent("data_quality")
     elif missing_columns:
-        quality = gates._constant(
+        quality = gates.fixed_result(
             spark, "data_quality", ctx,
-            gates._outcome("fail", f"columns to check are missing: {', '.join(missing_columns)}"),
+            gates.outcome("fail", f"columns to check are missing: {', '.join(missing_columns)}"),
         )
     else:
         quality = gates.data_quality_gate(

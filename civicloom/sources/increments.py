@@ -54,7 +54,7 @@ def ingest_increment(
     seen = Observation("increment")
     (
         increment(df, ts_col, mark)
-        .observe(seen, F.count(F.lit(1)).alias("rows"), F.max(F.col(ts_col).cast("string")).alias("newest"))
+        .observe(seen, F.count(F.lit(1)).alias("rows"), F.max(ts_col).cast("string").alias("newest"))
         .withColumn("ingest_mark", F.lit(re.sub(r"[^0-9]", "", mark)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -8,15 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from civicloom import rules
 
 
-def read_json_bronze(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """JSON documents (an array of objects or one object per file), by column name.
+def read_json_bronze(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, lines: bool = False
+) -> DataFrame:
+    """JSON files, by column name.
 
+    A file is one document, an array of objects or a single object; with ``lines`` it
+    holds one object per line, which lets Spark split a large file over many tasks.
     Columns a file lacks come back NULL, columns outside the schema are not read,
-    and documents that do not parse are left out.
+    and documents or lines that do not parse are left out.
     """
-    return (
-        spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    )
+    reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
+    return reader.option("multiLine", not lines).json(path)
 
 
 def file_name() -> Column:
