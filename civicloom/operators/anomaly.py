@@ -98,7 +98,8 @@ def iqr_anomalies(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Values strictly outside the quartiles by one and a half times their distance.
 
     Columns with fewer than ten values or equal quartiles are left out. The quartiles
-    are exact. Finding them runs a few counting passes now; the findings are lazy.
+    are exact. Finding them runs a few counting passes now, so pass a stored table;
+    the findings are lazy.
     """
     columns = [c for c in numeric_columns(df) if c not in keys]
     if not columns:
@@ -208,7 +209,8 @@ def detect_columns(df: DataFrame) -> dict[str, str | None]:
 def profile_score(df: DataFrame, score: str, address: str | None = None) -> DataFrame:
     """One row: counts, range, mean, exact median, p95 and p99, repeated addresses.
 
-    All rows without an address count as one address.
+    All rows without an address count as one address. The quantiles take a few counting
+    passes now, so pass a stored table.
     """
     value = numeric_value(F.col(score))
     at = exact_quantiles(df, column_bounds(df, [score]), (0.5, 0.95, 0.99))
@@ -253,7 +255,7 @@ def top_share(
 
     The score at the cut is found by counting, which leaves little more than the
     result to sort; the rank at the cut is then exact under ``ties``. Rows without a
-    score come last.
+    score come last. Reads ``df`` several times, so pass a stored table.
     """
     value = numeric_value(F.col(score))
     total, scored = df.agg(F.count(F.lit(1)), F.count(value)).first()

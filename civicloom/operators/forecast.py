@@ -270,17 +270,30 @@ def run_trend_forecast(
     return models, log_row
 
 
+_CHECKED_METRICS = (
+    "groups_processed bigint, groups_weak_sic bigint, "
+    "boroughs array<struct<fit_linear:struct<sic:double>,fit_quadratic:struct<sic:double>>>"
+)
+
+
 def forecast_checks(log: DataFrame) -> DataFrame:
-    """Two checks on the newest forecast run in the log: residuals, and clear model choice."""
+    """Two checks on the newest forecast run in the log: residuals, and clear model choice.
+
+    Older logs that list the fits of every group in their metrics are understood too.
+    """
     newest = log.filter(F.col("gate_name") == rules.FORECAST_GATE).agg(
         F.count(F.lit(1)).alias("runs"),
         F.max_by(F.struct("status", "message", "metrics"), F.struct("executed_at", "run_id")).alias("r"),
     )
     row = newest.select(
         "runs", "r.status", "r.message", F.col("r.metrics").isNotNull().alias("has_metrics"),
-        F.from_json("r.metrics", "groups_processed bigint, groups_weak_sic bigint").alias("m"),
+        F.from_json("r.metrics", _CHECKED_METRICS).alias("m"),
+    )
+    listed = F.transform(
+        "m.boroughs", lambda b: F.abs(b["fit_linear"]["sic"] - b["fit_quadratic"]["sic"])
     )
-    processed, weak = F.col("m.groups_processed"), F.col("m.groups_weak_sic")
+    processed = F.coalesce("m.groups_processed", F.size(listed))
+    weak = F.coalesce("m.groups_weak_sic", F.size(F.filter(listed, lambda d: d < rules.SIC_BAND)))
     all_weak = F.coalesce((processed > 0) & (weak == processed), F.lit(False))
     some = F.col("runs") > 0
     residuals = F.struct(

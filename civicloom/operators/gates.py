@@ -166,6 +166,10 @@ def data_quality_gate(
 ) -> DataFrame:
     """Null rates and value ranges, every column counted in the same scan."""
     ranges = ranges or {}
+    absent = [c for c in ranges if c not in df.columns]
+    if absent:
+        message = f"columns to check are missing: {', '.join(absent)}"
+        return fixed_result(df.sparkSession, "data_quality", ctx, outcome("fail", message))
     columns = [c for c in df.columns if not critical or c in critical]
     row = df.agg(
         F.count(F.lit(1)).alias("total"),
@@ -501,13 +505,15 @@ def security_gate(
 
 
 def latest_status(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Newest status per key; a repeated gate counts once."""
+    """Newest status per key. A gate logged many times becomes one row before it travels."""
     return log.groupBy(*keys).agg(
         F.max_by("status", F.struct("executed_at", "logged_at")).alias("status")
     )
 
 
 def _verdict_lists() -> list[Column]:
+    """Lists of distinct gate names, over one row per gate."""
+
     def gates(condition: Column | None = None) -> Column:
         name = F.col("gate_name") if condition is None else F.when(condition, F.col("gate_name"))
         return F.array_sort(F.collect_list(name))

@@ -99,20 +99,9 @@ def required_gates(spark: SparkSession, layers: Layers, config: GateConfig, ctx:
         message = f"table {ctx.asset} does not exist"
         return gates.fixed_result(spark, gate, ctx, gates.outcome("fail", message))
 
-    missing_columns = gold is not None and [
-        c for c in config.ranges if c not in gold.columns
-    ]
-    if gold is None:
-        quality = absent("data_quality")
-    elif missing_columns:
-        quality = gates.fixed_result(
-            spark, "data_quality", ctx,
-            gates.outcome("fail", f"columns to check are missing: {', '.join(missing_columns)}"),
-        )
-    else:
-        quality = gates.data_quality_gate(
-            gold, ctx, config.critical, config.ranges, config.null_warn, config.null_fail
-        )
+    quality = absent("data_quality") if gold is None else gates.data_quality_gate(
+        gold, ctx, config.critical, config.ranges, config.null_warn, config.null_fail
+    )
     cost = absent("cost") if gold is None else gates.cost_gate(
         gold, ctx, config.soft_mb, config.hard_mb, config.bytes_per_row, config.export_path
     )

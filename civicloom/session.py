@@ -51,8 +51,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback_dirs[app]
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_stage(spark: SparkSession) -> None:
+    """Delete what this application staged, once nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:

@@ -29,7 +29,7 @@ def stream_bronze(
     """Files under ``path``, each read exactly once; the checkpoint replaces a saved mark."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if fmt == "json":
-        reader = reader.option("multiLine", True)
+        reader = reader.option("multiLine", True).option("mode", "DROPMALFORMED")
     return reader.options(**options).format(fmt).load(path)
 
 

@@ -192,6 +192,9 @@ def test_forecast_checks_branches(spark):
     assert passed(logged(spark, "pass", '{"groups_processed": 3, "groups_weak_sic": 3}')) == [True, False]
     assert passed(logged(spark, "pass", '{"groups_processed": 3, "groups_weak_sic": 2}')) == [True, True]
     assert passed(logged(spark, "warn", None)) == [False, False]
+    fits = '{"boroughs": [{"fit_linear": {"sic": 10.0}, "fit_quadratic": {"sic": %s}}]}'
+    assert passed(logged(spark, "pass", fits % 11.9)) == [True, False]
+    assert passed(logged(spark, "pass", fits % 12.0)) == [True, True]
 
 
 def test_white_residuals_pass(spark):

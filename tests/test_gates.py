@@ -68,6 +68,7 @@ def test_range_comes_before_nulls_and_null_is_in_range(spark):
 
 def test_critical_columns_and_empty_table(spark):
     assert status(gates.data_quality_gate(nulls(spark, 10, 10), CTX, critical=["w"])) == "pass"
+    assert status(gates.data_quality_gate(nulls(spark, 10, 0), CTX, ranges={"gone": (0, 1)})) == "fail"
     empty = result(gates.data_quality_gate(nulls(spark, 0, 0), CTX))
     assert empty.status == "fail" and empty.record_count == 0
 

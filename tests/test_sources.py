@@ -4,9 +4,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from civicloom import schemas
+from civicloom import schemas, session
 from civicloom.operators import silver
-from civicloom.session import shared_dir, stage_table
+from civicloom.session import clear_stage, shared_dir, stage_table
 from civicloom.sources import increments, readers, sinks
 
 
@@ -148,3 +148,25 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     staged = stage_table(spark.range(3), "unit")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert all(shared_dir(spark) in name for name in staged.inputFiles())
+
+
+def test_clear_stage_deletes_only_this_application(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    (tmp_path / "other-app").mkdir()
+    stage_table(spark.range(3), "unit")
+    assert len(list(tmp_path.iterdir())) == 2
+    clear_stage(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other-app"]
+
+
+def test_a_cluster_must_name_its_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "yarn", "applicationId": "app"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
