@@ -44,6 +44,7 @@ def build_gold(
             "address_risk_score": marts.address_risk_score(silver, ctx.now),
         },
         f"{directory}/gold",
+        partition_by={"resolution_anomalies": ["complaint_year"], "anomaly_summary": ["complaint_year"]},
     )
 
 

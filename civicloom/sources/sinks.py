@@ -57,12 +57,19 @@ def replace_run(df: DataFrame, path: str, run_id: str, column: str = "run_id") -
         ).parquet(f"{path}/{column}={run_id}")
 
 
-def export_gold(tables: Mapping[str, DataFrame | None], directory: str) -> DataFrame:
+def export_gold(
+    tables: Mapping[str, DataFrame | None],
+    directory: str,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
     """Write each table as ZSTD Parquet; returns a manifest with one row per table.
 
     Every table must be there before anything is written. Row counts come from the
-    write itself, so no table is read twice.
+    write itself, so no table is read twice. ``partition_by`` names the folder columns
+    of a table; its rows are rebalanced on them first, which gives even files and
+    splits a folder that holds most of the rows over several tasks.
     """
+    partition_by = partition_by or {}
     absent = sorted(name for name, df in tables.items() if df is None)
     if absent:
         raise ValueError(f"cannot export, missing gold tables: {', '.join(absent)}")
@@ -71,9 +78,13 @@ def export_gold(tables: Mapping[str, DataFrame | None], directory: str) -> DataF
         spark = df.sparkSession
         counted = Observation(f"export_{name}")
         path = f"{directory}/{name}"
+        folders = partition_by.get(name, ())
+        rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        if folders:
+            rows = rows.hint("rebalance", *folders)
         (
-            df.observe(counted, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
+            .partitionBy(*folders)
             .option("compression", "zstd")
             .option("partitionOverwriteMode", "static")
             .parquet(path)

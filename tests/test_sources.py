@@ -54,6 +54,11 @@ def test_export_manifest(spark, tmp_path):
     manifest = sinks.export_gold({"a": spark.range(5), "b": spark.range(0)}, f"{tmp_path}/gold")
     assert {r.table_name: r.row_count for r in manifest.collect()} == {"a": 5, "b": 0}
     assert list((tmp_path / "gold" / "a").glob("*.zstd.parquet"))
+    by_year = spark.range(90).withColumn("year", F.when(F.col("id") % 3 == 0, 2020).otherwise(F.col("id") % 5 + 2021))
+    manifest = sinks.export_gold({"c": by_year}, f"{tmp_path}/gold", {"c": ["year"]})
+    assert manifest.first().row_count == 90
+    assert {p.name for p in (tmp_path / "gold" / "c").glob("year=*")} == {f"year={y}" for y in range(2020, 2026)}
+    assert spark.read.parquet(f"{tmp_path}/gold/c").filter("year = 2020").count() == 30
     with pytest.raises(ValueError, match="missing gold tables: c"):
         sinks.export_gold({"a": spark.range(5), "c": None}, f"{tmp_path}/other")
     assert not (tmp_path / "other").exists()
