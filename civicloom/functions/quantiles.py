@@ -169,32 +169,60 @@ def exact_quantiles(
     return result
 
 
+# Fixed bins per unit of squashed value. A key can have at most 1,420 units' worth of bins.
+GROUP_BINS = 1024
+
+
 def grouped_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     """(key, count, mean, median, min, max) per group, the median exact.
 
-    Equal values are counted before anything is ordered, so what a group sorts is its
-    distinct values, with disk to spill to, instead of a map of them in memory.
+    Equal values are counted first. A key's values are then counted per bin of a fixed
+    monotone scale, the bins (not the values) are put in order, and only the values in
+    the bins that hold the middle ranks are ordered among themselves. So a key with
+    most of the rows never has its values sorted in one task.
     """
     cells = (
         df.select(key, numeric_value(F.col(value)).alias("_v"))
         .groupBy(key, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_bin", F.floor(_squash(_finite(F.col("_v"))) * GROUP_BINS))
     )
     number = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
-    spec = Window.partitionBy(key)
-    running = cells.withColumn(
-        "_upto", F.sum(number).over(spec.orderBy(F.col("_v").asc_nulls_last()))
-    ).withColumn("_all", F.sum(number).over(spec))
-    half = (F.col("_all") - 1) / 2.0
-
-    def at(rank: Column) -> Column:
-        covers = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(covers, F.col("_v")))
-
-    return running.groupBy(key).agg(
-        F.sum(number).alias("count"),
-        (F.sum(F.col("_v") * F.col("_n")) / F.nullif(F.sum(number), F.lit(0))).alias("mean"),
-        ((at(F.floor(half)) + at(F.ceil(half))) / 2).alias("median"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
+    bins = cells.groupBy(key, "_bin").agg(
+        F.sum(number).alias("_size"),
+        F.sum(F.col("_v") * F.col("_n")).alias("_total"),
+        F.min("_v").alias("_low"),
+        F.max("_v").alias("_high"),
+    )
+    measures = bins.groupBy(key).agg(
+        F.sum("_size").alias("count"),
+        (F.sum("_total") / F.nullif(F.sum("_size"), F.lit(0))).alias("mean"),
+        F.min("_low").alias("min"),
+        F.max("_high").alias("max"),
+    )
+    per_key = Window.partitionBy(key)
+    placed = bins.withColumn(
+        "_below", F.sum("_size").over(per_key.orderBy(F.col("_bin").asc_nulls_last())) - F.col("_size")
+    ).withColumn("_half", (F.sum("_size").over(per_key) - 1) / 2.0)
+
+    def holds(rank: Column, size: str) -> Column:
+        return (F.col("_below") <= rank) & (rank < F.col("_below") + F.col(size))
+
+    low, high = F.floor("_half"), F.ceil("_half")
+    middle = placed.filter(holds(low, "_size") | holds(high, "_size")).select(key, "_bin", "_below", "_half")
+    in_bin = Window.partitionBy(key, "_bin").orderBy("_v")
+    ordered = cells.join(middle, [key, "_bin"]).withColumn(
+        "_below", F.col("_below") + F.sum("_n").over(in_bin) - F.col("_n")
     )
+    medians = ordered.groupBy(key).agg(
+        (
+            (F.max(F.when(holds(low, "_n"), F.col("_v"))) + F.max(F.when(holds(high, "_n"), F.col("_v")))) / 2
+        ).alias("median")
+    )
+    return measures.join(medians, key, "left").select(key, "count", "mean", "median", "min", "max")
+
+
+def _finite(value: Column) -> Column:
+    """Infinities as the largest doubles, so that every value has a bin."""
+    top = 1.7976931348623157e308
+    return F.when(value > top, top).when(value < -top, -top).otherwise(value)

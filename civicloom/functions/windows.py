@@ -37,32 +37,6 @@ def with_time_index(df: DataFrame, group: str, order: str, name: str = "t") -> D
     return df.withColumn(name, F.row_number().over(spec).cast("bigint"))
 
 
-def rank_by_level(
-    df: DataFrame, level: str, order: Sequence[Column], name: str
-) -> DataFrame:
-    """Global ``row_number`` by ``level`` descending (NULL last), then ``order``.
-
-    ``level`` must have a small fixed domain, such as a percentage kept to one
-    decimal (1,001 values). Then only one row per level goes through the
-    unpartitioned window, and the rows themselves are ranked level by level.
-    """
-    sizes = df.groupBy(level).agg(F.count(F.lit(1)).alias("_size"))
-    above = Window.orderBy(F.col(level).desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = sizes.select(
-        F.col(level).alias("_level"),
-        F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_offset"),
-    )
-    within = Window.partitionBy(level).orderBy(*order)
-    return (
-        df.withColumn("_within", F.row_number().over(within))
-        .join(F.broadcast(offsets), F.col(level).eqNullSafe(F.col("_level")))
-        .withColumn(name, (F.col("_offset") + F.col("_within")).cast("bigint"))
-        .drop("_level", "_offset", "_within")
-    )
-
-
 def global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Exact global ``row_number`` without a single-task window.
 

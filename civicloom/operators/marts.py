@@ -21,8 +21,7 @@ from civicloom.functions.columns import (
     round_half_away,
     timestamp_literal,
 )
-from civicloom.functions.windows import rank_by_level
-from civicloom.session import stage_table
+from civicloom.functions.windows import global_rank
 
 # A calendar frame has one narrow row per day. 200,000 days (five centuries) of a few
 # doubles is some 15 MB, which any executor can hold.
@@ -67,9 +66,9 @@ def borough_summary(silver: DataFrame) -> DataFrame:
     """Precinct statistics, top complaint type and priority rank.
 
     One pass over silver makes a cube of (precinct, borough, type) cells; both the
-    statistics and the top type are taken from those cells. They are written once,
-    since the ranking reads the statistics twice. The top type is per precinct,
-    across its boroughs. ``open`` here means any status but CLOSED.
+    statistics and the top type are taken from those cells. The top type is per
+    precinct, across its boroughs. ``open`` here means any status but CLOSED. Ranking
+    sorts the statistics now; the rest is lazy.
     """
     cells = (
         silver.filter(F.col("police_precinct") != rules.UNASSIGNED_PRECINCT)
@@ -86,7 +85,7 @@ def borough_summary(silver: DataFrame) -> DataFrame:
     by_size = Window.partitionBy("police_precinct").orderBy(
         F.desc("type_total"), F.col("complaint_type").asc_nulls_last()
     )
-    ranked = stage_table(cells, "precinct_cells").withColumn("type_total", F.sum("total").over(by_type)).withColumn(
+    ranked = cells.withColumn("type_total", F.sum("total").over(by_type)).withColumn(
         "top_type", F.first("complaint_type").over(by_size)
     )
     stats = ranked.groupBy("police_precinct", "borough").agg(
@@ -106,12 +105,12 @@ def borough_summary(silver: DataFrame) -> DataFrame:
 def priority_rank(stats: DataFrame) -> DataFrame:
     """1 for the precinct with the highest open rate, then the slowest one."""
     order = [
+        F.col("open_rate_pct").desc_nulls_last(),
         F.col("avg_resolution_days").desc_nulls_last(),
         F.col("police_precinct").asc_nulls_last(),
         F.col("borough").asc_nulls_last(),
     ]
-    ranked = rank_by_level(stats, "open_rate_pct", order, "priority_rank")
-    return ranked.select("priority_rank", *stats.columns)
+    return global_rank(stats, order, "priority_rank").select("priority_rank", *stats.columns)
 
 
 def anomaly_summary(silver: DataFrame) -> DataFrame:

@@ -161,6 +161,21 @@ def test_score_by(spark):
     assert got == {"1": (4, 3.75, 2.5, 1.0, 9.0), "2": (0, None, None, None, None), "3": (1, 7.0, 7.0, 7.0, 7.0)}
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.floats(-1e6, 1e6), st.integers(0, 3).map(float))), min_size=5, max_size=60))
+def test_score_by_against_numpy(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r for r in anomaly.score_by(df, "k", "v").collect()}
+    assert set(got) == {k for k, _ in rows}
+    for k, row in got.items():
+        values = [v for key, v in rows if key == k and v is not None]
+        assert row["count"] == len(values)
+        if values:
+            assert row["median"] == pytest.approx(np.median(values), rel=1e-12, abs=1e-12)
+            assert row["mean"] == pytest.approx(np.mean(values), rel=1e-9, abs=1e-9)
+            assert (row["min"], row["max"]) == (min(values), max(values))
+
+
 @pytest.mark.parametrize("n, keep", [(0, 0), (7, 7), (500, 10), (1999, 19), (3000, 30)])
 def test_top_share(spark, n, keep):
     rows = [(f"a{i:05d}", "1", "b", float(min(100, i % 150))) for i in range(n)]

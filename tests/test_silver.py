@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from civicloom.functions.windows import global_rank, keep_latest, rank_by_level, top_value, with_time_index
+from civicloom.functions.windows import global_rank, keep_latest, top_value, with_time_index
 from civicloom.operators import silver
 from civicloom.schemas import BRONZE_COMPLAINT
 
@@ -102,15 +102,14 @@ def test_time_index(spark):
     assert {(r.g, r.m): r.t for r in with_time_index(df, "g", "m").collect()} == {("a", 1): 1, ("a", 3): 2, ("b", 9): 1}
 
 
-def test_ranks_agree_with_plain_order(spark):
+def test_global_rank_agrees_with_plain_order(spark):
     rows = [(i, [50.0, None, 0.0, 100.0, 50.0][i % 5], i % 7) for i in range(200)]
     df = spark.createDataFrame(rows, "id int, rate double, days int")
     want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), -r[2], r[0]))
-    by_level = rank_by_level(df, "rate", [F.desc("days"), F.asc("id")], "rank")
-    by_range = global_rank(df, [F.col("rate").desc_nulls_last(), F.desc("days"), F.asc("id")], "rank")
-    expected = {r[0]: n for n, r in enumerate(want, 1)}
-    assert {r.id: r["rank"] for r in by_level.collect()} == expected
-    assert {r.id: r["rank"] for r in by_range.collect()} == expected
+    ranked = global_rank(df, [F.col("rate").desc_nulls_last(), F.desc("days"), F.asc("id")], "rank")
+    assert {r.id: r["rank"] for r in ranked.collect()} == {r[0]: n for n, r in enumerate(want, 1)}
+    assert ranked.schema["rank"].dataType.simpleString() == "bigint"
+    assert global_rank(df.limit(0), [F.asc("id")], "rank").count() == 0
 
 
 def test_observations(spark):
