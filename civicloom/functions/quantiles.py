@@ -194,32 +194,38 @@ def grouped_summary(df: DataFrame, key: str, value: str) -> DataFrame:
         F.min("_v").alias("_low"),
         F.max("_v").alias("_high"),
     )
-    measures = bins.groupBy(key).agg(
-        F.sum("_size").alias("count"),
-        (F.sum("_total") / F.nullif(F.sum("_size"), F.lit(0))).alias("mean"),
-        F.min("_low").alias("min"),
-        F.max("_high").alias("max"),
-    )
     per_key = Window.partitionBy(key)
-    placed = bins.withColumn(
-        "_below", F.sum("_size").over(per_key.orderBy(F.col("_bin").asc_nulls_last())) - F.col("_size")
-    ).withColumn("_half", (F.sum("_size").over(per_key) - 1) / 2.0)
+    placed = bins.select(
+        key, "_bin", "_size",
+        (F.sum("_size").over(per_key.orderBy(F.col("_bin").asc_nulls_last())) - F.col("_size")).alias("_below"),
+        F.sum("_size").over(per_key).alias("_all"),
+        F.sum("_total").over(per_key).alias("_sum"),
+        F.min("_low").over(per_key).alias("_min"),
+        F.max("_high").over(per_key).alias("_max"),
+    ).withColumn("_half", (F.col("_all") - 1) / 2.0)
 
     def holds(rank: Column, size: str) -> Column:
         return (F.col("_below") <= rank) & (rank < F.col("_below") + F.col(size))
 
     low, high = F.floor("_half"), F.ceil("_half")
-    middle = placed.filter(holds(low, "_size") | holds(high, "_size")).select(key, "_bin", "_below", "_half")
+    # A key has one or two middle bins; one without values keeps a row to carry its count.
+    middle = placed.filter(holds(low, "_size") | holds(high, "_size") | (F.col("_all") == 0)).drop("_size")
     in_bin = Window.partitionBy(key, "_bin").orderBy("_v")
-    ordered = cells.join(middle, [key, "_bin"]).withColumn(
+    # Null-safe on the bin: a plain equality would push a filter under one use of the
+    # cells and they would be counted twice.
+    counted = cells.select(F.col(key).alias("_key"), F.col("_bin").alias("_its_bin"), "_v", "_n")
+    same = (F.col(key) == F.col("_key")) & F.col("_bin").eqNullSafe(F.col("_its_bin"))
+    ordered = middle.join(counted, same, "left").withColumn(
         "_below", F.col("_below") + F.sum("_n").over(in_bin) - F.col("_n")
     )
-    medians = ordered.groupBy(key).agg(
-        (
-            (F.max(F.when(holds(low, "_n"), F.col("_v"))) + F.max(F.when(holds(high, "_n"), F.col("_v")))) / 2
-        ).alias("median")
+    median = (F.max(F.when(holds(low, "_n"), F.col("_v"))) + F.max(F.when(holds(high, "_n"), F.col("_v")))) / 2
+    return ordered.groupBy(key).agg(
+        F.max("_all").alias("count"),
+        (F.max("_sum") / F.nullif(F.max("_all"), F.lit(0))).alias("mean"),
+        median.alias("median"),
+        F.max("_min").alias("min"),
+        F.max("_max").alias("max"),
     )
-    return measures.join(medians, key, "left").select(key, "count", "mean", "median", "min", "max")
 
 
 def _finite(value: Column) -> Column:

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from civicloom.operators import classify, marts
+from civicloom.operators import anomaly, classify, marts
 from civicloom.operators.gates import GateContext
 from civicloom.plans import catalog
 from civicloom.plans.pipeline import build_gold
@@ -54,6 +54,15 @@ def test_classification_is_one_projection(spark, sf):
     assert "Exchange" not in text and "Python" not in text and "Join" not in text
 
 
+def test_grouped_medians_count_once(spark, sf):
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    rows = anomaly.score_by(lines, "l_returnflag", "l_extendedprice")
+    assert rows.count() == 3
+    rows.collect()
+    final = plan(rows).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_no_query_holds_a_cross_join(spark, sf):
     for name in ("borough_summary", "zscore_anomalies", "gate_quarantine", "gate_reconciliation", "validation_report", "log_verdicts"):
         text = plan(catalog.QUERIES[name](spark, sf))
