@@ -29,19 +29,22 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``doc_id, text, label`` of training rows: labelled 0 or 1, not held out.
-
-    A null id or label teaches nothing. A document labelled twice with one value
-    counts once, one labelled both ways not at all.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """``doc_id, text, label`` of at most ``most`` training rows: labelled 0 or 1, not held out.
+
+    The rows are those whose ids hash lowest, so the choice doesn't depend on order or
+    partitions. The ids are chosen from the labels alone, and being bounded they are
+    broadcast, so texts aren't shuffled. A null id or label teaches nothing. A document labelled
+    twice with one value counts once, one labelled both ways not at all; of rows that
+    repeat an id only the largest text is taken.
     """
     known = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
-        .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+        .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out())
         .groupBy("doc_id")
-        .agg(F.min("label").alias("label"), F.max("label").alias("_high"))
-        .filter(F.col("label") == F.col("_high"))
-        .drop("_high")
+        .agg(F.min("label").alias("label"), F.max("label").alias("high"))
+        .filter(F.col("label") == F.col("high"))
     )
-    rows = docs.select("doc_id", text_of().alias("text")).filter(~held_out())
-    return rows.join(known, "doc_id")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "label")
+    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.max("text").alias("text")).select("doc_id", "text", "label")

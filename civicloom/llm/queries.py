@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicloom.llm import line_dedup, packing, simhash, sql
+from civicloom.llm import line_dedup, packing, quality_model, simhash, sql
 from civicloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +24,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 SQL: dict[str, str] = {"op2_line_dedup": sql.LINE_DEDUP}
