@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicloom.llm import line_dedup, packing, quality_model, simhash, sql
+from civicloom.llm import language_id, line_dedup, packing, quality_model, simhash, sql, toxicity
 from civicloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,7 +39,9 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
 SQL: dict[str, str] = {"op2_line_dedup": sql.LINE_DEDUP}
