@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicloom.llm import language_id, line_dedup, packing, quality_model, simhash, sql, toxicity
+from civicloom.llm import language_id, line_dedup, packing, quality_model, quality_rules, simhash, sql, toxicity
 from civicloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,11 @@ QUERIES: dict[str, Query] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op7_language_id": op7_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
-SQL: dict[str, str] = {"op2_line_dedup": sql.LINE_DEDUP}
+SQL: dict[str, str] = {
+    "op2_line_dedup": sql.LINE_DEDUP,
+    "op5_quality_rules": sql.QUALITY_RULES,
+}

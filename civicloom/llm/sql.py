@@ -25,3 +25,86 @@ SELECT
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
 FROM judged GROUP BY r, doc_id
 """
+
+_CLASSES = ["[a-z]", r"[ \t\n\x0b\f\r]", "[A-Z]", "[0-9]", "[#*$%&|<>]", r"[\x21-\x7e]"]
+
+
+def _class_sizes() -> str:
+    """One row per document and class: code points of the class, less those of classes before it."""
+    sizes, seen = [], []
+    for i, pattern in enumerate(_CLASSES):
+        left = f"regexp_replace(text, '{'|'.join(seen)}', '', 'g')" if seen else "text"
+        taken = f"regexp_replace(text, '{'|'.join([*seen, pattern])}', '', 'g')"
+        sizes.append(f"SELECT r, {i} AS k, length({left}) - length({taken}) AS n FROM docs")
+        seen.append(pattern)
+    sizes.append(f"SELECT r, {len(_CLASSES)}, length(regexp_replace(text, '{'|'.join(seen)}', '', 'g')) FROM docs")
+    return " UNION ALL ".join(sizes)
+
+
+def _distance(shares: str, own: str) -> str:
+    """Jensen-Shannon distance per row of ``own`` (r, k, n) to its reference in ``shares`` (ref, k, q)."""
+    return f"""
+    SELECT r, CASE WHEN max(total) > 0 THEN sqrt(greatest(sum(
+        CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END
+    ) / 2, 0)) ELSE 0 END AS far
+    FROM (
+        SELECT x.r, x.total, s.q, coalesce(o.n, 0) / greatest(x.total, 1)::DOUBLE AS p
+        FROM (SELECT r, ref, (SELECT coalesce(sum(n), 0) FROM {own} o WHERE o.r = refs.r) AS total FROM refs) x
+        JOIN {shares} s ON s.ref = x.ref LEFT JOIN {own} o ON o.r = x.r AND o.k = s.k
+    ) GROUP BY r"""
+
+
+QUALITY_RULES = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM documents
+), split AS (
+    SELECT r, lang, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM docs
+), words AS (
+    SELECT r, lang, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM split
+), windows AS (
+    SELECT r, i, [word, lead(word, 1) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w, lead(word, 4) OVER w] AS g
+    FROM words WINDOW w AS (PARTITION BY r ORDER BY i) QUALIFY lead(word, 4) OVER w IS NOT NULL
+), again AS (
+    SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1
+), repeats AS (
+    SELECT r, sum(least(5, coalesce(following - i, 5))) AS n
+    FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM again) GROUP BY r
+), lines AS (
+    SELECT r, count(*) - count(DISTINCT line) AS n
+    FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)
+    WHERE trim(line, {WHITE}) <> '' GROUP BY r
+), sizes AS ({_class_sizes()}),
+tags AS (
+    SELECT DISTINCT r, unnest(['', coalesce(lang, '')]) AS ref FROM docs
+), totals AS (
+    SELECT ref, count(*) AS total FROM words JOIN tags USING (r) GROUP BY ref
+), chosen AS (
+    SELECT * FROM totals ORDER BY (ref = '') DESC, total DESC, ref LIMIT 201
+), refs AS (
+    SELECT r, CASE WHEN EXISTS (SELECT 1 FROM chosen WHERE ref = lang) THEN lang ELSE '' END AS ref FROM docs
+), class_shares AS (
+    SELECT ref, k, sum(n) / (sum(sum(n)) OVER (PARTITION BY ref))::DOUBLE AS q FROM sizes JOIN tags USING (r) GROUP BY ref, k
+), ranked AS (
+    SELECT ref, word, count(*) AS n, row_number() OVER (PARTITION BY ref ORDER BY count(*) DESC, word) AS k
+    FROM words JOIN tags USING (r) GROUP BY ref, word QUALIFY k <= 24
+), word_shares AS (
+    SELECT ref, k, n / total::DOUBLE AS q FROM ranked JOIN chosen USING (ref)
+    UNION ALL SELECT ref, 0, (any_value(total) - sum(n)) / any_value(total)::DOUBLE FROM ranked JOIN chosen USING (ref) GROUP BY ref
+), uses AS (
+    SELECT w.r, coalesce(t.k, 0) AS k, count(*) AS n
+    FROM words w JOIN refs f ON f.r = w.r LEFT JOIN ranked t ON t.ref = f.ref AND t.word = w.word GROUP BY 1, 2
+), class_far AS ({_distance("class_shares", "sizes")}),
+word_far AS ({_distance("word_shares", "uses")}),
+counts AS (
+    SELECT d.r, d.doc_id, len(s.ws) AS n_words,
+        length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(l.n, 0) AS n_dup_lines, CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words
+    FROM docs d JOIN split s ON s.r = d.r LEFT JOIN lines l ON l.r = d.r LEFT JOIN repeats p ON p.r = d.r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words
+        OR (n_words >= 50 AND coalesce(c.far, 0) > 0.35) OR (n_words >= 100 AND coalesce(w.far, 0) > 0.65)) AS kept
+FROM counts LEFT JOIN class_far c USING (r) LEFT JOIN word_far w USING (r)
+"""
