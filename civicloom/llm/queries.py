@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicloom.llm import language_id, line_dedup, packing, quality_model, quality_rules, simhash, sql, toxicity
+from civicloom.llm import language_id, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, toxicity
 from civicloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(table(spark, sf_dir, "documents"))
 
@@ -46,10 +50,12 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_source_mixing": op6_source_mixing,
     "op7_language_id": op7_language_id,
     "op10_quality_classifier": op10_quality_classifier,
 }
 SQL: dict[str, str] = {
     "op2_line_dedup": sql.LINE_DEDUP,
     "op5_quality_rules": sql.QUALITY_RULES,
+    "op6_source_mixing": sql.MIXTURE,
 }

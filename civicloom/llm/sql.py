@@ -108,3 +108,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         OR (n_words >= 50 AND coalesce(c.far, 0) > 0.35) OR (n_words >= 100 AND coalesce(w.far, 0) > 0.65)) AS kept
 FROM counts LEFT JOIN class_far c USING (r) LEFT JOIN word_far w USING (r)
 """
+
+
+def _filled(nodes: str, parent: str, name: str, weight: str) -> str:
+    """Each parent's ``given`` shared among its nodes by weight, none over its ``room``."""
+    family = f"PARTITION BY {parent}"
+    tightest = f"{family} ORDER BY room::DOUBLE / greatest(weight, 1)::DOUBLE, {name}"
+    return f"""
+    SELECT * REPLACE (CASE WHEN is_full THEN room WHEN open > 0 THEN ((given - used) * weight) // open ELSE 0 END AS room)
+    FROM (
+        SELECT *, coalesce(sum(room) FILTER (is_full) OVER ({family}), 0)::HUGEINT AS used,
+            coalesce(sum(weight) FILTER (NOT is_full) OVER ({family}), 0)::HUGEINT AS open
+        FROM (
+            SELECT *, room * sum(weight) OVER ({tightest} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::HUGEINT
+                < (given - coalesce(sum(room) OVER ({tightest} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT) * weight AS is_full
+            FROM (SELECT *, ({weight})::HUGEINT AS weight FROM {nodes})
+        )
+    )"""
+
+
+MIXTURE = rf"""
+WITH sized AS (
+    SELECT doc_id, coalesce(lang, '') AS language, coalesce(source, '') AS source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+        md5(concat_ws(chr(31), coalesce(doc_id::VARCHAR, ''), coalesce(lang, ''), coalesce(source, ''), md5(coalesce(text, '')))) AS row_key,
+        TRY_CAST(nullif(regexp_extract(coalesce(source, ''), '([0-9]+)$', 1), '') AS BIGINT) % 3 AS number
+    FROM documents
+), sizes AS (
+    SELECT * EXCLUDE number, CASE number WHEN 0 THEN 'web' WHEN 1 THEN 'reference' WHEN 2 THEN 'dialogue' ELSE 'other' END AS domain
+    FROM sized
+), leaves AS (
+    SELECT domain, language, source, sum(n_tokens)::HUGEINT AS tokens, (2 * sum(n_tokens))::HUGEINT AS room FROM sizes GROUP BY ALL
+), domains AS ({_filled(
+    "(SELECT domain, sum(room)::HUGEINT AS room, (SELECT sum(tokens)::HUGEINT * 90 // 100 FROM leaves) AS given FROM leaves GROUP BY domain)",
+    "1", "domain", "CASE domain WHEN 'web' THEN 5 WHEN 'reference' THEN 3 WHEN 'dialogue' THEN 2 ELSE 1 END")}
+), languages AS ({_filled(
+    "(SELECT l.domain, language, sum(l.room)::HUGEINT AS room, any_value(d.room) AS given FROM leaves l JOIN domains d USING (domain) GROUP BY l.domain, language)",
+    "domain", "language", "CASE language WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 WHEN 'es' THEN 2 ELSE 1 END")}
+), budgets AS ({_filled(
+    "(SELECT l.*, g.room AS given FROM leaves l JOIN languages g USING (domain, language))", "domain, language", "source", "1")}
+), rows AS (
+    SELECT s.*, (room // tokens)::INTEGER AS epochs, room % tokens AS cut
+    FROM sizes s JOIN budgets USING (domain, language, source) WHERE tokens > 0
+), whole AS (
+    SELECT *, unnest(range(epochs))::INTEGER AS epoch FROM rows
+), prefix AS (
+    SELECT *, epochs AS epoch FROM rows QUALIFY coalesce(sum(n_tokens) OVER (
+        PARTITION BY domain, language, source ORDER BY md5(concat_ws(':', '7', epochs::VARCHAR, row_key))
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < cut
+)
+SELECT doc_id, domain, language, source, n_tokens, epoch FROM whole
+UNION ALL SELECT doc_id, domain, language, source, n_tokens, epoch FROM prefix
+"""
