@@ -32,8 +32,8 @@ from civicloom.llm.common import held_out, labelled_sample, text_of
 BITS = 20
 #: The bounded sample that the labels' word counts are taken from, by the smallest hash of the id.
 MAX_TRAINING_ROWS = 20_000
-#: Words the prior weighs as many as, standard errors of the bound, its floor, the drift, the largest E.
-PRIOR_WORDS, BOUND, LEAST, DRIFT, MOST_E = 10_000.0, 2.0, -2.0, 0.5, 0.1
+#: The prior's weight as a share of the rarer class's, standard errors of the bound, its floor, the drift, the largest E.
+PRIOR_SHARE, BOUND, LEAST, DRIFT, MOST_E = 0.05, 2.0, -2.0, 0.5, 0.1
 #: Bytes of a word's stems.
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
@@ -117,7 +117,8 @@ def token_scores(toxic: np.ndarray, other: np.ndarray, corpus: np.ndarray) -> np
     ``toxic`` and ``other`` count the texts that hold a token, so one text that repeats a
     word says it once. A token met in few texts has a wide bound and no positive score.
     """
-    prior = PRIOR_WORDS * (corpus + 1e-3) / (corpus + 1e-3).sum()
+    weight = max(PRIOR_SHARE * min(toxic.sum(), other.sum()), 1.0)
+    prior = weight * (corpus + 1e-3) / (corpus + 1e-3).sum()
     a, b = toxic + prior, other + prior
     odds = np.log(a / (a.sum() - a)) - np.log(b / (b.sum() - b))
     return np.maximum(odds - BOUND * np.sqrt(1 / a + 1 / b), LEAST) - DRIFT
