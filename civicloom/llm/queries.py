@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicloom.llm import html_text, language_id, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, toxicity
+from civicloom.llm import embedding_dedup, html_text, language_id, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, toxicity
 from civicloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op6_source_mixing": op6_source_mixing,
     "op7_language_id": op7_language_id,
     "op8_html_extraction": op8_html_extraction,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 SQL: dict[str, str] = {
