@@ -17,12 +17,12 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from civicloom.llm.common import held_out, labelled_sample, text_of
 
@@ -142,9 +142,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
     return np.frombuffer(model["weights"], np.float32)
 
 
-def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``docs`` with ``score``, all else as it was."""
-    model = docs.sparkSession.sparkContext.broadcast(weights)
+def scorer(spark: SparkSession, weights: np.ndarray) -> Callable[[Column], Column]:
+    """A column function that scores texts."""
+    model = spark.sparkContext.broadcast(weights)
 
     @F.pandas_udf("double")
     def of(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -152,12 +152,19 @@ def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         for texts in frames:
             yield pd.Series(scores(texts.tolist(), model.value, features), dtype="float64")
 
-    return docs.withColumn("score", of(text_of()))
+    return of
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows the classifier doesn't reject, with all their columns."""
+    score = scorer(docs.sparkSession, train(docs, labels))
+    return docs.filter(score(text_of()) >= THRESHOLD)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row."""
-    scored = score(docs.select("doc_id", "text"), train(docs, labels))
+    score = scorer(docs.sparkSession, train(docs, labels))
+    scored = docs.select("doc_id", score(text_of()).alias("score"))
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
