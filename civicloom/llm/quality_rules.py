@@ -7,8 +7,8 @@ from a least length on, since short texts diverge by chance. Everything is built
 functions over the row's own arrays, so no text leaves its row.
 
 Defined results. Null or empty text has no word, so the base rules fail it. A language
-that is null or not among the ``MAX_LANGUAGES`` with most words is compared with all
-languages together. Ties among common words go to the smaller word. Repeated rows are
+that is null or not among the ``MAX_LANGUAGES`` with most words has its classes compared
+with all languages together, and its words with nothing. Ties among common words go to the smaller word. Repeated rows are
 judged each and count each in the references; a null id is an id like others. Extra
 columns are ignored.
 """
@@ -18,12 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from civicloom.llm.common import WHITE, text_of
+from civicloom.session import stage_table
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW_WORDS = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
 #: Character classes in the order they are taken out of the text; what is left is the last class.
 CLASSES = ("[a-z]+", r"[ \t\n\x0b\f\r]+", "[A-Z]+", "[0-9]+", "[#*$%&|<>]+", "[\\x21-\\x7e]+")
-COMMON_WORDS, MAX_LANGUAGES, ALL = 24, 200, ""
+COMMON_WORDS, MAX_LANGUAGES = 24, 200
 #: Distances above these fail a document of at least so many words.
 MAX_CLASS_DISTANCE, CLASS_MIN_WORDS = 0.35, 50
 MAX_WORD_DISTANCE, WORD_MIN_WORDS = 0.65, 100
@@ -96,31 +97,23 @@ def counted(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(docs: DataFrame) -> list[tuple[str, list[float], list[int], list[float]]]:
-    """``language, class shares, common word hashes, their shares and the rest's``: one entry of ``ALL``
-    and at most ``MAX_LANGUAGES`` more."""
-    rows = docs.select(F.col("lang").cast("string").alias("lang"), text_of().alias("text"))
-    sides = F.explode(F.array_distinct(F.array(F.lit(ALL), F.coalesce("lang", F.lit(ALL)))))
-    width = len(CLASSES) + 1
-    sums = _with_classes(rows).groupBy("lang").agg(*[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(width)])
-    sums = sums.withColumn("lang", sides).groupBy("lang").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(width)])
-    words = _with_words(rows).select("lang", F.explode("words").alias("word")).groupBy("lang", "word").count()
-    words = words.withColumn("lang", sides).groupBy("lang", "word").agg(F.sum("count").alias("n"))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    largest = totals.orderBy((F.col("lang") == ALL).desc(), F.desc("total"), "lang").limit(MAX_LANGUAGES + 1)
-    first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = words.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= COMMON_WORDS)
-    classes = {r["lang"]: list(r)[1:] for r in sums.join(F.broadcast(largest.select("lang")), "lang").collect()}
+def common_words(docs: DataFrame) -> dict[str, tuple[list[int], list[float]]]:
+    """Hashes of each language's commonest words, and the shares of those and of all other words."""
+    rows = docs.select(F.col("lang").cast("string").alias("lang"), text_of().alias("text")).filter("lang IS NOT NULL")
+    counts = _with_words(rows).select("lang", F.explode("words").alias("word")).groupBy("lang", "word").count()
+    # The rank limit runs before the shuffle. A null word stands for the language's total.
+    total = counts.groupBy("lang").agg(F.sum("count").alias("count")).withColumn("word", F.lit(None).cast("string"))
+    first = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
+    top = counts.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= COMMON_WORDS).drop("place")
     found: dict[str, list] = {}
-    for r in top.join(F.broadcast(largest), "lang").select("lang", "place", F.xxhash64("word").alias("h"), "n", "total").collect():
-        found.setdefault(r["lang"], []).append((r["place"], r["h"], r["n"], r["total"]))
-    result = []
-    for lang, own in sorted(found.items()):
-        own.sort()
-        total, chars = own[0][3], sum(classes[lang])
-        shares = [n / total for _, _, n, _ in own]
-        rest = (total - sum(n for _, _, n, _ in own)) / total
-        result.append((lang, [c / chars for c in classes[lang]], [h for _, h, _, _ in own], [*shares, rest]))
+    for r in top.unionByName(total).select("lang", "word", F.xxhash64("word").alias("h"), "count").collect():
+        found.setdefault(r["lang"], []).append((r["word"] is not None, -r["count"], r["word"], r["h"]))
+    result = {}
+    for lang, own in sorted(found.items(), key=lambda x: (min(x[1])[1], x[0]))[:MAX_LANGUAGES]:
+        (_, total, _, _), *words = sorted(own, key=lambda x: (x[0], x[1], x[2] or ""))
+        shares = [n / total for _, n, _, _ in words]
+        rest = (total - sum(n for _, n, _, _ in words)) / total
+        result[lang] = ([h for *_, h in words], [*shares, rest])
     return result
 
 
@@ -137,29 +130,42 @@ def _distance(counts: Column, shares: Column) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(both / 2, F.lit(0.0)))).otherwise(0.0)
 
 
+def _shares(sums: list[int]) -> list[float]:
+    return [n / max(sum(sums), 1) for n in sums]
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words``, the base counts, ``base_failed`` and ``kept`` of every row."""
-    known = references(docs)
-    rows = counted(docs)
+    spark = docs.sparkSession
+    known = common_words(docs)
+    kinds = "lang string, common array<bigint>, word_shares array<double>"
+    table = spark.createDataFrame([(k, *v) for k, v in known.items()], kinds)  # at most MAX_LANGUAGES rows
+    rows = counted(docs).join(F.broadcast(table), "lang", "left")
+    at = F.array_remove(F.transform("word_hashes", lambda h: F.array_position("common", h).cast("int")), 0)
+    rows = rows.withColumn("at", at)
+    ranks = F.sequence(F.lit(1), F.size("common"))
+    uses = F.transform(ranks, lambda k: (F.size("at") - F.size(F.array_remove("at", k))).cast("bigint"))
+    uses = F.concat(uses, F.array(F.col("n_words") - F.size("at")))
+    word_far = F.when(
+        F.col("common").isNotNull() & (F.col("n_words") >= WORD_MIN_WORDS),
+        _distance(uses, F.col("word_shares")) > MAX_WORD_DISTANCE,
+    ).otherwise(False)
+    # One pass over the texts gives each row's few numbers; the class references are sums over those.
+    rows = stage_table(rows.withColumn("word_far", word_far).drop("word_hashes", "common", "word_shares", "at"), "rule_counts")
+    width = len(CLASSES) + 1
+    sums = rows.groupBy("lang").agg(*[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(width)])
+    everything = [n or 0 for n in sums.agg(*[F.sum(f"c{i}") for i in range(width)]).first()]
+    own = [(r[0], _shares(list(r)[1:])) for r in sums.filter(F.col("lang").isin(*known)).collect()] if known else []
+    shares = spark.createDataFrame(own, "lang string, class_shares array<double>")  # at most MAX_LANGUAGES rows
+    rows = rows.join(F.broadcast(shares), "lang", "left")
+    every = F.array(*map(F.lit, _shares(everything)))
+    class_far = F.when(
+        F.col("n_words") >= CLASS_MIN_WORDS,
+        _distance(F.col("classes"), F.coalesce("class_shares", every)) > MAX_CLASS_DISTANCE,
+    ).otherwise(False)
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | repeats)
-    if known:
-        kinds = "ref string, class_shares array<double>, common array<bigint>, word_shares array<double>"
-        table = docs.sparkSession.createDataFrame(known, kinds)  # at most MAX_LANGUAGES + 1 rows
-        names = F.array(*[F.lit(lang) for lang, *_ in known])
-        ref = F.when(F.array_contains(names, F.col("lang")), F.col("lang")).otherwise(ALL)
-        rows = rows.withColumn("ref", ref).join(F.broadcast(table), "ref", "left")
-        at = F.transform("word_hashes", lambda h: F.array_position("common", h).cast("int"))
-        rows = rows.withColumn("at", at)
-        ranks = F.concat(F.sequence(F.lit(1), F.size("common")), F.array(F.lit(0)))
-        uses = F.transform(ranks, lambda k: (F.size("at") - F.size(F.array_remove("at", k))).cast("bigint"))
-        rows = rows.withColumn("uses", uses)
-        far = (
-            (F.col("n_words") >= CLASS_MIN_WORDS) & (_distance(F.col("classes"), F.col("class_shares")) > MAX_CLASS_DISTANCE)
-        ) | ((F.col("n_words") >= WORD_MIN_WORDS) & (_distance(F.col("uses"), F.col("word_shares")) > MAX_WORD_DISTANCE))
-    else:
-        far = F.lit(False)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~far).alias("kept"),
+        (~F.col("base_failed") & ~class_far & ~F.col("word_far")).alias("kept"),
     )

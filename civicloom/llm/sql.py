@@ -41,7 +41,7 @@ def _class_sizes() -> str:
     return " UNION ALL ".join(sizes)
 
 
-def _distance(shares: str, own: str) -> str:
+def _distance(shares: str, own: str, refs: str) -> str:
     """Jensen-Shannon distance per row of ``own`` (r, k, n) to its reference in ``shares`` (ref, k, q)."""
     return f"""
     SELECT r, CASE WHEN max(total) > 0 THEN sqrt(greatest(sum(
@@ -49,7 +49,7 @@ def _distance(shares: str, own: str) -> str:
     ) / 2, 0)) ELSE 0 END AS far
     FROM (
         SELECT x.r, x.total, s.q, coalesce(o.n, 0) / greatest(x.total, 1)::DOUBLE AS p
-        FROM (SELECT r, ref, (SELECT coalesce(sum(n), 0) FROM {own} o WHERE o.r = refs.r) AS total FROM refs) x
+        FROM (SELECT r, ref, (SELECT coalesce(sum(n), 0) FROM {own} o WHERE o.r = refs.r) AS total FROM {refs} refs) x
         JOIN {shares} s ON s.ref = x.ref LEFT JOIN {own} o ON o.r = x.r AND o.k = s.k
     ) GROUP BY r"""
 
@@ -74,27 +74,26 @@ WITH docs AS (
     FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs)
     WHERE trim(line, {WHITE}) <> '' GROUP BY r
 ), sizes AS ({_class_sizes()}),
-tags AS (
-    SELECT DISTINCT r, unnest(['', coalesce(lang, '')]) AS ref FROM docs
-), totals AS (
-    SELECT ref, count(*) AS total FROM words JOIN tags USING (r) GROUP BY ref
-), chosen AS (
-    SELECT * FROM totals ORDER BY (ref = '') DESC, total DESC, ref LIMIT 201
+totals AS (
+    SELECT lang AS ref, count(*) AS total FROM words WHERE lang IS NOT NULL GROUP BY lang ORDER BY total DESC, ref LIMIT 200
 ), refs AS (
-    SELECT r, CASE WHEN EXISTS (SELECT 1 FROM chosen WHERE ref = lang) THEN lang ELSE '' END AS ref FROM docs
+    SELECT r, ref FROM docs LEFT JOIN totals ON ref = lang
+), class_refs AS (
+    SELECT r, coalesce(ref, '*all*') AS ref FROM refs
 ), class_shares AS (
-    SELECT ref, k, sum(n) / (sum(sum(n)) OVER (PARTITION BY ref))::DOUBLE AS q FROM sizes JOIN tags USING (r) GROUP BY ref, k
+    SELECT ref, k, sum(n) / (sum(sum(n)) OVER (PARTITION BY ref))::DOUBLE AS q FROM sizes JOIN refs USING (r) WHERE ref IS NOT NULL GROUP BY ref, k
+    UNION ALL SELECT '*all*', k, sum(n) / (sum(sum(n)) OVER ())::DOUBLE FROM sizes GROUP BY k
 ), ranked AS (
-    SELECT ref, word, count(*) AS n, row_number() OVER (PARTITION BY ref ORDER BY count(*) DESC, word) AS k
-    FROM words JOIN tags USING (r) GROUP BY ref, word QUALIFY k <= 24
+    SELECT lang AS ref, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS k
+    FROM words WHERE lang IS NOT NULL GROUP BY lang, word QUALIFY k <= 24
 ), word_shares AS (
-    SELECT ref, k, n / total::DOUBLE AS q FROM ranked JOIN chosen USING (ref)
-    UNION ALL SELECT ref, 0, (any_value(total) - sum(n)) / any_value(total)::DOUBLE FROM ranked JOIN chosen USING (ref) GROUP BY ref
+    SELECT ref, k, n / total::DOUBLE AS q FROM ranked JOIN totals USING (ref)
+    UNION ALL SELECT ref, 0, (any_value(total) - sum(n)) / any_value(total)::DOUBLE FROM ranked JOIN totals USING (ref) GROUP BY ref
 ), uses AS (
     SELECT w.r, coalesce(t.k, 0) AS k, count(*) AS n
     FROM words w JOIN refs f ON f.r = w.r LEFT JOIN ranked t ON t.ref = f.ref AND t.word = w.word GROUP BY 1, 2
-), class_far AS ({_distance("class_shares", "sizes")}),
-word_far AS ({_distance("word_shares", "uses")}),
+), class_far AS ({_distance("class_shares", "sizes", "class_refs")}),
+word_far AS ({_distance("word_shares", "uses", "refs")}),
 counts AS (
     SELECT d.r, d.doc_id, len(s.ws) AS n_words,
         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,

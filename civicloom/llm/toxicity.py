@@ -189,8 +189,8 @@ def fit(rows: list[tuple[str, int]], corpus: np.ndarray) -> Model:
     return _scored(bins, label, corpus)._replace(log_k=log_k, slope=slope, base=base)
 
 
-def word_counts(docs: DataFrame) -> np.ndarray:
-    """Tokens per bin over all documents; at most ``2 ** BITS`` rows reach the driver."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``bin, n``: tokens per bin over all documents, at most ``2 ** BITS`` rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = Tokens(), np.zeros(1 << BITS, dtype=np.int64)
@@ -201,24 +201,26 @@ def word_counts(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met], pa.int64())], ["bin", "n"])
 
     rows = docs.select(text_of().alias("text")).mapInArrow(run, "bin int, n bigint")
-    found = rows.groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
-    corpus = np.zeros(1 << BITS)
-    corpus[found["bin"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=float)
-    return corpus
+    return rows.groupBy("bin").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Model:
-    """Word rates of all documents, then a fit on the bounded sample in one task."""
-    corpus = docs.sparkSession.sparkContext.broadcast(word_counts(docs))
+    """Word counts of all documents and the bounded sample meet in one task; both are of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-        model = fit(rows, corpus.value)
+        corpus, rows = np.zeros(1 << BITS), []
+        for b in batches:
+            counted = b.filter(b.column("bin").is_valid())
+            corpus[counted.column("bin").to_numpy(zero_copy_only=False)] = counted.column("n").to_numpy(zero_copy_only=False)
+            sampled = b.filter(b.column("text").is_valid())
+            rows += zip(sampled.column("text").to_pylist(), sampled.column("label").to_pylist())
+        model = fit(sorted(rows, key=lambda row: (zlib.crc32(row[0].encode()), row)), corpus)
         columns = [pa.array([model.scores.astype(np.float32).tobytes()], pa.binary()), pa.array([json.dumps(model[1:])])]
         yield pa.RecordBatch.from_arrays(columns, ["scores", "rest"])
 
     sample = labelled_sample(docs, labels, "toxic", max_rows).select("text", "label")
-    row = sample.coalesce(1).mapInArrow(run, "scores binary, rest string").first()
+    both = word_counts(docs).unionByName(sample, allowMissingColumns=True)
+    row = both.coalesce(1).mapInArrow(run, "scores binary, rest string").first()
     return Model(np.frombuffer(row["scores"], np.float32), *json.loads(row["rest"]))
 
 
