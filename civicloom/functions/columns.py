@@ -10,6 +10,10 @@ from pyspark.sql import Column, functions as F
 from civicloom import rules
 
 
+#: From here on a double has no fraction.
+WHOLE_ABOVE = float(2**52)
+
+
 def timestamp_literal(value: datetime) -> Column:
     """A zone-free timestamp with exactly these clock fields, whatever the session's zone."""
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -20,11 +24,13 @@ def round_half_away(value: Column, digits: int) -> Column:
 
     Spark's own ``round`` goes through the decimal text of a double and so gives
     1.01 for 1.005; scaling the double itself gives 1.0, which is what a SQL
-    engine on binary doubles prints.
+    engine on binary doubles prints. NaN and infinity stay, and so does a number so large
+    that it has no such digits.
     """
     scale = float(10**digits)
     shifted = F.floor(F.abs(value) * scale + 0.5).cast("double") / scale
-    return F.when(value < 0, -shifted).otherwise(shifted)
+    # NaN counts as larger than any number, so it is kept too.
+    return F.when(F.abs(value) * scale >= WHOLE_ABOVE, value).when(value < 0, -shifted).otherwise(shifted)
 
 
 def clean_upper(value: Column) -> Column:

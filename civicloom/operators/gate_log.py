@@ -61,9 +61,16 @@ def promotion_verdicts(log: DataFrame) -> DataFrame:
 
 
 def gate_grid(log: DataFrame, gates: Sequence[str] = tuple(GATES)) -> DataFrame:
-    """Assets by gates, each cell the newest status."""
+    """Assets by gates, each cell the newest status.
+
+    The listed gates are columns in that order; any other gate is an entry of the map
+    ``other_gates``, so that the columns don't depend on the log and no result is lost.
+    """
     newest = latest_status(log, ["asset_name", "gate_name"])
-    return newest.groupBy("asset_name").pivot("gate_name", list(gates)).agg(F.first("status"))
+    cells = [F.max(F.when(F.col("gate_name") == gate, F.col("status"))).alias(gate) for gate in gates]
+    entry = F.when(~F.col("gate_name").isin(*gates), F.struct("gate_name", "status"))
+    others = F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("other_gates")
+    return newest.groupBy("asset_name").agg(*cells, others)
 
 
 def run_detail(log: DataFrame, run_id: str) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from civicloom import rules, schemas
 from civicloom.functions.columns import (
@@ -19,11 +20,18 @@ from civicloom.functions.columns import (
 from civicloom.functions.windows import keep_latest, top_value
 from civicloom.operators import anomaly, classify, forecast, gate_log, gates, marts, silver as silver_layer
 from civicloom.operators.gates import GateContext
-from civicloom.plans.pipeline import GateConfig, Layers, build_gold, run_gates
+from civicloom.plans.pipeline import DAILY_CONFIG, Layers, build_gold, run_gates
 from civicloom.session import stage_path, stage_table
 from civicloom.sources import driver_tables as given
 from civicloom.sources.increments import ingest_increment, late_rows
-from civicloom.sources.readers import read_json_bronze
+from civicloom.sources.readers import (
+    malformed_json,
+    read_json_bronze,
+    read_optional,
+    read_tabular,
+    with_series_from_filename,
+)
+from civicloom.sources.sinks import write_findings, write_sorted
 from civicloom.streaming import streams
 
 SCORED_AT = datetime(2024, 1, 31)
@@ -99,6 +107,23 @@ def q_ingest_increment(spark, sf_dir):
     )
 
 
+@register
+def q_ingest_late(spark, sf_dir):
+    """Two pulls: the second finds rows that are new but before the mark, and they are held, not lost."""
+    events = given.table(spark, sf_dir, "events")
+    state, target, held = stage_path(spark, "mark"), stage_path(spark, "bronze"), stage_path(spark, "held")
+    timed = events.withColumn("ts", F.when(F.col("event_id") % 11 != 0, F.col("ts")))
+    first = late_rows(timed, "ts", SPLIT_AT).filter("event_id % 3 <> 0")
+    for pull in (first, timed):
+        ingest_increment(pull, state, "ts", target, quarantine=held, keys=["event_id"])
+    kept = spark.read.parquet(target).select(F.lit("ingested").alias("reason"), "event_id", "ts")
+    rows = kept.unionByName(spark.read.parquet(held).select("reason", "event_id", "ts"))
+    return rows.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("event_id").alias("event_count"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+    )
+
+
 @register
 def q_late_rows(spark, sf_dir):
     return late_rows(given.table(spark, sf_dir, "events"), "ts", SPLIT_AT)
@@ -247,6 +272,26 @@ def _gate_rows(*results: DataFrame) -> DataFrame:
     )
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
+
+
+@register
+def gate_schema_tables(spark, sf_dir):
+    """The schema gate on every given table against a contract that lacks its last column, with row counts."""
+    found = []
+    for name in TABLES:
+        df = given.table(spark, sf_dir, name)
+        contract = dict(df.dtypes[:-1])
+        row = gates.schema_gate(spark, df, _context(name), contract)
+        extra = F.from_json("details", "extra_columns array<string>")["extra_columns"]
+        count = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("asset_name", F.lit(name))
+        found.append(row.select("asset_name", "status", "record_count", F.array_join(extra, ",").alias("extra")).join(count, "asset_name"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @register
 def gate_schema(spark, sf_dir):
     lines = given.table(spark, sf_dir, "lineitem")
@@ -382,18 +427,27 @@ def gate_promotion(spark, sf_dir):
 
 @register
 def q_run_gates(spark, sf_dir):
-    bronze, silver, _, held = _layers(spark, sf_dir)
-    gold = stage_table(
-        silver.groupBy("complaint_date", "borough").agg(F.count(F.lit(1)).alias("complaint_count")), "gold"
-    )
-    config = GateConfig(
-        contract={"complaint_date": "DATE", "borough": "VARCHAR", "complaint_count": "BIGINT"},
-        critical=["complaint_date", "borough", "complaint_count"],
-        ranges={"complaint_count": (0, 1_000_000)},
-        quarantine_warn=0.10, aggregated=True, soft_mb=100.0, hard_mb=500.0,
+    """The seven gates and the verdict on the library's own daily mart, under its own configuration."""
+    return _gates_on_daily(spark, sf_dir, lambda daily: daily, DAILY_CONFIG)
+
+
+@register
+def q_run_gates_broken(spark, sf_dir):
+    """A mart without its borough and with a range on a text column: gates that can't run say ``fail``."""
+    config = replace(DAILY_CONFIG, ranges={"complaint_text": (0, 1)})
+    return _gates_on_daily(
+        spark, sf_dir, lambda daily: daily.withColumn("complaint_text", F.lit("many")).drop("borough"), config
     )
+
+
+def _gates_on_daily(spark, sf_dir, change, config):
+    bronze = given.table(spark, sf_dir, "lineitem")
+    silver = _stored_silver(spark, sf_dir)
+    held = silver.filter(~F.coalesce(F.trim("incident_address") != "", F.lit(False)))
+    gold = stage_table(change(marts.daily_complaints(silver)), "gold")
     layers = Layers(gold, silver, bronze, held, given.validation_reports(spark, sf_dir))
-    return run_gates(spark, layers, config, _context("gold.click")).select(
+    log = stage_path(spark, "gate_log")
+    return run_gates(spark, layers, config, _context("gold.click"), log).select(
         "run_id", "asset_name", "gate_name", "status", "executed_at"
     )
 
@@ -424,7 +478,9 @@ def log_verdicts(spark, sf_dir):
 
 @register
 def log_grid(spark, sf_dir):
-    return gate_log.gate_grid(given.gate_log(spark, sf_dir))
+    grid = gate_log.gate_grid(given.gate_log(spark, sf_dir), [*rules.REQUIRED_GATES, rules.PROMOTION_GATE])
+    others = F.transform(F.map_entries("other_gates"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return grid.withColumn("other_gates", F.array_join(others, ","))
 
 
 @register
@@ -656,3 +712,123 @@ def stream_keep_latest(spark, sf_dir):
     keys, order = ["user_id"], [F.desc("ts"), F.desc("event_id")]
     streams.stream_keep_latest(_event_stream(spark, sf_dir), target, checkpoint, keys, order).awaitTermination()
     return streams.latest_view(spark, target, keys, order)
+
+
+@register
+def stream_compacted(spark, sf_dir):
+    """Three micro-batches in bad time order, folded into a base after the second; the third comes on top."""
+    events, source = given.table(spark, sf_dir, "events"), stage_path(spark, "arrivals")
+    target, checkpoint = stage_path(spark, "latest"), stage_path(spark, "latest-checkpoint")
+    keys, order = ["user_id"], [F.desc("ts"), F.desc("event_id")]
+    for part in (1, 0, 2):
+        events.filter(F.col("event_id") % 3 == part).write.mode("append").parquet(source)
+        stream = streams.stream_bronze(spark, source, events.schema, "parquet")
+        streams.stream_keep_latest(stream, target, checkpoint, keys, order).awaitTermination()
+        if part == 0:
+            streams.compact(spark, target, keys, order)
+            streams.retire(spark, target)
+    return streams.latest_view(spark, target, keys, order)
+
+
+# --- Sources and sinks, read back -------------------------------------------
+
+
+@register
+def bronze_json_arrays(spark, sf_dir):
+    """One array of objects per file, files with different columns, one of them not JSON."""
+    orders, path = given.table(spark, sf_dir, "orders"), stage_path(spark, "arrays")
+    fields = [F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_orderstatus", "o_orderpriority")]
+    rows = orders.select(*fields, F.floor(F.col("o_orderkey") / 2000).alias("block"))  # a file holds at most 2,000
+    for part, columns in enumerate((["o_orderkey", "o_orderstatus"], ["o_orderkey", "o_orderpriority"])):
+        some = rows.filter((F.col("o_orderkey").cast("bigint") % 2) == part).groupBy("block").agg(
+            F.to_json(F.collect_list(F.struct(*columns))).alias("value")
+        )
+        some.write.mode("append").partitionBy("block").text(path)
+    spark.range(1).select(F.lit('[{"o_orderkey": ').alias("value")).write.text(f"{path}/block=-1")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("o_orderkey", "o_orderstatus", "o_orderpriority")])
+    read = read_json_bronze(spark, path, schema).agg(
+        F.count("o_orderkey").alias("documents"), F.countDistinct("o_orderkey").alias("orders"),
+        F.count("o_orderstatus").alias("with_status"), F.count("o_orderpriority").alias("with_priority"),
+    )
+    bad = malformed_json(spark, path, schema).agg(F.sum("malformed").cast("bigint").alias("malformed"))
+    return read.join(bad, F.lit(True))
+
+
+@register
+def macro_from_files(spark, sf_dir):
+    """The series key comes from the name of the file a row is in."""
+    path = stage_path(spark, "series")
+    orders = given.table(spark, sf_dir, "orders").select("o_orderstatus", "o_totalprice")
+    for name, status in (("UNRATE", "O"), ("CPIAUCSL", "F"), ("FEDFUNDS", "P")):
+        folder = f"{path}/raw/{name}"
+        orders.filter(F.col("o_orderstatus") == status).write.json(folder)
+        _rename_parts(spark, folder, f"{path}/{name}")
+    rows = with_series_from_filename(spark.read.schema("o_orderstatus string, o_totalprice double").json(f"{path}/*.json"))
+    return rows.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("highest"))
+
+
+def _rename_parts(spark: SparkSession, folder: str, name: str) -> None:
+    """Give the files a writer left in a folder names of their own, by day."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(str(s.getPath()) for s in files.listStatus(path(folder)) if s.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        files.rename(path(part), path(f"{name}_{20240101 + i}.json"))
+
+
+@register
+def q_read_tabular(spark, sf_dir):
+    """The same table as CSV and as Parquet."""
+    customers, path = given.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal"), stage_path(spark, "tab")
+    customers.write.option("header", True).csv(f"{path}/t.csv")
+    customers.write.parquet(f"{path}/t")
+    both = [read_tabular(spark, f"{path}/t.csv", customers.schema), read_tabular(spark, f"{path}/t")]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(i).alias("form"), "*") for i, df in enumerate(both)])
+
+
+@register
+def q_read_optional(spark, sf_dir):
+    """A table that is there, and one that is not."""
+    there, absent = (read_optional(spark, f"{sf_dir}/{name}.parquet") for name in ("supplier", "nothing"))
+    return there.groupBy("s_nationkey").count().withColumn("other_is_absent", F.lit(absent is None))
+
+
+@register
+def findings_written(spark, sf_dir):
+    """Findings written as CSV and JSON, read back and counted."""
+    found = anomaly.iqr_anomalies(given.table(spark, sf_dir, "events"), "events", ["event_id"])
+    path = stage_path(spark, "findings")
+    write_findings(found, path)
+    flat = T.StructType([T.StructField(f.name, T.StringType()) for f in found.schema.fields])
+    forms = {
+        "csv": spark.read.option("header", True).schema(flat).csv(f"{path}/csv"),
+        "json": spark.read.schema(found.schema).json(f"{path}/json"),
+    }
+    rows = [df.select(F.lit(k).alias("form"), "column_name", F.col("value").cast("double").alias("value")) for k, df in forms.items()]
+    return reduce(DataFrame.unionByName, rows).groupBy("form", "column_name").agg(
+        F.count(F.lit(1)).alias("findings"), F.max("value").alias("largest")
+    )
+
+
+@register
+def sorted_files(spark, sf_dir):
+    """A table in one total order over its files: neighbours in reading order never go down."""
+    path = stage_path(spark, "sorted")
+    parts = given.table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    write_sorted(parts, path, [F.asc("p_retailprice"), F.asc("p_partkey")])
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("p_retailprice").alias("low"), F.max("p_retailprice").alias("high")
+    )
+    in_order = F.coalesce(F.col("low") >= F.lag("high").over(Window.orderBy("file")), F.lit(True))
+    return files.withColumn("in_order", in_order).agg(
+        F.sum("n").alias("row_count"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.bool_and("in_order").alias("in_order"),
+    )
+
+
+@register
+def detected_columns(spark, sf_dir):
+    """The score column found by its values, as no name says so."""
+    lines = given.table(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity", "l_tax", "l_returnflag")
+    found = anomaly.detect_columns(lines)
+    return lines.agg(*[F.lit(found[k]).cast("string").alias(k) for k in ("score", "address", "zip", "borough")], F.count(F.lit(1)).alias("n"))

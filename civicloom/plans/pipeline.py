@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from civicloom import rules
@@ -72,9 +73,12 @@ class GateConfig:
 
 # The configuration of the daily mart.
 DAILY_CONFIG = GateConfig(
-    contract={"complaint_date": "DATE", "borough": "VARCHAR", "complaint_count": "BIGINT"},
-    critical=["complaint_date", "borough", "complaint_count"],
-    ranges={"complaint_count": (0, 1_000_000)},
+    contract={
+        "complaint_date": "DATE", "borough": "VARCHAR", "total_complaints": "BIGINT", "closed_complaints": "BIGINT",
+        "open_complaints": "BIGINT", "avg_resolution_days": "DOUBLE", "anomaly_count": "BIGINT",
+    },
+    critical=["complaint_date", "borough", "total_complaints"],
+    ranges={"total_complaints": (0, 1_000_000)},
     aggregated=True,
     soft_mb=100.0,
     hard_mb=500.0,
@@ -92,6 +96,25 @@ class Layers:
     reports: DataFrame | None = None
 
 
+def logged_failures(
+    spark: SparkSession, ctx: GateContext, checks: Mapping[str, Callable[[], DataFrame]]
+) -> DataFrame:
+    """The gates' rows, each evaluated on its own: one that cannot run is a ``fail`` row with its error.
+
+    A gate is one row, so holding the rows costs nothing.
+    """
+    results = []
+    for gate, check in checks.items():
+        try:
+            found = check()
+            rows = spark.createDataFrame(found.collect(), found.schema)
+        except PySparkException as error:
+            reason = error.getCondition() or type(error).__name__
+            rows = gates.fixed_result(spark, gate, ctx, gates.outcome("fail", f"the gate could not run: {reason}"))
+        results.append(rows)
+    return reduce(DataFrame.unionByName, results)
+
+
 def required_gates(spark: SparkSession, layers: Layers, config: GateConfig, ctx: GateContext) -> DataFrame:
     """The seven required gates as seven rows."""
     gold = layers.gold
@@ -100,27 +123,24 @@ def required_gates(spark: SparkSession, layers: Layers, config: GateConfig, ctx:
         message = f"table {ctx.asset} does not exist"
         return gates.fixed_result(spark, gate, ctx, gates.outcome("fail", message))
 
-    quality = absent("data_quality") if gold is None else gates.data_quality_gate(
-        gold, ctx, config.critical, config.ranges, config.null_warn, config.null_fail
-    )
-    cost = absent("cost") if gold is None else gates.cost_gate(
-        gold, ctx, config.soft_mb, config.hard_mb, config.bytes_per_row, config.export_path
-    )
-    results = [
-        gates.schema_gate(spark, gold, ctx, config.contract),
-        quality,
-        gates.validation_gate(spark, layers.reports, ctx, config.max_age_hours),
-        gates.quarantine_gate(
+    return logged_failures(spark, ctx, {
+        "schema": lambda: gates.schema_gate(spark, gold, ctx, config.contract),
+        "data_quality": lambda: absent("data_quality") if gold is None else gates.data_quality_gate(
+            gold, ctx, config.critical, config.ranges, config.null_warn, config.null_fail
+        ),
+        "validation": lambda: gates.validation_gate(spark, layers.reports, ctx, config.max_age_hours),
+        "quarantine": lambda: gates.quarantine_gate(
             spark, gold, layers.silver, layers.quarantine, ctx, config.quarantine_warn,
             config.aggregated, config.has_quarantine,
         ),
-        gates.reconciliation_gate(
+        "reconciliation": lambda: gates.reconciliation_gate(
             spark, gold, layers.silver, layers.bronze, ctx, config.attrition, config.aggregated
         ),
-        cost,
-        gates.security_gate(spark, gold, ctx, config.whitelist, config.sample),
-    ]
-    return reduce(DataFrame.unionByName, results)
+        "cost": lambda: absent("cost") if gold is None else gates.cost_gate(
+            gold, ctx, config.soft_mb, config.hard_mb, config.bytes_per_row, config.export_path
+        ),
+        "security": lambda: gates.security_gate(spark, gold, ctx, config.whitelist, config.sample),
+    })
 
 
 def run_gates(

@@ -16,12 +16,29 @@ def read_json_bronze(
     A file is one document, an array of objects or a single object; with ``lines`` it
     holds one object per line, which lets Spark split a large file over many tasks.
     Columns a file lacks come back NULL, columns outside the schema are not read,
-    and documents or lines that do not parse are left out.
+    and documents or lines that do not parse are left out; ``malformed_json`` counts them.
+    A file that is no ``lines`` file is parsed whole by one task, so it should hold no
+    more than a few hundred megabytes.
     """
     reader = spark.read.schema(schema).option("mode", "DROPMALFORMED")
     return reader.option("multiLine", not lines).json(path)
 
 
+def malformed_json(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, lines: bool = False
+) -> DataFrame:
+    """``source_file, documents, malformed``: what ``read_json_bronze`` reads and leaves out, by file."""
+    marked = T.StructType([*schema.fields, T.StructField("_malformed", T.StringType())])
+    reader = spark.read.schema(marked).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed")
+    rows = reader.option("multiLine", not lines).json(path)
+    # Spark refuses to read the corrupt record alone, so a column is read with it; no length is below zero.
+    first = F.length(F.coalesce(F.col(schema.fieldNames()[0]).cast("string"), F.lit("")))
+    bad = F.when(F.col("_malformed").isNotNull() | (first < 0), 1).otherwise(0).cast("bigint")
+    return rows.groupBy(F.col("_metadata.file_name").alias("source_file")).agg(
+        F.sum(1 - bad).alias("documents"), F.sum(bad).alias("malformed")
+    )
+
+
 def file_name() -> Column:
     return F.col("_metadata.file_name")
 

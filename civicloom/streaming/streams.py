@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from civicloom.functions.windows import keep_latest
 from civicloom.operators.marts import daily_aggregates
@@ -75,7 +75,7 @@ def stream_keep_latest(
     """Append each micro-batch's newest record per key.
 
     A batch writes only its own rows, never the table. ``latest_view`` settles keys
-    seen in several batches, and ``compact`` folds old batches when there are many.
+    seen in several batches, and ``compact`` folds old batches into a base beside them.
     """
     return write_batches(sdf, target, checkpoint, lambda batch: keep_latest(batch, keys, order, ties))
 
@@ -83,16 +83,66 @@ def stream_keep_latest(
 def latest_view(
     spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column] = ()
 ) -> DataFrame:
-    """Newest record per key over all batches; of equal ones, the later batch wins."""
-    rows = spark.read.parquet(target)
+    """Newest record per key over the last compacted base and the batches since; of equal ones, the later batch wins."""
+    rows = _live_rows(spark, target)
     return keep_latest(rows, keys, order, [*ties, F.desc(_BATCH)]).drop(_BATCH)
 
 
-def compact(
-    spark: SparkSession, source: str, target: str, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column] = ()
-) -> None:
-    """Write the view of ``source`` as a fresh table, to switch readers to."""
-    latest_view(spark, source, keys, order, ties).write.mode("overwrite").parquet(target)
+def _base_path(target: str) -> str:
+    return f"{target.rstrip('/')}.base"
+
+
+def _bases(spark: SparkSession, target: str) -> list[int]:
+    """Batches up to which complete bases were written, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_base_path(target))
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    found = [str(s.getPath().getName()) for s in files.listStatus(folder)]
+    done = [n for n in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{_base_path(target)}/{n}/_SUCCESS"))]
+    return sorted(int(name.removeprefix("upto=")) for name in done)
+
+
+def _live_rows(spark: SparkSession, target: str) -> DataFrame:
+    bases, rows = _bases(spark, target), spark.read.parquet(target)
+    if not bases:
+        return rows
+    base = spark.read.parquet(f"{_base_path(target)}/upto={bases[-1]}")
+    return rows.filter(F.col(_BATCH) > bases[-1]).unionByName(base.select(rows.columns))
+
+
+def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column] = ()) -> int:
+    """Fold the batches written so far into a base beside ``target``; returns the last batch in it.
+
+    The stream goes on writing to ``target``. Readers take the newest complete base and
+    the batches after it, so a crash while a base is written changes nothing, and a scan
+    no longer opens the folded batches. ``retire`` deletes them.
+    """
+    last = spark.read.parquet(target).agg(F.max(_BATCH)).first()[0]
+    rows = _live_rows(spark, target).filter(F.col(_BATCH) <= last)
+    newest = keep_latest(rows, keys, order, [*ties, F.desc(_BATCH)])
+    newest.write.mode("overwrite").parquet(f"{_base_path(target)}/upto={last}")
+    return last
+
+
+def retire(spark: SparkSession, target: str) -> int:
+    """Delete batches that the newest base holds, and older bases; returns how many folders.
+
+    The newest folded batch stays, so that the table keeps a schema to be read by. To be
+    called when no reader started before the last ``compact``.
+    """
+    bases = _bases(spark, target)
+    if not bases:
+        return 0
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    batches = [str(s.getPath().getName()) for s in files.listStatus(folder)]
+    numbers = [int(n.split("=")[1]) for n in batches if n.startswith(f"{_BATCH}=")]
+    old = [f"{target}/{_BATCH}={n}" for n in numbers if n < bases[-1]]
+    old += [f"{_base_path(target)}/upto={n}" for n in bases[:-1]]
+    for path in old:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+    return len(old)
 
 
 def stream_daily(silver: DataFrame, delay: str = "1 day", ts_col: str = "created_date") -> DataFrame:
@@ -124,10 +174,33 @@ def run_daily(silver: DataFrame, delay: str = "1 day") -> DataFrame:
     return keep_latest(rows, ["complaint_date", "borough"], [F.desc(_BATCH)]).drop(_BATCH)
 
 
-def late_row_count(query: StreamingQuery) -> int:
-    """Rows the watermark dropped so far, from the query's progress."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0))
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Adds up what watermarks drop, by query id, for as long as it is registered.
+
+    A query itself only remembers its last hundred progress records. Spark counts after
+    the partial aggregation, so a window's late rows in one task count once.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: ANN001, N802
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:  # noqa: ANN001, N802
+        progress = event.progress
+        found = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        self.dropped[str(progress.id)] = self.dropped.get(str(progress.id), 0) + found
+
+    def onQueryIdle(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: ANN001, N802
+        pass
+
+
+def late_row_count(listener: LateRows, query: StreamingQuery) -> int:
+    """What the watermark dropped of a finished query since the listener was registered."""
+    query.awaitTermination()
+    query._jsq.sparkSession().sparkContext().listenerBus().waitUntilEmpty()
+    return listener.dropped.get(str(query.id), 0)

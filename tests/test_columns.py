@@ -11,11 +11,17 @@ def values(spark, schema, rows, column):
     return [r[0] for r in df.select(column).collect()]
 
 
+def test_rounding_keeps_nan(spark):
+    (got,) = values(spark, "v double", [(float("nan"),)], C.round_half_away(F.col("v"), 2))
+    assert got != got
+
+
 @pytest.mark.parametrize(
     "value, digits, want",
     [
         (2.25, 1, 2.3), (0.35, 1, 0.4), (-2.25, 1, -2.3), (1.005, 2, 1.0), (0.0, 1, 0.0),
         (None, 1, None), (12.0, 1, 12.0), (-0.04, 1, -0.0),
+        (1e15, 6, 1e15), (float("inf"), 2, float("inf")), (float("-inf"), 2, float("-inf")), (-1e300, 1, -1e300),
     ],
 )
 def test_round_half_away(spark, value, digits, want):

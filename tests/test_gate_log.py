@@ -37,6 +37,8 @@ def test_grid_holds_newest_status(log):
     grid = {r.asset_name: r for r in gate_log.gate_grid(log).collect()}
     assert grid["x"].cost == "warn" and grid["z"].schema == "fail" and grid["z"].cost is None
     assert set(gate_log.GATES) < set(grid["x"].asDict())
+    few = {r.asset_name: r for r in gate_log.gate_grid(log, ["schema"]).collect()}
+    assert few["x"].other_gates["cost"] == "warn" and "schema" not in few["x"].other_gates
 
 
 def test_timeline(log):

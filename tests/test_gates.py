@@ -252,7 +252,7 @@ def test_clean_run_then_broken_run(spark, tmp_path):
     bronze = complaints(spark)
     held = bronze.filter("n = 0 AND day(complaint_date) = 1")
     silver = bronze.subtract(held)
-    gold = silver.groupBy("complaint_date", "borough").agg(F.count(F.lit(1)).alias("complaint_count"))
+    gold = daily_of(silver)
     layers = Layers(gold, silver, bronze, held, reports(spark, ("APPROVE", 1)))
     clean = {r.gate_name: r.status for r in run_gates(spark, layers, DAILY_CONFIG, CTX, path).collect()}
     assert clean == {**PASSING, "promotion": "pass"}
@@ -268,6 +268,23 @@ def test_clean_run_then_broken_run(spark, tmp_path):
     assert gone["promotion"] == "fail" and gone["data_quality"] == "fail"
 
 
+def daily_of(silver):
+    counts = {c: F.count(F.lit(1)) for c in ("total_complaints", "closed_complaints", "open_complaints", "anomaly_count")}
+    daily = silver.groupBy("complaint_date", "borough").agg(*[n.alias(c) for c, n in counts.items()])
+    return daily.withColumn("avg_resolution_days", F.lit(1.0))
+
+
+def test_a_gate_that_cannot_run_is_logged(spark, tmp_path):
+    silver = complaints(spark)
+    gold = daily_of(silver).withColumn("note", F.lit("many"))
+    layers = Layers(gold, silver, silver, silver.filter("false"), reports(spark, ("APPROVE", 1)))
+    config = replace(DAILY_CONFIG, ranges={"note": (0, 1)})
+    rows = {r.gate_name: r for r in run_gates(spark, layers, config, CTX, f"{tmp_path}/log").collect()}
+    assert len(rows) == 8 and rows["promotion"].status == "fail"
+    assert rows["data_quality"].status == "fail" and "could not run" in rows["data_quality"].message
+    assert rows["cost"].status == rows["reconciliation"].status == "pass"
+
+
 # --- constraints ---
 
 

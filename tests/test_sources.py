@@ -50,6 +50,36 @@ def test_optional_and_tabular(spark, tmp_path):
         readers.read_tabular(spark, f"{tmp_path}/x.csv")
 
 
+def test_marks_are_not_compared_as_text(spark, tmp_path):
+    increments.write_mark(spark, f"{tmp_path}/m", "999")
+    increments.write_mark(spark, f"{tmp_path}/m", "1000")
+    assert increments.read_mark(spark, f"{tmp_path}/m") == "1000"
+
+
+def test_rows_split_three_ways_and_late_ones_are_held(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id int, ts int")
+    parts = [increments.increment(rows, "ts", "10"), increments.late_rows(rows, "ts", "10"), increments.untimed_rows(rows, "ts")]
+    assert [[r.id for r in p.collect()] for p in parts] == [[2], [1], [3]]
+    paths = dict(state_path=f"{tmp_path}/s", target=f"{tmp_path}/t", quarantine=f"{tmp_path}/q", keys=["id"])
+    increments.ingest_increment(rows, ts_col="ts", default_mark="0", **paths)
+    grown = rows.union(spark.createDataFrame([(4, 5), (5, 30)], "id int, ts int"))
+    second = increments.ingest_increment(grown, ts_col="ts", default_mark="0", **paths)
+    assert (second["rows"], second["held"]) == (1, 1)
+    again = increments.ingest_increment(grown, ts_col="ts", default_mark="0", **paths)
+    assert (again["rows"], again["held"]) == (0, 0)
+    held = {(r.id, r.reason) for r in spark.read.parquet(f"{tmp_path}/q").collect()}
+    assert held == {(3, "no_time"), (4, "late")}
+    assert {r.id for r in spark.read.parquet(f"{tmp_path}/t").collect()} == {1, 2, 5}
+
+
+def test_malformed_documents_are_counted(spark, tmp_path):
+    write(tmp_path / "j" / "a.json", '[{"a": "1"}, {"a": "2"}]')
+    write(tmp_path / "j" / "b.json", '[{"a": ')
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    got = {r.source_file: (r.documents, r.malformed) for r in readers.malformed_json(spark, f"{tmp_path}/j", schema).collect()}
+    assert got == {"a.json": (2, 0), "b.json": (0, 1)}
+
+
 def test_export_manifest(spark, tmp_path):
     manifest = sinks.export_gold({"a": spark.range(5), "b": spark.range(0)}, f"{tmp_path}/gold")
     assert {r.table_name: r.row_count for r in manifest.collect()} == {"a": 5, "b": 0}

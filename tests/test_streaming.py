@@ -71,9 +71,25 @@ def test_stream_keep_latest_equals_batch_and_resumes(spark, folder, tmp_path):
 
 def test_compaction_changes_nothing(spark, folder, tmp_path):
     view = run_latest(spark, folder, tmp_path)
-    streams.compact(spark, f"{tmp_path}/t", f"{tmp_path}/compact", KEYS, newest())
-    compacted = spark.read.parquet(f"{tmp_path}/compact")
-    assert sorted(compacted.select(view.columns).collect(), key=str) == sorted(view.collect(), key=str)
+    want = sorted(view.collect(), key=str)
+    streams.compact(spark, f"{tmp_path}/t", KEYS, newest())
+    compacted = streams.latest_view(spark, f"{tmp_path}/t", KEYS, newest())
+    assert sorted(compacted.select(view.columns).collect(), key=str) == want
+
+
+def test_the_stream_goes_on_after_compaction(spark, folder, tmp_path):
+    target = f"{tmp_path}/t"
+    run_latest(spark, folder, tmp_path)
+    streams.compact(spark, target, KEYS, newest())
+    streams.retire(spark, target)
+    put(folder, "p3.json", complaint("3", "2024-02-05T00:00:00", "Closed"), complaint("9", "2024-02-01T00:00:00"))
+    run_latest(spark, folder, tmp_path)
+    (tmp_path / "t.base" / "upto=99").mkdir()  # a base whose writing broke off
+    assert streams.compact(spark, target, KEYS, newest()) < 99
+    assert streams.retire(spark, target) > 0
+    got = streams.latest_view(spark, target, KEYS, newest())
+    want = keep_latest(batch(spark, folder), KEYS, newest())
+    assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
 
 
 def test_a_replayed_batch_replaces_itself(spark, folder, tmp_path):
@@ -96,11 +112,15 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
         query.awaitTermination()
         return query
 
-    assert streams.late_row_count(run()) == 0
+    listener = streams.LateRows()
+    spark.streams.addListener(listener)
+    first = run()
+    assert streams.late_row_count(listener, first) == 0
     put(path, "p1.json", complaint("2", "2024-01-11T10:00:00"))
     run()
     put(path, "p2.json", complaint("3", "2024-01-02T10:00:00"), complaint("4", "2024-01-12T10:00:00"))
-    assert streams.late_row_count(run()) == 1
+    assert streams.late_row_count(listener, run()) == 1
+    spark.streams.removeListener(listener)
     days = {r.complaint_date.day for r in spark.read.parquet(target).collect()}
     assert days == {10, 11, 12}
 
