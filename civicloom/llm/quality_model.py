@@ -139,7 +139,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
 
     sample = labelled_sample(docs, labels, "quality", max_rows).select("doc_id", "text", "label")
     model = sample.coalesce(1).mapInArrow(run, "weights binary").first()
-    return np.frombuffer(model["weights"], np.float32)
+    return np.frombuffer(model["weights"], np.float32) if model else fit([])  # no partition, no task
 
 
 def scorer(spark: SparkSession, weights: np.ndarray) -> Callable[[Column], Column]:
