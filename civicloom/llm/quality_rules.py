@@ -117,17 +117,21 @@ def common_words(docs: DataFrame) -> dict[str, tuple[list[int], list[float]]]:
     return result
 
 
-def _distance(counts: Column, shares: Column) -> Column:
-    """Jensen-Shannon distance of counts to shares; 0 where there is nothing to count."""
-    total = F.aggregate(counts, _zero(), lambda a, n: a + n)
+def _with_distance(rows: DataFrame, name: str, counts: str, shares: str) -> DataFrame:
+    """Adds the Jensen-Shannon distance of counts to shares; 0 where there is nothing to count.
 
-    def term(n: Column, q: Column) -> Column:
-        p = n / F.greatest(total, F.lit(1))
+    Total and parts are columns of their own, so that they aren't worked out again for each element.
+    """
+
+    def term(p: Column, q: Column) -> Column:
         m = (p + q) / 2
         return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
 
-    both = F.aggregate(F.zip_with(counts, shares, term), F.lit(0.0), lambda a, x: a + x)
-    return F.when(total > 0, F.sqrt(F.greatest(both / 2, F.lit(0.0)))).otherwise(0.0)
+    rows = rows.withColumn("total", F.aggregate(counts, _zero(), lambda a, n: a + n))
+    rows = rows.withColumn("parts", F.transform(counts, lambda n: n / F.greatest("total", F.lit(1))))
+    both = F.aggregate(F.zip_with("parts", shares, term), F.lit(0.0), lambda a, x: a + x)
+    far = F.when(F.col("total") > 0, F.sqrt(F.greatest(both / 2, F.lit(0.0)))).otherwise(0.0)
+    return rows.withColumn(name, far).drop("total", "parts")
 
 
 def _shares(sums: list[int]) -> list[float]:
@@ -145,13 +149,9 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("at", at)
     ranks = F.sequence(F.lit(1), F.size("common"))
     uses = F.transform(ranks, lambda k: (F.size("at") - F.size(F.array_remove("at", k))).cast("bigint"))
-    uses = F.concat(uses, F.array(F.col("n_words") - F.size("at")))
-    word_far = F.when(
-        F.col("common").isNotNull() & (F.col("n_words") >= WORD_MIN_WORDS),
-        _distance(uses, F.col("word_shares")) > MAX_WORD_DISTANCE,
-    ).otherwise(False)
+    rows = rows.withColumn("uses", F.concat(uses, F.array(F.col("n_words") - F.size("at"))))
     # One pass over the texts gives each row's few numbers; the class references are sums over those.
-    rows = stage_table(rows.withColumn("word_far", word_far).drop("word_hashes", "common", "word_shares", "at"), "rule_counts")
+    rows = stage_table(rows.drop("word_hashes", "common", "at"), "rule_counts")
     width = len(CLASSES) + 1
     sums = rows.groupBy("lang").agg(*[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(width)])
     everything = [n or 0 for n in sums.agg(*[F.sum(f"c{i}") for i in range(width)]).first()]
@@ -159,13 +159,14 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     shares = spark.createDataFrame(own, "lang string, class_shares array<double>")  # at most MAX_LANGUAGES rows
     rows = rows.join(F.broadcast(shares), "lang", "left")
     every = F.array(*map(F.lit, _shares(everything)))
-    class_far = F.when(
-        F.col("n_words") >= CLASS_MIN_WORDS,
-        _distance(F.col("classes"), F.coalesce("class_shares", every)) > MAX_CLASS_DISTANCE,
-    ).otherwise(False)
+    rows = rows.withColumn("class_shares", F.coalesce("class_shares", every))
+    rows = _with_distance(rows, "class_distance", "classes", "class_shares")
+    rows = _with_distance(rows, "word_distance", "uses", "word_shares")
+    class_far = (F.col("n_words") >= CLASS_MIN_WORDS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)
+    word_far = (F.col("n_words") >= WORD_MIN_WORDS) & (F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
     repeats = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | repeats)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~class_far & ~F.col("word_far")).alias("kept"),
+        (~F.col("base_failed") & ~class_far & ~word_far).alias("kept"),
     )
