@@ -22,6 +22,7 @@ from civicloom.functions.columns import (
     timestamp_literal,
 )
 from civicloom.functions.windows import global_rank
+from civicloom.session import stage_table
 
 # A calendar frame has one narrow row per day. 200,000 days (five centuries) of a few
 # doubles is some 15 MB, which any executor can hold.
@@ -253,8 +254,7 @@ def _risk_flags() -> dict[str, Column]:
 def risk_base(silver: DataFrame) -> DataFrame:
     """The columns the score needs, addresses cleaned and facts turned into flags.
 
-    Two exact distinct counts make Spark expand each row; what is computed here is
-    computed once, and the aggregation that follows stays small enough to compile.
+    Stored before it is aggregated, so that silver and its address texts are gone through once.
     """
     return with_address(silver).select(
         normalize_address(F.col("incident_address")).alias("incident_address"),
@@ -309,16 +309,16 @@ def address_risk_score(silver: DataFrame, scored_at: datetime) -> DataFrame:
 
     The grain is the seven ``ADDRESS_KEYS``, not address and zip alone. All
     aggregates are partial first, so a hot address reaches its reducer as a few
-    partial rows. ``silver`` is read twice, each time with only the columns needed;
-    pass a stored table.
+    partial rows. Its days and types are held as sets, which the calendar and the list of
+    types bound, so no row is expanded for the distinct counts. ``silver`` is read once.
     """
-    base = risk_base(silver)
+    base = stage_table(risk_base(silver), "risk_base")
     measures = base.groupBy(*ADDRESS_KEYS).agg(
         round_half_away(F.avg("latitude"), 6).alias("latitude"),
         round_half_away(F.avg("longitude"), 6).alias("longitude"),
         F.count(F.lit(1)).alias("total_complaints"),
-        F.countDistinct("complaint_date").alias("complaint_days"),
-        F.countDistinct("complaint_type").alias("distinct_complaint_types"),
+        F.size(F.collect_set("complaint_date")).cast("bigint").alias("complaint_days"),
+        F.size(F.collect_set("complaint_type")).cast("bigint").alias("distinct_complaint_types"),
         round_half_away(F.avg("settled_days"), 1).alias("avg_resolution_days"),
         F.max("settled_days").alias("max_resolution_days"),
         *[F.count(name).alias(name) for name in _risk_flags()],

@@ -183,7 +183,7 @@ def resolution_anomalies(spark, sf_dir):
 
 
 def _risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.address_risk_score(_stored_silver(spark, sf_dir), SCORED_AT)
+    return marts.address_risk_score(_silver(spark, sf_dir), SCORED_AT)
 
 
 @register

@@ -41,6 +41,7 @@ def build_gold(
             "borough_summary": marts.borough_summary(silver),
             "anomaly_summary": marts.anomaly_summary(silver),
             "resolution_anomalies": marts.resolution_anomalies(silver),
+            "macro_daily": wide,
             "property_incidents": marts.property_incidents(silver, wide, mode),
             "address_risk_score": marts.address_risk_score(silver, ctx.now),
         },

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as registry
 import parity
+from civicloom.plans import catalog, oracle
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,8 @@ def con(sf):
 
 
 def test_registry_is_consistent():
-    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(oracle.SQL) == set(catalog.QUERIES)
+    assert set(oracle.SQL) <= set(registry.oracle_sql()) <= set(registry.queries())
 
 
 def test_entry(spark):
@@ -20,7 +22,7 @@ def test_entry(spark):
     assert df.columns[:2] == ["complaint_date", "borough"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query(spark, con, sf, name):
     state, note = parity.compare(spark, con, name, sf)
     assert state == "ok", note

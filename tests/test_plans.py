@@ -75,6 +75,11 @@ def test_gold_build_end_to_end(spark, sf, tmp_path):
         given.raw_complaints(spark, sf), marts.pivot_macro(catalog._newest_macro(spark, sf)), ctx, str(tmp_path), given.TIE_BREAKERS
     )
     counts = {r.table_name: r.row_count for r in manifest.collect()}
-    assert len(counts) == 6 and min(counts.values()) > 0
+    assert len(counts) == 7 and min(counts.values()) > 0
     daily = spark.read.parquet(f"{tmp_path}/gold/daily_complaints")
     assert daily.agg(F.sum("total_complaints")).first()[0] == spark.read.parquet(f"{tmp_path}/silver/complaints").count()
+
+
+def test_risk_score_expands_no_row(spark, sf):
+    text = plan(marts.address_risk_score(catalog._silver(spark, sf), datetime(2024, 1, 31)))
+    assert "Expand" not in text
