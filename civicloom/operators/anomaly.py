@@ -31,12 +31,6 @@ def _row_key(keys: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]).alias(_KEY)
 
 
-def _long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """(row_key, column_name, value) for the numeric columns, NULLs left out."""
-    wide = df.select(_row_key(keys), *[numeric_value(F.col(f"`{c}`")).alias(c) for c in columns])
-    return wide.unpivot(_KEY, list(columns), "column_name", "value").filter(F.col("value").isNotNull())
-
-
 def _empty(df: DataFrame, schema: str) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
 
@@ -57,8 +51,8 @@ def zscore_anomalies(
     """Values at least ``threshold`` sample deviations from their column's mean.
 
     Columns with fewer than ten values or no spread are left out. The statistics of
-    all columns come from one scan; they are one row per numeric column, so the
-    broadcast is as small as the schema.
+    all columns come from one scan that runs now; each row then yields only its outliers,
+    so the table is never multiplied by its columns. The findings are lazy.
     """
     columns = [c for c in numeric_columns(df) if c not in keys]
     if not columns:
@@ -73,24 +67,26 @@ def zscore_anomalies(
         )
         for c, v in values.items()
     ]
-    stats = (
-        df.agg(F.array(*entries).alias("s"))
-        .select(F.explode("s").alias("s"))
-        .select("s.*")
-        .filter((F.col("n") >= rules.MIN_VALUES) & (F.col("std") > 0))
-        .drop("n")
-    )
-    score = (F.col("value") - F.col("mean")) / F.col("std")
-    return (
-        _long(df, keys, columns)
-        .join(F.broadcast(stats), "column_name")
-        .withColumn("zscore", score)
-        .filter(F.abs("zscore") >= threshold)
-        .select(
-            F.lit(table).alias("table_name"), _KEY, F.lit("zscore_outlier").alias("anomaly_type"),
-            "column_name", "value", "mean", "std", "zscore",
-            F.when(F.abs("zscore") < rules.ZSCORE_HIGH, "medium").otherwise("high").alias("severity"),
+    stats = [
+        e for e in df.agg(F.array(*entries)).first()[0]
+        if e["n"] >= rules.MIN_VALUES and e["std"] is not None and e["std"] > 0
+    ]
+    if not stats:
+        return _empty(df, _Z_SCHEMA)
+    found = []
+    for e in stats:
+        value, mean, std = values[e["column_name"]], F.lit(e["mean"]), F.lit(e["std"])
+        score = (value - mean) / std
+        entry = F.struct(
+            F.lit(e["column_name"]).alias("column_name"), value.alias("value"), mean.alias("mean"),
+            std.alias("std"), score.alias("zscore"),
         )
+        found.append(F.when(F.abs(score) >= threshold, entry))
+    outside = F.filter(F.array(*found), lambda e: e.isNotNull())
+    return df.select(_row_key(keys), F.explode(outside).alias("e")).select(
+        F.lit(table).alias("table_name"), _KEY, F.lit("zscore_outlier").alias("anomaly_type"),
+        "e.column_name", "e.value", "e.mean", "e.std", "e.zscore",
+        F.when(F.abs("e.zscore") < rules.ZSCORE_HIGH, "medium").otherwise("high").alias("severity"),
     )
 
 
