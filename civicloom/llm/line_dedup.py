@@ -74,12 +74,14 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     )
     later = (F.col("n_docs") >= min_docs) & (F.col("doc_id") != F.col("keeper"))
     seen = stage_table(
-        seen.filter((F.col("pieces") > 1) | later).drop("salt", "n_docs", "keeper"), "line_runs"
+        seen.filter((F.col("pieces") > 1) | later).drop("n_docs", "keeper"), "line_runs"
     )
-    # The pieces of a split bin are summed per key before they meet.
+    # The pieces of a split bin are summed per key, and each piece is told the sums.
     split = seen.filter("pieces > 1")
-    whole = split.groupBy("h1", "h2").agg(F.sum("new_doc").alias("n_docs"), F.max("doc_id").alias("keeper"))
-    late = split.join(whole.filter(F.col("n_docs") >= min_docs), ["h1", "h2"]).filter("doc_id <> keeper")
+    whole = split.groupBy("h1", "h2", "pieces").agg(F.sum("new_doc").alias("n_docs"), F.max("doc_id").alias("keeper"))
+    pieces = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("salt")
+    told = whole.filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper", pieces)
+    late = split.join(told, ["h1", "h2", "salt"]).filter("doc_id <> keeper")
     columns = ["doc_id", "text_key", "pos"]
     return seen.filter("pieces = 1").select(columns).unionByName(late.select(columns))
 
