@@ -34,6 +34,7 @@ UNKNOWN = "und"
 SYMBOLS, ORDER = 64, 3
 #: The bounded sample: rows of a language by the smallest hash of the id, and bytes of it in all.
 MAX_ROWS, MAX_BYTES = 400, 1_000_000
+SALTS = 64
 #: Three-symbol contexts are kept when met so often, the commonest first, within this many table cells.
 MIN_MET, MAX_CELLS = 20, 1 << 22
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -75,7 +76,7 @@ def fit(texts: dict[str, bytes]) -> Model:
     streams = [_symbols(texts[name], symbol) for name in languages]
     grams = [_contexts(s) * SYMBOLS + s[3:] for s in streams]
 
-    contexts = sum(np.bincount(g >> 6, minlength=SYMBOLS**3) for g in grams)
+    contexts = sum((np.bincount(g >> 6, minlength=SYMBOLS**3) for g in grams), np.zeros(SYMBOLS**3, dtype=np.int64))
     room = max(MAX_CELLS // (SYMBOLS * max(len(languages), 1)) - SYMBOLS**2, 0)
     chosen = np.argsort(-contexts, kind="stable")[:room]
     chosen = np.sort(chosen[contexts[chosen] >= MIN_MET])
@@ -96,7 +97,7 @@ def fit(texts: dict[str, bytes]) -> Model:
         longest = _partial_match(longest, found[chosen & (SYMBOLS**2 - 1)])
         bits[:, k] = np.concatenate([found, longest]).ravel()
     rare = 256 - len(common)
-    bits.reshape(-1, SYMBOLS, len(languages))[:, SYMBOLS - 1] += np.log2(rare)
+    bits.reshape(len(bits) // SYMBOLS, SYMBOLS, len(languages))[:, SYMBOLS - 1] += np.log2(rare)
     return Model(np.array(languages), symbol, row, bits)
 
 
@@ -134,14 +135,19 @@ def train(docs: DataFrame) -> Model:
     rows = docs.select("doc_id", "lang", "text").filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
-    # Ids are ranked without their texts; the rank limit runs before the shuffle, so a common language costs no more.
+    # Ids are ranked without their texts. The rank limit runs before each shuffle, and a language is first ranked in
+    # parts, so that what many tasks send for a common one doesn't meet in one task.
     order = F.xxhash64("doc_id")
     first = Window.partitionBy("lang").orderBy(order, "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(first)).filter(F.col("place") <= MAX_ROWS)
+    few = Window.partitionBy("lang", F.pmod(order, F.lit(SALTS))).orderBy(order, "doc_id")
+    ids = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(few)).filter(F.col("place") <= MAX_ROWS)
+    ids = ids.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= MAX_ROWS)
     chosen = rows.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
     sample = chosen.groupBy("lang", order.alias("order"), "doc_id").agg(F.max("text").alias("text"))
-    held = sample.select("lang", "order", "text").coalesce(1).mapInArrow(run, "model binary").first()["model"]
-    with np.load(io.BytesIO(held)) as arrays:
+    held = sample.select("lang", "order", "text").coalesce(1).mapInArrow(run, "model binary").first()
+    if held is None:  # no partition, no task
+        return fit({})
+    with np.load(io.BytesIO(held["model"])) as arrays:
         return Model(*(arrays[name] for name in arrays.files))
 
 
