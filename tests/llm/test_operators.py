@@ -279,6 +279,25 @@ def test_embeddings(spark, monkeypatch, piece):
     assert all(got[i] == want[i] for i, _ in odd)
 
 
+@pytest.mark.parametrize("longest, recall", [(10_000, 1.0), (300, 0.97)])
+def test_embeddings_of_one_topic(spark, monkeypatch, longest, recall):
+    """Many pairs in a hot topic, whose lists are several pieces long and have no big component."""
+    monkeypatch.setattr(embedding_dedup, "PIECE", 100)
+    monkeypatch.setattr(embedding_dedup, "LONGEST", longest)
+    rng = np.random.default_rng(7)
+    one = rng.normal(size=32) + rng.normal(size=(600, 32)) * 0.4
+    twin = one + rng.normal(size=one.shape) * 0.15
+    vectors = np.concatenate([one, twin, rng.normal(size=(200, 32))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    unit = embedding_dedup.unit(vectors.astype(np.float64))
+    near = unit @ unit.T >= 0.95
+    want = near.sum(axis=1) - 1
+    print("recall", sum(got.values()) / want.sum(), want.sum())
+    assert want.sum() > 1000 and all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= recall * want.sum()
+
+
 def test_empty_tables(spark, docs, labels):
     none, no_labels = docs.limit(0), labels.limit(0)
     made = [
