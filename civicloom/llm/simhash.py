@@ -146,8 +146,13 @@ def keep_one(docs: DataFrame, words_in: int = SHINGLE_WORDS) -> DataFrame:
 
     Rows equal in both are told apart by their other plain columns, nulls first.
     """
+    return first_rows(docs, grouped(docs, words_in))
+
+
+def first_rows(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The first row of each ``root`` of ``groups``, which has ``doc_id, text_key, root`` of every row."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    kept = grouped(docs, words_in).groupBy("root").agg(F.min(order).alias("first"))
+    kept = groups.groupBy("root").agg(F.min(order).alias("first"))
     kept = stage_table(kept.select("first.doc_id", "first.text_key"), "kept").distinct()
     rows = docs.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text_of()).alias("key")

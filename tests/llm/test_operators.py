@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from civicloom.llm import (
-    embedding_dedup, html_text, language_id, line_dedup, mixing, packing, quality_model, quality_rules, simhash, tokens,
+    embedding_dedup, html_text, language_id, line_dedup, minhash, mixing, packing, quality_model, quality_rules, simhash, tokens,
     toxicity,
 )
 from civicloom.session import stage_table
@@ -165,6 +165,30 @@ def simhash_groups(docs):
     return {r.root for r in simhash.grouped(docs).select("root").collect()}
 
 
+@pytest.mark.parametrize("piece", [256, 5])
+def test_pipeline_drops_near_copies(spark, sf, monkeypatch, piece):
+    """Texts with a few words changed, one large group of them, and texts that share less."""
+    monkeypatch.setattr(minhash, "PIECE", piece)
+    rng = np.random.default_rng(9)
+    texts = []
+    for size in (150, 400):
+        for copies in (40, *[2] * 60):
+            base = [f"w{k}" for k in rng.integers(0, 5000, size)]
+            for changed in rng.choice([0, 1, 2, 4, 8, 30], copies):
+                words = list(base)
+                for k in rng.integers(0, size, changed):
+                    words[k] = f"x{rng.integers(0, 10**6)}"
+                texts.append(" ".join(words))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    near = lambda i, j: bool(sets[i] & sets[j]) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    root = _components(texts, near)
+    want = {root.index(r) for r in root}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)[corpus_pipeline.STAGES[2][0]](spark, df, sf).collect()}
+    print("kept", len(got), "right", len(want), "of", len(texts))
+    assert got == want
+
+
 def _share(capacity, weights, budget):
     """Water filling by hand."""
     given, open_ = dict.fromkeys(capacity, 0), set(capacity)
