@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicloom.llm import embedding_dedup, html_text, language_id, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, toxicity
+from civicloom.llm import (
+    embedding_dedup, html_text, language_id, lexical_search, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, toxicity,
+)
 from civicloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +54,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -63,9 +69,11 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_lexical_search": op11_lexical_search,
 }
 SQL: dict[str, str] = {
     "op2_line_dedup": sql.LINE_DEDUP,
     "op5_quality_rules": sql.QUALITY_RULES,
     "op6_source_mixing": sql.MIXTURE,
+    "op11_lexical_search": sql.LEXICAL_SEARCH,
 }

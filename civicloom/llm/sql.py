@@ -159,3 +159,29 @@ WITH sized AS (
 SELECT doc_id, domain, language, source, n_tokens, epoch FROM whole
 UNION ALL SELECT doc_id, domain, language, source, n_tokens, epoch FROM prefix
 """
+
+LEXICAL_SEARCH = rf"""
+WITH words AS (
+    SELECT r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+), lengths AS (
+    SELECT r, doc_id, count(*) AS n FROM words GROUP BY r, doc_id
+), sums AS (
+    SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), postings AS (
+    SELECT r, term, count(*) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY r, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM postings, sums GROUP BY term
+), parts AS (
+    SELECT r, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)) AS part
+    FROM postings JOIN lengths USING (r), sums
+), scored AS (
+    SELECT item_id, r, sum(w * part)::BIGINT AS score FROM asked JOIN weights USING (term) JOIN parts USING (term) GROUP BY item_id, r
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored JOIN lengths USING (r) WHERE score > 0 QUALIFY rank <= 50
+"""
