@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from civicloom.llm import (
-    embedding_dedup, html_text, language_id, lexical_search, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql, toxicity,
+    embedding_dedup, hard_negatives, html_text, language_id, lexical_search, license_scan, line_dedup, mixing, packing, quality_model, quality_rules, simhash, sql,
+    toxicity,
 )
 from civicloom.llm.common import table
 
@@ -58,6 +59,16 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -70,10 +81,13 @@ QUERIES: dict[str, Query] = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_lexical_search": op11_lexical_search,
+    "op12_license_scan": op12_license_scan,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 SQL: dict[str, str] = {
     "op2_line_dedup": sql.LINE_DEDUP,
     "op5_quality_rules": sql.QUALITY_RULES,
     "op6_source_mixing": sql.MIXTURE,
     "op11_lexical_search": sql.LEXICAL_SEARCH,
+    "op13_hard_negatives": sql.HARD_NEGATIVES,
 }

@@ -185,3 +185,23 @@ WITH words AS (
 SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
 FROM scored JOIN lengths USING (r) WHERE score > 0 QUALIFY rank <= 50
 """
+
+HARD_NEGATIVES = """
+WITH rows AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x) AND abs(x) <= 262144)) = len(embedding)
+), scored AS (
+    SELECT a.r AS a, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+    FROM rows a JOIN rows b ON a.r <> b.r WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS k
+    FROM scored WHERE same QUALIFY k <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY a, k ORDER BY score DESC, vec_id)::INTEGER AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s USING (a)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3
+"""

@@ -11,7 +11,7 @@ from civicloom.llm import queries
 
 
 def test_names():
-    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(registry.queries())
 
 
