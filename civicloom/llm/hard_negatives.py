@@ -104,7 +104,7 @@ def _searched(table: pa.Table) -> tuple[np.ndarray, ...]:
 
 def _met(rows: DataFrame, anchors: DataFrame, keys: list[str]) -> DataFrame:
     """``anchor, window, vec_id, node, score`` of all groups; both sides have ``keys``."""
-    columns = [*keys, "node", "vec_id", "label", "x"]
+    columns = list(dict.fromkeys([*keys, "node", "vec_id", "label", "x"]))
     both = rows.select(*columns, F.lit(False).alias("is_anchor")).unionByName(
         anchors.select(*columns, F.lit(True).alias("is_anchor"), "same", "top", "lows", "highs"), allowMissingColumns=True
     )
