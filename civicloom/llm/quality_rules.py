@@ -7,8 +7,8 @@ from a least length on, since short texts diverge by chance. Everything is built
 functions over the row's own arrays, so no text leaves its row.
 
 Defined results. Null or empty text has no word, so the base rules fail it. A language
-that is null or not among the ``MAX_LANGUAGES`` with most words has its classes compared
-with all languages together, and its words with nothing. Ties among common words go to the smaller word. Repeated rows are
+that is null or has no word at all has its classes compared with all languages
+together, and its words with nothing. Ties among common words go to the smaller word. Repeated rows are
 judged each and count each in the references; a null id is an id like others. Extra
 columns are ignored.
 """
@@ -24,7 +24,7 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW_WORDS = 10, 20, 5
 SYMBOLS = "#*$%&|<>"
 #: Character classes in the order they are taken out of the text; what is left is the last class.
 CLASSES = ("[a-z]+", r"[ \t\n\x0b\f\r]+", "[A-Z]+", "[0-9]+", "[#*$%&|<>]+", "[\\x21-\\x7e]+")
-COMMON_WORDS, MAX_LANGUAGES = 24, 200
+COMMON_WORDS = 24
 #: Distances above these fail a document of at least so many words.
 MAX_CLASS_DISTANCE, CLASS_MIN_WORDS = 0.35, 50
 MAX_WORD_DISTANCE, WORD_MIN_WORDS = 0.65, 100
@@ -73,7 +73,7 @@ def counted(docs: DataFrame) -> DataFrame:
     ).withColumn("n_words", F.size("words"))
 
     def window(_: Column, i: Column) -> Column:
-        return F.xxhash64(*[F.get("word_hashes", i + k) for k in range(WINDOW_WORDS)])
+        return F.xxhash64(F.slice("word_hashes", i + 1, WINDOW_WORDS))
 
     starts = F.slice("word_hashes", 1, F.greatest(F.col("n_words") - WINDOW_WORDS + 1, F.lit(0)))
     rows = rows.withColumn("windows", F.transform(starts, window)).withColumn("places", _repeat_words())
@@ -97,24 +97,23 @@ def counted(docs: DataFrame) -> DataFrame:
     )
 
 
-def common_words(docs: DataFrame) -> dict[str, tuple[list[int], list[float]]]:
-    """Hashes of each language's commonest words, and the shares of those and of all other words."""
+def references(docs: DataFrame) -> DataFrame:
+    """``lang, common, word_shares`` of every language with a word, stored: the hashes of its commonest words, and the
+    shares of those and of all other words."""
     rows = docs.select(F.col("lang").cast("string").alias("lang"), text_of().alias("text")).filter("lang IS NOT NULL")
     counts = _with_words(rows).select("lang", F.explode("words").alias("word")).groupBy("lang", "word").count()
-    # The rank limit runs before the shuffle. A null word stands for the language's total.
-    total = counts.groupBy("lang").agg(F.sum("count").alias("count")).withColumn("word", F.lit(None).cast("string"))
+    # Counted once and stored: both the ranks and the totals read it.
+    counts = stage_table(counts, "word_counts")
     first = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
-    top = counts.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= COMMON_WORDS).drop("place")
-    found: dict[str, list] = {}
-    for r in top.unionByName(total).select("lang", "word", F.xxhash64("word").alias("h"), "count").collect():
-        found.setdefault(r["lang"], []).append((r["word"] is not None, -r["count"], r["word"], r["h"]))
-    result = {}
-    for lang, own in sorted(found.items(), key=lambda x: (min(x[1])[1], x[0]))[:MAX_LANGUAGES]:
-        (_, total, _, _), *words = sorted(own, key=lambda x: (x[0], x[1], x[2] or ""))
-        shares = [n / total for _, n, _, _ in words]
-        rest = (total - sum(n for _, n, _, _ in words)) / total
-        result[lang] = ([h for *_, h in words], [*shares, rest])
-    return result
+    # The rank limit runs before the shuffle, so a language's reducer gets few rows from each task.
+    top = counts.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= COMMON_WORDS)
+    own = top.groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct("place", F.xxhash64("word").alias("h"), "count"))).alias("top")
+    )
+    both = own.join(counts.groupBy("lang").agg(F.sum("count").alias("total")), "lang")
+    shares = F.transform("top", lambda w: w["count"] / F.col("total"))
+    rest = (F.col("total") - F.aggregate("top", _zero(), lambda a, w: a + w["count"])) / F.col("total")
+    return stage_table(both.select("lang", F.col("top.h").alias("common"), F.concat(shares, F.array(rest)).alias("word_shares")), "references")
 
 
 def _with_distance(rows: DataFrame, name: str, counts: str, shares: str) -> DataFrame:
@@ -134,31 +133,30 @@ def _with_distance(rows: DataFrame, name: str, counts: str, shares: str) -> Data
     return rows.withColumn(name, far).drop("total", "parts")
 
 
-def _shares(sums: list[int]) -> list[float]:
-    return [n / max(sum(sums), 1) for n in sums]
+def _class_shares(sums: list[Column]) -> Column:
+    total = sum(sums[1:], sums[0])
+    return F.array(*[n / F.greatest(total, F.lit(1)) for n in sums])
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words``, the base counts, ``base_failed`` and ``kept`` of every row."""
-    spark = docs.sparkSession
-    known = common_words(docs)
-    kinds = "lang string, common array<bigint>, word_shares array<double>"
-    table = spark.createDataFrame([(k, *v) for k, v in known.items()], kinds)  # at most MAX_LANGUAGES rows
-    rows = counted(docs).join(F.broadcast(table), "lang", "left")
-    at = F.array_remove(F.transform("word_hashes", lambda h: F.array_position("common", h).cast("int")), 0)
+    known = references(docs)
+    # As many references as languages: the optimizer broadcasts them or splits a hot language's rows, by their size.
+    rows = counted(docs).join(known, "lang", "left")
+    at = F.filter(F.transform("word_hashes", lambda h: F.array_position("common", h).cast("int")), lambda k: k > 0)
     rows = rows.withColumn("at", at)
     ranks = F.sequence(F.lit(1), F.size("common"))
     uses = F.transform(ranks, lambda k: (F.size("at") - F.size(F.array_remove("at", k))).cast("bigint"))
     rows = rows.withColumn("uses", F.concat(uses, F.array(F.col("n_words") - F.size("at"))))
     # One pass over the texts gives each row's few numbers; the class references are sums over those.
     rows = stage_table(rows.drop("word_hashes", "common", "at"), "rule_counts")
-    width = len(CLASSES) + 1
-    sums = rows.groupBy("lang").agg(*[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(width)])
-    everything = [n or 0 for n in sums.agg(*[F.sum(f"c{i}") for i in range(width)]).first()]
-    own = [(r[0], _shares(list(r)[1:])) for r in sums.filter(F.col("lang").isin(*known)).collect()] if known else []
-    shares = spark.createDataFrame(own, "lang string, class_shares array<double>")  # at most MAX_LANGUAGES rows
-    rows = rows.join(F.broadcast(shares), "lang", "left")
-    every = F.array(*map(F.lit, _shares(everything)))
+    sums = [F.col(f"c{i}") for i in range(len(CLASSES) + 1)]
+    by_lang = rows.groupBy("lang").agg(*[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(sums))])
+    by_lang = stage_table(by_lang, "class_sums")
+    everything = [n or 0 for n in by_lang.agg(*map(F.sum, sums)).first()]
+    shares = by_lang.join(known.select("lang"), "lang").select("lang", _class_shares(sums).alias("class_shares"))
+    rows = rows.join(shares, "lang", "left")
+    every = _class_shares([F.lit(n) for n in everything])
     rows = rows.withColumn("class_shares", F.coalesce("class_shares", every))
     rows = _with_distance(rows, "class_distance", "classes", "class_shares")
     rows = _with_distance(rows, "word_distance", "uses", "word_shares")

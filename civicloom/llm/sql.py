@@ -75,7 +75,7 @@ WITH docs AS (
     WHERE trim(line, {WHITE}) <> '' GROUP BY r
 ), sizes AS ({_class_sizes()}),
 totals AS (
-    SELECT lang AS ref, count(*) AS total FROM words WHERE lang IS NOT NULL GROUP BY lang ORDER BY total DESC, ref LIMIT 200
+    SELECT lang AS ref, count(*) AS total FROM words WHERE lang IS NOT NULL GROUP BY lang
 ), refs AS (
     SELECT r, ref FROM docs LEFT JOIN totals ON ref = lang
 ), class_refs AS (
