@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from civicloom import rules
 
@@ -127,3 +127,34 @@ def count_where(condition: Column) -> Column:
 
 def percent_of(part: Column, whole: Column, digits: int) -> Column:
     return round_half_away(part.cast("double") * 100.0 / whole, digits)
+
+
+#: Digits after the point that a checksum sees of a double, and from where on it sees its plain text.
+CHECKED_DIGITS, CHECKED_BELOW = 6, 1e15
+CHECKSUM_BELOW = 10**18
+
+
+def _checked_text(column: Column, kind: T.DataType) -> Column:
+    """A value as text that other engines write alike; a NULL is a backslash and an N."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = column.cast("double")
+        # CASE guards the cast, which a NaN or an infinity would fail.
+        plain = F.isnan(value) | (F.abs(value) >= CHECKED_BELOW)
+        rounded = F.when(~plain, round_half_away(value, CHECKED_DIGITS)).cast(f"decimal(38,{CHECKED_DIGITS})")
+        text = F.when(plain, value.cast("string")).otherwise(rounded.cast("string"))
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.to_json(column)
+    else:
+        text = column.cast("string")
+    return F.coalesce(text, F.lit("\\N"))
+
+
+def rows_checksum(schema: T.StructType) -> Column:
+    """An aggregate over rows of that schema that doesn't depend on the order of rows or columns.
+
+    Each row's values, by name of column, give 32 bits of their MD5; these add up below 10^18.
+    """
+    fields = sorted(schema.fields, key=lambda f: f.name)
+    text = F.concat_ws("|", *[_checked_text(F.col(f"`{f.name}`"), f.dataType) for f in fields])
+    bits = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(20,0)")
+    return F.pmod(F.coalesce(F.sum(bits), F.lit(0)), F.lit(CHECKSUM_BELOW)).cast("bigint")

@@ -16,6 +16,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from civicloom.session import stage_table
+
 BINS = 4096
 
 
@@ -169,62 +171,112 @@ def exact_quantiles(
     return result
 
 
-# Fixed bins per unit of squashed value. A key can have at most 1,420 units' worth of bins.
-GROUP_BINS = 1024
+#: First bins per unit of squashed value; a key can have at most 1,420 units. Then bins within one key's middle bin.
+GROUP_BINS, REFINED_BINS = 64, 1024
+#: A middle bin of at most so many different values is put in order; a fuller one is cut again.
+MIDDLE_CELLS = 4096
+#: Parts that a key's values are joined in.
+JOIN_PARTS = 32
+
+
+def _holds(rank: str, size: str) -> Column:
+    """Whether a bin (or value) of that size, ``below`` values under it, holds the rank."""
+    return (F.col("below") <= F.col(rank)) & (F.col(rank) < F.col("below") + F.col(size))
+
+
+def _middles(bins: DataFrame) -> DataFrame:
+    """``key, first, last, below, low, high, cells, lower, upper``: where each key's middle ranks lie.
+
+    ``bins`` has ``key, bin, size, cells, low, high, before, first, last``. Middle ranks in two bins, or in one that
+    holds a single value, are settled by the bins' bounds: ``lower`` and ``upper`` then hold the
+    values. Otherwise one bin holds both.
+    """
+    order = Window.partitionBy("key").orderBy("bin")
+    placed = bins.withColumn("below", F.col("before") + F.sum("size").over(order) - F.col("size"))
+    entry = F.struct("bin", "below", "low", "high", "cells")
+    found = placed.groupBy("key").agg(
+        F.max("first").alias("first"), F.max("last").alias("last"),
+        F.max(F.when(_holds("first", "size"), entry)).alias("a"), F.max(F.when(_holds("last", "size"), entry)).alias("b"),
+    )
+    settled = (F.col("a.bin") != F.col("b.bin")) | (F.col("a.low") == F.col("a.high"))
+    return found.select(
+        "key", "first", "last", "a.below", "a.low", "a.high", "a.cells",
+        F.when(settled, F.col("a.high")).alias("lower"), F.when(settled, F.col("b.low")).alias("upper"),
+    )
+
+
+def _cells_within(cells: DataFrame, middle: DataFrame) -> DataFrame:
+    """The counted values of each key that lie in its middle bin, with the bin's columns.
+
+    A hot key's values are joined in parts, so that no task gets all of them.
+    """
+    its = middle.withColumnRenamed("key", "its_key").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(JOIN_PARTS - 1))))
+    parted = cells.filter("v IS NOT NULL").withColumn("its_part", F.pmod(F.xxhash64("v"), F.lit(JOIN_PARTS)).cast("int"))
+    same = F.col("key").eqNullSafe(F.col("its_key")) & (F.col("its_part") == F.col("part"))
+    inside = F.col("v").between(F.col("low"), F.col("high"))
+    return parted.join(its, same & inside).drop("its_key", "part", "its_part")
+
+
+def _refined(cells: DataFrame, middle: DataFrame) -> DataFrame:
+    """The middle bins cut again, each between its own bounds."""
+    # Halves keep the width of any two finite doubles finite.
+    v, low, high = (_finite(F.col(c)) / 2 for c in ("v", "low", "high"))
+    place = (v - low) / (high - low)
+    cut = F.least(F.floor(place * REFINED_BINS), F.lit(REFINED_BINS - 1))
+    inside = _cells_within(cells, middle).withColumn("bin", cut)
+    return inside.groupBy("key", "bin").agg(
+        F.sum("n").alias("size"), F.count(F.lit(1)).alias("cells"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.max("below").alias("before"), F.max("first").alias("first"), F.max("last").alias("last"),
+    )
+
+
+def middle_bins(cells: DataFrame, first_bins: DataFrame) -> DataFrame:
+    """``_middles`` of every key, bins cut until each is settled or holds at most ``MIDDLE_CELLS`` values.
+
+    Each round is a count per key and bin, and only looks inside the bins still too full.
+    """
+    parts, found = [], stage_table(_middles(first_bins), "middle_bins")
+    full = F.col("lower").isNull() & (F.col("cells") > MIDDLE_CELLS)
+    while not found.filter(full).isEmpty():
+        parts.append(found.filter(~full))
+        found = stage_table(_middles(_refined(cells, found.filter(full))), "middle_bins")
+    return reduce(DataFrame.unionByName, [*parts, found])
 
 
 def grouped_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     """(key, count, mean, median, min, max) per group, the median exact.
 
-    Equal values are counted first. A key's values are then counted per bin of a fixed
-    monotone scale, the bins (not the values) are put in order, and only the values in
-    the bins that hold the middle ranks are ordered among themselves. So a key with
-    most of the rows never has its values sorted in one task.
+    Equal values are counted first and stored. A key's values are then counted per bin of a
+    monotone scale and the bins (not the values) put in order. A middle bin that is still
+    full is cut again, by its own bounds, until it holds few different values; only those are ordered
+    among themselves. So no key has its values sorted in one task, however many
+    it has and however close they are. Rows of a NULL key are one group.
     """
-    cells = (
-        df.select(key, numeric_value(F.col(value)).alias("_v"))
-        .groupBy(key, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.floor(_squash(_finite(F.col("_v"))) * GROUP_BINS))
+    cells = stage_table(
+        df.select(F.col(key).alias("key"), numeric_value(F.col(value)).alias("v")).groupBy("key", "v").agg(F.count(F.lit(1)).alias("n")),
+        "group_cells",
+    )
+    real = F.col("v").isNotNull()
+    bins = cells.groupBy("key", F.floor(_squash(_finite(F.col("v"))) * GROUP_BINS).alias("bin")).agg(
+        F.sum(F.when(real, F.col("n")).otherwise(0)).alias("size"), F.count("v").alias("cells"),
+        F.sum(F.col("v") * F.col("n")).alias("total"), F.min("v").alias("low"), F.max("v").alias("high"),
     )
-    number = F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)
-    bins = cells.groupBy(key, "_bin").agg(
-        F.sum(number).alias("_size"),
-        F.sum(F.col("_v") * F.col("_n")).alias("_total"),
-        F.min("_v").alias("_low"),
-        F.max("_v").alias("_high"),
+    bins = stage_table(bins, "group_bins")
+    whole = bins.groupBy("key").agg(
+        F.sum("size").alias("count"), F.sum("total").alias("total"), F.min("low").alias("min"), F.max("high").alias("max")
     )
-    per_key = Window.partitionBy(key)
-    placed = bins.select(
-        key, "_bin", "_size",
-        (F.sum("_size").over(per_key.orderBy(F.col("_bin").asc_nulls_last())) - F.col("_size")).alias("_below"),
-        F.sum("_size").over(per_key).alias("_all"),
-        F.sum("_total").over(per_key).alias("_sum"),
-        F.min("_low").over(per_key).alias("_min"),
-        F.max("_high").over(per_key).alias("_max"),
-    ).withColumn("_half", (F.col("_all") - 1) / 2.0)
-
-    def holds(rank: Column, size: str) -> Column:
-        return (F.col("_below") <= rank) & (rank < F.col("_below") + F.col(size))
-
-    low, high = F.floor("_half"), F.ceil("_half")
-    # A key has one or two middle bins; one without values keeps a row to carry its count.
-    middle = placed.filter(holds(low, "_size") | holds(high, "_size") | (F.col("_all") == 0)).drop("_size")
-    in_bin = Window.partitionBy(key, "_bin").orderBy("_v")
-    # Null-safe on the bin: a plain equality would push a filter under one use of the
-    # cells and they would be counted twice.
-    counted = cells.select(F.col(key).alias("_key"), F.col("_bin").alias("_its_bin"), "_v", "_n")
-    same = (F.col(key) == F.col("_key")) & F.col("_bin").eqNullSafe(F.col("_its_bin"))
-    ordered = middle.join(counted, same, "left").withColumn(
-        "_below", F.col("_below") + F.sum("_n").over(in_bin) - F.col("_n")
+    half = (F.sum("size").over(Window.partitionBy("key")) - 1) / 2.0
+    first = bins.filter("bin IS NOT NULL").withColumns({"first": F.floor(half), "last": F.ceil(half), "before": F.lit(0).cast("bigint")})
+    middle = stage_table(middle_bins(cells, first), "group_middles")
+    inside = _cells_within(cells, middle.filter("lower IS NULL"))
+    inside = inside.withColumn("below", F.col("below") + F.sum("n").over(Window.partitionBy("key").orderBy("v")) - F.col("n"))
+    ordered = inside.groupBy("key").agg(
+        F.max(F.when(_holds("first", "n"), F.col("v"))).alias("lower"), F.max(F.when(_holds("last", "n"), F.col("v"))).alias("upper")
     )
-    median = (F.max(F.when(holds(low, "_n"), F.col("_v"))) + F.max(F.when(holds(high, "_n"), F.col("_v")))) / 2
-    return ordered.groupBy(key).agg(
-        F.max("_all").alias("count"),
-        (F.max("_sum") / F.nullif(F.max("_all"), F.lit(0))).alias("mean"),
-        median.alias("median"),
-        F.max("_min").alias("min"),
-        F.max("_max").alias("max"),
+    settled = middle.filter("lower IS NOT NULL").select("key", "lower", "upper").unionByName(ordered)
+    median = settled.select(F.col("key").alias("its_key"), ((F.col("lower") + F.col("upper")) / 2).alias("median"))
+    return whole.join(median, F.col("key").eqNullSafe(F.col("its_key")), "left").select(
+        F.col("key").alias(key), "count", (F.col("total") / F.nullif(F.col("count"), F.lit(0))).alias("mean"), "median", "min", "max"
     )
 
 

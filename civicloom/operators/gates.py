@@ -156,6 +156,22 @@ def schema_gate(
 # --- Data quality -----------------------------------------------------------
 
 
+def _checked_columns(df: DataFrame, critical: Sequence[str] | None) -> list[str]:
+    return [c for c in df.columns if not critical or c in critical]
+
+
+def data_quality_measures(
+    df: DataFrame, critical: Sequence[str] | None = None, ranges: Mapping[str, tuple[float, float]] | None = None
+) -> list[Column]:
+    """What the data-quality gate counts of a table."""
+    nulls = [count_where(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(_checked_columns(df, critical))]
+    outside = [
+        count_where((F.col(f"`{c}`") < lo) | (F.col(f"`{c}`") > hi)).alias(f"range_{i}")
+        for i, (c, (lo, hi)) in enumerate((ranges or {}).items())
+    ]
+    return [F.count(F.lit(1)).alias("total"), *nulls, *outside]
+
+
 def data_quality_gate(
     df: DataFrame,
     ctx: GateContext,
@@ -163,22 +179,19 @@ def data_quality_gate(
     ranges: Mapping[str, tuple[float, float]] | None = None,
     warn: float = 0.02,
     fail: float = 0.10,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Null rates and value ranges, every column counted in the same scan."""
+    """Null rates and value ranges, every column counted in the same scan.
+
+    ``measured`` is a row that holds the ``data_quality_measures`` already.
+    """
     ranges = ranges or {}
     absent = [c for c in ranges if c not in df.columns]
     if absent:
         message = f"columns to check are missing: {', '.join(absent)}"
         return fixed_result(df.sparkSession, "data_quality", ctx, outcome("fail", message))
-    columns = [c for c in df.columns if not critical or c in critical]
-    row = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[count_where(F.col(f"`{c}`").isNull()).alias(f"null_{i}") for i, c in enumerate(columns)],
-        *[
-            count_where((F.col(f"`{c}`") < lo) | (F.col(f"`{c}`") > hi)).alias(f"range_{i}")
-            for i, (c, (lo, hi)) in enumerate(ranges.items())
-        ],
-    )
+    columns = _checked_columns(df, critical)
+    row = df.agg(*data_quality_measures(df, critical, ranges)) if measured is None else measured
     total = F.col("total")
     rates = [F.col(f"null_{i}").cast("double") / F.nullif(total, F.lit(0)) for i in range(len(columns))]
     rate_list = F.array(*rates) if rates else F.array().cast("array<double>")
@@ -242,17 +255,26 @@ def hours_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end).cast("double") / 3_600_000_000.0
 
 
+def validation_measures(asset: str) -> list[Column]:
+    """What the validation gate reads of the report table."""
+    mine = F.col("asset_name") == asset
+    return [
+        count_where(mine).alias("reports"),
+        F.max(F.when(mine, F.col("created_at"))).alias("created_at"),
+        F.max_by("recommendation", F.when(mine, F.struct("created_at", "run_id"))).alias("recommendation"),
+    ]
+
+
 def validation_gate(
-    spark: SparkSession, reports: DataFrame | None, ctx: GateContext, max_age_hours: float = 6
+    spark: SparkSession, reports: DataFrame | None, ctx: GateContext, max_age_hours: float = 6, measured: DataFrame | None = None
 ) -> DataFrame:
-    """The newest report of the asset must be fresh and must approve it. Times are UTC."""
+    """The newest report of the asset must be fresh and must approve it. Times are UTC.
+
+    ``measured`` is a row that holds the ``validation_measures`` already.
+    """
     if reports is None:
         return fixed_result(spark, "validation", ctx, outcome("fail", "the report table does not exist"))
-    newest = reports.filter(F.col("asset_name") == ctx.asset).agg(
-        F.count(F.lit(1)).alias("reports"),
-        F.max("created_at").alias("created_at"),
-        F.max_by("recommendation", F.struct("created_at", "run_id")).alias("recommendation"),
-    )
+    newest = reports.filter(F.col("asset_name") == ctx.asset).agg(*validation_measures(ctx.asset)) if measured is None else measured
     row = newest.select(
         "reports",
         F.upper(F.coalesce("recommendation", F.lit(""))).alias("verdict"),
@@ -288,19 +310,20 @@ def quarantine_gate(
     warn: float = 0.05,
     aggregated: bool = False,
     configured: bool = True,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Silver rows must be in gold or in quarantine; the quarantined share stays low.
 
     An aggregated gold table cannot conserve rows, so only the share is checked.
-    A quarantine table that does not exist counts zero rows.
+    A quarantine table that does not exist counts zero rows. ``measured`` is a row that
+    holds the ``layer_counts`` already.
     """
     if not configured:
         return fixed_result(spark, "quarantine", ctx, outcome("pass", "no quarantine set up, nothing to check"))
     if gold is None or silver is None:
         return fixed_result(spark, "quarantine", ctx, outcome("fail", "gold or silver table does not exist"))
-    row = layer_counts(spark, silver=silver, gold=gold, quarantine=quarantine).withColumn(
-        "quarantine", F.coalesce("quarantine", F.lit(0))
-    )
+    counts = layer_counts(spark, silver=silver, gold=gold, quarantine=quarantine) if measured is None else measured
+    row = counts.withColumn("quarantine", F.coalesce("quarantine", F.lit(0)))
     in_silver, in_gold, held = F.col("silver"), F.col("gold"), F.col("quarantine")
     share = held.cast("double") / F.nullif(in_silver, F.lit(0))
     orphans = in_silver - in_gold - held
@@ -335,11 +358,15 @@ def reconciliation_gate(
     ctx: GateContext,
     attrition: float = 0.15,
     aggregated: bool = False,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """No layer may hold more rows than the one below it, and few rows may be lost."""
+    """No layer may hold more rows than the one below it, and few rows may be lost.
+
+    ``measured`` is a row that holds the ``layer_counts`` already.
+    """
     if gold is None:
         return fixed_result(spark, "reconciliation", ctx, outcome("fail", f"{ctx.asset} does not exist"))
-    row = layer_counts(spark, bronze=bronze, silver=silver, gold=gold)
+    row = layer_counts(spark, bronze=bronze, silver=silver, gold=gold) if measured is None else measured
     raw, clean, final = F.col("bronze"), F.col("silver"), F.col("gold")
     lost = (raw - final).cast("double") / F.nullif(raw, F.lit(0))
     layers = _text("bronze ", raw, ", silver ", clean, ", gold ", final)
@@ -381,17 +408,22 @@ def cost_gate(
     hard_mb: float = 1500.0,
     bytes_per_row: float = 256.0,
     path: str | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Size against budgets: the stored size when ``path`` is given, else rows times a guess."""
-    count = df.agg(F.count(F.lit(1)).alias("rows"))
+    """Size against budgets: the stored size when ``path`` is given, else rows times a guess.
+
+    ``measured`` is a row that holds ``rows``, and ``bytes`` where a path is given, already.
+    """
+    if measured is None:
+        measured = df.agg(F.count(F.lit(1)).alias("rows"))
+        if path is not None:
+            both = measured.unionByName(stored_bytes(df.sparkSession, path), allowMissingColumns=True)
+            measured = both.agg(F.max("rows").alias("rows"), F.max("bytes").alias("bytes"))
     if path is None:
-        row = count.withColumn("size_mb", F.col("rows").cast("double") * bytes_per_row / 1024 / 1024)
+        row = measured.withColumn("size_mb", F.col("rows").cast("double") * bytes_per_row / 1024 / 1024)
         source = f"estimated at {bytes_per_row:g} bytes per row"
     else:
-        measured = stored_bytes(df.sparkSession, path)
-        row = count.unionByName(measured, allowMissingColumns=True).agg(
-            F.max("rows").alias("rows"), (F.max("bytes").cast("double") / 1024 / 1024).alias("size_mb")
-        )
+        row = measured.withColumn("size_mb", F.col("bytes").cast("double") / 1024 / 1024)
         source = f"measured at {path}"
     rows, size = F.col("rows"), F.col("size_mb")
     details = F.to_json(F.struct("rows", F.round(size, 2).alias("size_mb"), F.lit(source).alias("source")))
@@ -444,22 +476,40 @@ def sensitive_kind(value: Column) -> Column:
     return reduce(lambda acc, case: acc.when(*case), rest, F.when(first, first_kind))
 
 
+def text_columns(df: DataFrame, whitelist: Sequence[str] = ()) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in whitelist]
+
+
+def sensitive_measures(columns: Sequence[str]) -> list[Column]:
+    """Hits per text column and kind."""
+    kinds = {i: sensitive_kind(F.col(f"`{c}`")) for i, c in enumerate(columns)}
+    return [count_where(kinds[i] == kind).alias(f"hits_{i}_{kind}") for i in kinds for kind in rules.SENSITIVE_VALUE_PATTERNS]
+
+
+def _sensitive_hits(columns: Sequence[str]) -> Column:
+    """The measures as a list of (column, kind, hits) that were met."""
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.col(f"hits_{i}_{kind}").alias("hits"))
+        for i, c in enumerate(columns) for kind in rules.SENSITIVE_VALUE_PATTERNS
+    ]
+    return F.filter(F.array(*entries), lambda e: e["hits"] > 0)
+
+
 def scan_sensitive(
     df: DataFrame, columns: Sequence[str] | None = None, sample: float | None = None
 ) -> DataFrame:
     """(column, kind, hits) for text columns. Scans every value unless asked to sample."""
     if columns is None:
-        columns = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        columns = text_columns(df)
     if sample is not None:
         df = df.sample(sample, seed=0)
+    # The kind of a value is a column of its own, so that it is worked out once for all counts.
     kinds = df.select(*[sensitive_kind(F.col(f"`{c}`")).alias(f"k{i}") for i, c in enumerate(columns)])
-    pairs = [(i, c, kind) for i, c in enumerate(columns) for kind in rules.SENSITIVE_VALUE_PATTERNS]
-    counts = kinds.agg(*[count_where(F.col(f"k{i}") == kind).alias(f"{i}_{kind}") for i, _, kind in pairs])
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.col(f"{i}_{kind}").alias("hits"))
-        for i, c, kind in pairs
-    ]
-    return counts.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter("hits > 0")
+    counts = kinds.agg(*[
+        count_where(F.col(f"k{i}") == kind).alias(f"hits_{i}_{kind}")
+        for i in range(len(columns)) for kind in rules.SENSITIVE_VALUE_PATTERNS
+    ])
+    return counts.select(F.explode(_sensitive_hits(columns)).alias("e")).select("e.*")
 
 
 def security_gate(
@@ -468,8 +518,12 @@ def security_gate(
     ctx: GateContext,
     whitelist: Sequence[str] = (),
     sample: float | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
-    """Sensitive column names fail at once; sensitive values ask for a look."""
+    """Sensitive column names fail at once; sensitive values ask for a look.
+
+    ``measured`` is a row that holds the ``sensitive_measures`` of the text columns already.
+    """
     if df is None:
         return fixed_result(spark, "security", ctx, outcome("fail", f"table {ctx.asset} does not exist"))
     named = sensitive_names(df.columns, whitelist)
@@ -484,16 +538,16 @@ def security_gate(
                 details=F.to_json(F.struct(listed.alias("sensitive_columns"))),
             ),
         )
-    columns = [
-        f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in whitelist
-    ]
+    columns = text_columns(df, whitelist)
     clean = outcome("pass", "nothing sensitive in column names or values")
     if not columns:
         return fixed_result(spark, "security", ctx, clean)
+    pair = lambda e: F.struct(e["column"].alias("column"), e["kind"].alias("kind"))
     # One entry per text column and kind at most, so the list is as small as the schema.
-    row = scan_sensitive(df, columns, sample).agg(
-        F.array_sort(F.collect_list(F.struct("column", "kind"))).alias("found")
-    )
+    if measured is None:
+        row = scan_sensitive(df, columns, sample).agg(F.array_sort(F.collect_list(F.struct("column", "kind"))).alias("found"))
+    else:
+        row = measured.select(F.array_sort(F.transform(_sensitive_hits(columns), pair)).alias("found"))
     warning = outcome(
         "warn", _text(F.size("found"), " column and kind pairs hold sensitive values"),
         details=F.to_json(F.struct(F.col("found").alias("value_pattern_hits"))),

@@ -48,6 +48,9 @@ def with_address(silver: DataFrame) -> DataFrame:
 # --- Complaint marts --------------------------------------------------------
 
 
+DAILY_MEASURES = ["total_complaints", "closed_complaints", "open_complaints", "avg_resolution_days", "anomaly_count"]
+
+
 def daily_aggregates() -> list[Column]:
     """The measures of the daily mart; the streaming form uses the same list."""
     return [
@@ -59,6 +62,19 @@ def daily_aggregates() -> list[Column]:
     ]
 
 
+def daily_parts() -> list[Column]:
+    """The daily measures as sums, which add up over batches of rows."""
+    counts = [c for c, name in zip(daily_aggregates(), DAILY_MEASURES) if name != "avg_resolution_days"]
+    return [*counts, F.sum(_settled_days()).alias("settled_days"), F.count(_settled_days()).alias("settled_rows")]
+
+
+def daily_from_parts(parts: DataFrame) -> DataFrame:
+    """The daily mart from ``daily_parts`` of any number of batches."""
+    average = F.sum("settled_days") / F.nullif(F.sum("settled_rows"), F.lit(0))
+    measures = {c: F.sum(c) for c in DAILY_MEASURES} | {"avg_resolution_days": round_half_away(average, 1)}
+    return parts.groupBy("complaint_date", "borough").agg(*[measures[c].alias(c) for c in DAILY_MEASURES])
+
+
 def daily_complaints(silver: DataFrame) -> DataFrame:
     return silver.groupBy("complaint_date", "borough").agg(*daily_aggregates())
 

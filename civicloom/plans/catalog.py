@@ -31,7 +31,7 @@ from civicloom.sources.readers import (
     read_tabular,
     with_series_from_filename,
 )
-from civicloom.sources.sinks import write_findings, write_sorted
+from civicloom.sources.sinks import verify_export, write_findings, write_sorted
 from civicloom.streaming import streams
 
 SCORED_AT = datetime(2024, 1, 31)
@@ -247,13 +247,13 @@ def property_incidents_asof(spark, sf_dir):
 
 @register
 def gold_export(spark, sf_dir):
-    """All layers built and exported; the manifest holds what was written."""
+    """All layers built and exported; the manifest's counts and checksums, held against the files."""
     macro = marts.pivot_macro(_newest_macro(spark, sf_dir))
     ctx = GateContext("gold", "run_check", SCORED_AT)
     manifest = build_gold(
         given.raw_complaints(spark, sf_dir), macro, ctx, stage_path(spark, "lake"), given.TIE_BREAKERS
     )
-    return manifest.select("table_name", "row_count")
+    return verify_export(manifest).select("table_name", "row_count", "checksum", "verified")
 
 
 # --- Gates ------------------------------------------------------------------
@@ -706,6 +706,24 @@ def stream_daily(spark, sf_dir):
     return streams.run_daily(given.event_complaints(spark, _event_stream(spark, sf_dir)))
 
 
+@register
+def stream_daily_split(spark, sf_dir):
+    """Four arrivals, a fifth of the rows out of order: the daily mart next to the rows set aside, by day."""
+    events, source = given.table(spark, sf_dir, "events"), stage_path(spark, "arrivals")
+    target, checkpoint = stage_path(spark, "split"), stage_path(spark, "split-checkpoint")
+    quarter = F.floor((F.dayofmonth("ts") - 1) / 8)
+    arrival = F.when(F.col("event_id") % 5 == 0, 3 - quarter).otherwise(quarter)
+    for part in range(4):
+        events.filter(arrival == part).write.mode("append").parquet(source)
+        silver = given.event_complaints(spark, streams.stream_bronze(spark, source, events.schema, "parquet"))
+        streams.split_daily(silver, target, checkpoint, "2 days").awaitTermination()
+    late = streams.late_view(spark, target, silver.schema).groupBy("complaint_date", "borough", "late_reason").agg(
+        F.count(F.lit(1)).alias("late_rows")
+    )
+    days = streams.split_daily_view(spark, target)
+    return days.join(late, ["complaint_date", "borough"], "full_outer")
+
+
 @register
 def stream_keep_latest(spark, sf_dir):
     target, checkpoint = stage_path(spark, "latest"), stage_path(spark, "latest-checkpoint")

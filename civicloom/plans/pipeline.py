@@ -116,32 +116,78 @@ def logged_failures(
     return reduce(DataFrame.unionByName, results)
 
 
-def required_gates(spark: SparkSession, layers: Layers, config: GateConfig, ctx: GateContext) -> DataFrame:
-    """The seven required gates as seven rows."""
+def measured_layers(spark: SparkSession, layers: Layers, config: GateConfig, ctx: GateContext) -> DataFrame:
+    """All that the gates count, as one row: each layer is scanned once, all of them in one job."""
+    gold, count = layers.gold, F.count(F.lit(1))
+    parts = []
+    if gold is not None:
+        measures = gates.data_quality_measures(gold, config.critical, {c: r for c, r in config.ranges.items() if c in gold.columns})
+        texts = gates.text_columns(gold, config.whitelist) if config.sample is None else []
+        scanned = {c: gates.sensitive_kind(F.col(f"`{c}`")) for c in texts}
+        # The kind of a value is worked out once for all counts of its column.
+        rows = gold.withColumns({f"kind_of_{i}": kind for i, kind in enumerate(scanned.values())})
+        hits = [
+            gates.count_where(F.col(f"kind_of_{i}") == kind).alias(f"hits_{i}_{kind}")
+            for i in range(len(texts)) for kind in rules.SENSITIVE_VALUE_PATTERNS
+        ]
+        parts.append(rows.agg(count.alias("gold"), count.alias("rows"), *measures, *hits))
+        if config.export_path is not None:
+            parts.append(gates.stored_bytes(spark, config.export_path))
+    others = {"silver": layers.silver, "bronze": layers.bronze, "quarantine": layers.quarantine}
+    parts += [df.agg(count.alias(name)) for name, df in others.items() if df is not None]
+    if layers.reports is not None:
+        parts.append(layers.reports.agg(*gates.validation_measures(ctx.asset)))
+    nothing = {name: F.lit(None).cast("bigint") for name in ("gold", *others)}
+    parts.append(spark.range(1).select(*[value.alias(name) for name, value in nothing.items()]))
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    row = merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+    return spark.createDataFrame(row.collect(), row.schema)
+
+
+def _checks(
+    spark: SparkSession, layers: Layers, config: GateConfig, ctx: GateContext, measured: DataFrame | None
+) -> dict[str, Callable[[], DataFrame]]:
     gold = layers.gold
 
     def absent(gate: str) -> DataFrame:
         message = f"table {ctx.asset} does not exist"
         return gates.fixed_result(spark, gate, ctx, gates.outcome("fail", message))
 
-    return logged_failures(spark, ctx, {
+    return {
         "schema": lambda: gates.schema_gate(spark, gold, ctx, config.contract),
         "data_quality": lambda: absent("data_quality") if gold is None else gates.data_quality_gate(
-            gold, ctx, config.critical, config.ranges, config.null_warn, config.null_fail
+            gold, ctx, config.critical, config.ranges, config.null_warn, config.null_fail, measured
         ),
-        "validation": lambda: gates.validation_gate(spark, layers.reports, ctx, config.max_age_hours),
+        "validation": lambda: gates.validation_gate(spark, layers.reports, ctx, config.max_age_hours, measured),
         "quarantine": lambda: gates.quarantine_gate(
             spark, gold, layers.silver, layers.quarantine, ctx, config.quarantine_warn,
-            config.aggregated, config.has_quarantine,
+            config.aggregated, config.has_quarantine, measured,
         ),
         "reconciliation": lambda: gates.reconciliation_gate(
-            spark, gold, layers.silver, layers.bronze, ctx, config.attrition, config.aggregated
+            spark, gold, layers.silver, layers.bronze, ctx, config.attrition, config.aggregated, measured
         ),
         "cost": lambda: absent("cost") if gold is None else gates.cost_gate(
-            gold, ctx, config.soft_mb, config.hard_mb, config.bytes_per_row, config.export_path
+            gold, ctx, config.soft_mb, config.hard_mb, config.bytes_per_row, config.export_path, measured
+        ),
+        "security": lambda: gates.security_gate(
+            spark, gold, ctx, config.whitelist, config.sample, measured if config.sample is None else None
         ),
-        "security": lambda: gates.security_gate(spark, gold, ctx, config.whitelist, config.sample),
-    })
+    }
+
+
+def required_gates(spark: SparkSession, layers: Layers, config: GateConfig, ctx: GateContext) -> DataFrame:
+    """The seven required gates as seven rows.
+
+    All are judged from one row of shared counts. Only if those can't be taken, or a gate can't be judged
+    by them, is each gate run on its own, so that the one that fails says so and the
+    others keep their results.
+    """
+    try:
+        checks = _checks(spark, layers, config, ctx, measured_layers(spark, layers, config, ctx))
+        rows = reduce(DataFrame.unionByName, [check() for check in checks.values()])
+        return spark.createDataFrame(rows.collect(), rows.schema)
+    except PySparkException:
+        return logged_failures(spark, ctx, _checks(spark, layers, config, ctx, None))
 
 
 def run_gates(

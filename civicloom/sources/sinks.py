@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from civicloom import schemas
+from civicloom.functions.columns import rows_checksum
 from civicloom.sources.readers import read_optional
 
 
@@ -64,8 +67,9 @@ def export_gold(
 ) -> DataFrame:
     """Write each table as ZSTD Parquet; returns a manifest with one row per table.
 
-    Every table must be there before anything is written. Row counts come from the
-    write itself, so no table is read twice. ``partition_by`` names the folder columns
+    Every table must be there before anything is written. Row counts and checksums of the
+    contents come from the write itself, so no table is read twice; ``verify_export`` takes both again
+    from the files. ``partition_by`` names the folder columns
     of a table; its rows are rebalanced on them first, which gives even files and
     splits a folder that holds most of the rows over several tasks.
     """
@@ -79,7 +83,7 @@ def export_gold(
         counted = Observation(f"export_{name}")
         path = f"{directory}/{name}"
         folders = partition_by.get(name, ())
-        rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+        rows = df.observe(counted, F.count(F.lit(1)).alias("rows"), rows_checksum(df.schema).alias("checksum"))
         if folders:
             rows = rows.hint("rebalance", *folders)
         (
@@ -89,10 +93,27 @@ def export_gold(
             .option("partitionOverwriteMode", "static")
             .parquet(path)
         )
-        manifest.append((name, path, counted.get["rows"]))
+        manifest.append((name, path, counted.get["rows"], counted.get["checksum"], df.schema.json()))
     if spark is None:
         raise ValueError("no table to export")
-    return spark.createDataFrame(manifest, "table_name string, path string, row_count bigint")
+    return spark.createDataFrame(manifest, "table_name string, path string, row_count bigint, checksum bigint, table_schema string")
+
+
+def verify_export(manifest: DataFrame) -> DataFrame:
+    """The manifest with what its files hold now, one aggregation a table: ``found_rows, found_checksum, verified``.
+
+    A table whose files are gone holds nothing.
+    """
+    spark, found = manifest.sparkSession, []
+    for entry in manifest.collect():  # one row per exported table
+        schema = T.StructType.fromJson(json.loads(entry["table_schema"]))
+        there = read_optional(spark, entry["path"]) is not None
+        rows = spark.read.schema(schema).parquet(entry["path"]) if there else spark.createDataFrame([], schema)
+        counts = rows.agg(F.count(F.lit(1)).alias("found_rows"), rows_checksum(schema).alias("found_checksum"))
+        found.append(counts.select(F.lit(entry["table_name"]).alias("table_name"), "*"))
+    both = manifest.join(reduce(DataFrame.unionByName, found), "table_name")
+    same = (F.col("row_count") == F.col("found_rows")) & (F.col("checksum") == F.col("found_checksum"))
+    return both.withColumn("verified", same)
 
 
 def write_sorted(df: DataFrame, path: str, order: Sequence[Column]) -> None:

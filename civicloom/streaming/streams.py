@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from civicloom.functions.columns import timestamp_literal
 from civicloom.functions.windows import keep_latest
-from civicloom.operators.marts import daily_aggregates
+from civicloom.operators.marts import DAILY_MEASURES, daily_aggregates, daily_from_parts, daily_parts
 from civicloom.session import stage_path
+from civicloom.sources.readers import read_optional
 
 _BATCH = "batch_id"
 
@@ -46,14 +49,7 @@ def write_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            shape(batch)
-            .withColumn(_BATCH, F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(_BATCH)
-            .parquet(target)
-        )
+        _write_batch(shape(batch), batch_id, target)
 
     return (
         sdf.writeStream.foreachBatch(write)
@@ -174,6 +170,76 @@ def run_daily(silver: DataFrame, delay: str = "1 day") -> DataFrame:
     return keep_latest(rows, ["complaint_date", "borough"], [F.desc(_BATCH)]).drop(_BATCH)
 
 
+DAILY_PARTS = T.StructType([
+    T.StructField("complaint_date", T.DateType()), T.StructField("borough", T.StringType()),
+    *[T.StructField(c, T.LongType()) for c in DAILY_MEASURES if c != "avg_resolution_days"],
+    T.StructField("settled_days", T.LongType()), T.StructField("settled_rows", T.LongType()),
+])
+
+
+def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    rows.withColumn(_BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(_BATCH).parquet(path)
+
+
+def _mark_before(spark: SparkSession, target: str, batch_id: int):
+    """The newest event time in the batches before this one; replaying a batch finds the same."""
+    if read_optional(spark, f"{target}/marks") is None:
+        return None
+    marks = spark.read.schema(f"newest timestamp_ntz, {_BATCH} bigint").parquet(f"{target}/marks")
+    return marks.filter(F.col(_BATCH) < batch_id).agg(F.max("newest")).first()[0]
+
+
+def split_daily(
+    silver: DataFrame, target: str, checkpoint: str, delay: str = "1 day", ts_col: str = "created_date"
+) -> StreamingQuery:
+    """The daily mart of a stream with no row lost: what comes too late goes to a table beside it.
+
+    Within each micro-batch a row is late if its whole day is more than ``delay`` behind the newest
+    event of the batches before, as a watermark would have it; rows without a time are set
+    aside likewise. ``target/daily`` gets the sums of the others by day, ``target/late`` the
+    late rows with ``late_reason``, ``target/marks`` the newest event time, all under the batch's id,
+    the mark last. A batch replayed after a failure finds the same marks and overwrites its own
+    partitions. Nothing is kept in state, and days stay open for no longer than their sums.
+    """
+    spark = silver.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        mark = _mark_before(spark, target, batch_id)
+        time = F.col(ts_col)
+        day_ends = F.date_add(time.cast("date"), 1).cast("timestamp_ntz")
+        reason = F.when(time.isNull(), "no_time")
+        if mark is not None:
+            horizon = timestamp_literal(mark) - F.expr(f"INTERVAL '{delay}'")
+            reason = reason.when(day_ends <= horizon, "late")
+        # Three outputs of one reading of the files.
+        rows = batch.withColumn("late_reason", reason).persist(StorageLevel.DISK_ONLY)
+        try:
+            on_time = rows.filter("late_reason IS NULL")
+            by_day = on_time.groupBy(time.cast("date").alias("complaint_date"), "borough").agg(*daily_parts())
+            _write_batch(by_day, batch_id, f"{target}/daily")
+            _write_batch(rows.filter("late_reason IS NOT NULL"), batch_id, f"{target}/late")
+            _write_batch(rows.agg(F.max(time).cast("timestamp_ntz").alias("newest")), batch_id, f"{target}/marks")
+        finally:
+            rows.unpersist()
+
+    return (
+        silver.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def split_daily_view(spark: SparkSession, target: str) -> DataFrame:
+    """The daily mart over what ``split_daily`` took in time."""
+    return daily_from_parts(spark.read.schema(DAILY_PARTS).parquet(f"{target}/daily"))
+
+
+def late_view(spark: SparkSession, target: str, silver: T.StructType) -> DataFrame:
+    """The rows that ``split_daily`` set aside, with their reason and batch."""
+    schema = T.StructType([*silver.fields, T.StructField("late_reason", T.StringType()), T.StructField(_BATCH, T.LongType())])
+    return spark.read.schema(schema).parquet(f"{target}/late")
+
+
 class LateRows(StreamingQueryListener):
     """Adds up what watermarks drop, by query id, for as long as it is registered.
 

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from civicloom.functions import quantiles
 from civicloom.operators import anomaly, classify, marts
 from civicloom.operators.gates import GateContext
 from civicloom.plans import catalog
@@ -54,13 +55,21 @@ def test_classification_is_one_projection(spark, sf):
     assert "Exchange" not in text and "Python" not in text and "Join" not in text
 
 
-def test_grouped_medians_count_once(spark, sf):
-    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
-    rows = anomaly.score_by(lines, "l_returnflag", "l_extendedprice")
-    assert rows.count() == 3
-    rows.collect()
+def test_a_hot_key_of_close_values_is_never_sorted(spark, monkeypatch):
+    """A million values within a thousandth, next to a small key: what is ordered are a few thousand of them."""
+    hot = spark.range(1_000_000).select(F.lit("hot").alias("k"), (1000 + F.col("id") / 1e6).alias("v"))
+    df = hot.unionByName(spark.range(10).select(F.lit("cold").alias("k"), F.col("id").cast("double").alias("v")))
+    found = []
+    kept = quantiles.middle_bins
+    monkeypatch.setattr(quantiles, "middle_bins", lambda *args: found.append(kept(*args)) or found[-1])
+    rows = quantiles.grouped_summary(df, "k", "v")
+    assert {r.k: (r["count"], r.median) for r in rows.collect()} == {"hot": (1_000_000, 1000.4999995), "cold": (10, 4.5)}
+    widest = found[0].agg(F.max("cells")).first()[0]
+    assert widest <= quantiles.MIDDLE_CELLS
+    # The one sort by value is behind the join with the middle bins.
     final = plan(rows).split("Initial Plan")[0]
-    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    assert "BroadcastHashJoin" in final and "CartesianProduct" not in final and "NestedLoop" not in final
+    assert final.count("FileScan") >= 2 and "Range" not in final
 
 
 def test_no_query_holds_a_cross_join(spark, sf):

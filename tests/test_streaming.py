@@ -125,6 +125,49 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     assert days == {10, 11, 12}
 
 
+def late_ids(spark, target, schema):
+    return {r.complaint_id: (r.late_reason, r.batch_id) for r in streams.late_view(spark, target, schema).collect()}
+
+
+def test_late_rows_go_to_a_table_beside_the_mart(spark, tmp_path):
+    """Every row is in the mart or in the late table, also when a batch is replayed."""
+    path, target = tmp_path / "bronze", f"{tmp_path}/t"
+    arrivals = [
+        [complaint("1", "2024-01-10T10:00:00"), complaint("2", "2024-01-08T10:00:00")],  # the first batch has no horizon
+        [complaint("3", "2024-01-09T00:00:00"), complaint("4", "2024-01-08T23:59:59"), complaint("5", None)],
+        [complaint("6", "2024-01-20T00:00:00")],
+        [complaint("7", "2024-01-18T23:59:59"), complaint("8", "2024-01-19T00:00:00"), complaint("9", "2024-01-20T01:00:00")],
+    ]
+    for i, rows in enumerate(arrivals):
+        put(path, f"p{i}.json", *rows)
+        streams.split_daily(stream(spark, path), target, f"{tmp_path}/c").awaitTermination()
+    schema = stream(spark, path).schema
+    want = {"4": ("late", 1), "5": ("no_time", 1), "7": ("late", 3)}
+    assert late_ids(spark, target, schema) == want
+    daily = streams.split_daily_view(spark, target)
+    expected = marts.daily_complaints(batch(spark, path).filter(~F.col("complaint_id").isin(*want)))
+    assert sorted(daily.collect()) == sorted(expected.select(daily.columns).collect())
+    # Another checkpoint deals the same files to one batch with the first id: it replaces that batch alone.
+    spark.read.parquet(f"{target}/marks")
+    counts = {r.batch_id: r["count"] for r in spark.read.parquet(f"{target}/marks").groupBy("batch_id").count().collect()}
+    assert counts == {0: 1, 1: 1, 2: 1, 3: 1}
+
+
+def test_a_replayed_split_repeats_itself(spark, tmp_path):
+    path, target = tmp_path / "bronze", f"{tmp_path}/t"
+    put(path, "p0.json", complaint("1", "2024-01-10T10:00:00"))
+    streams.split_daily(stream(spark, path), target, f"{tmp_path}/c").awaitTermination()
+    put(path, "p1.json", complaint("2", "2024-01-02T10:00:00"), complaint("3", "2024-02-02T10:00:00"))
+    streams.split_daily(stream(spark, path), target, f"{tmp_path}/c").awaitTermination()
+    schema = stream(spark, path).schema
+    before = late_ids(spark, target, schema), sorted(streams.split_daily_view(spark, target).collect())
+    for commit in (tmp_path / "c" / "commits").glob("*1*"):  # as if the driver had died before the last commit
+        commit.unlink()
+    streams.split_daily(stream(spark, path), target, f"{tmp_path}/c").awaitTermination()
+    assert (late_ids(spark, target, schema), sorted(streams.split_daily_view(spark, target).collect())) == before
+    assert before[0] == {"2": ("late", 1)}
+
+
 def test_event_time_days_are_cut_in_utc(spark, tmp_path):
     path = tmp_path / "bronze"
     put(path, "p0.json", complaint("1", "2024-03-10T00:00:00"), complaint("2", "2024-03-10T23:59:59"))
