@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from civicloom import rules
 from civicloom.functions.columns import count_where, timestamp_literal
 from civicloom.functions.quantiles import (
+    Bounds,
     column_bounds,
     exact_quantiles,
     grouped_summary,
@@ -45,6 +46,45 @@ _IQR_SCHEMA = (
 )
 
 
+def _present(entries: Sequence[Column]) -> Column:
+    return F.filter(F.array(*entries), lambda e: e.isNotNull())
+
+
+def _z_entry(column: str, mean: float, std: float, threshold: float) -> Column:
+    """The column's value with its score, or NULL where it is no outlier."""
+    value = numeric_value(F.col(f"`{column}`"))
+    score = (value - F.lit(mean)) / F.lit(std)
+    entry = F.struct(
+        F.lit(column).alias("column_name"), value.alias("value"), F.lit(mean).alias("mean"), F.lit(std).alias("std"),
+        score.alias("zscore"),
+    )
+    return F.when(F.abs(score) >= threshold, entry)
+
+
+def _z_severity(score: str) -> Column:
+    return F.when(F.abs(score) < rules.ZSCORE_HIGH, "medium").otherwise("high")
+
+
+def _fences(bounds: Mapping[str, Bounds], quartiles: Mapping[tuple[str, float], float]) -> dict[str, tuple[float, float]]:
+    """Lower and upper fence of the columns whose quartiles differ."""
+    fences = {}
+    for c in bounds:
+        q1, q3 = quartiles[c, 0.25], quartiles[c, 0.75]
+        if q3 > q1:
+            reach = rules.IQR_FENCE * (q3 - q1)
+            fences[c] = (q1 - reach, q3 + reach)
+    return fences
+
+
+def _iqr_entry(column: str, lower: float, upper: float) -> Column:
+    """The column's value with its fences, or NULL where it lies inside."""
+    value = numeric_value(F.col(f"`{column}`"))
+    entry = F.struct(
+        F.lit(column).alias("column_name"), value.alias("value"), F.lit(lower).alias("lower_bound"), F.lit(upper).alias("upper_bound")
+    )
+    return F.when((value < lower) | (value > upper), entry)
+
+
 def zscore_anomalies(
     df: DataFrame, table: str, keys: Sequence[str], threshold: float = rules.ZSCORE_LIMIT
 ) -> DataFrame:
@@ -73,20 +113,11 @@ def zscore_anomalies(
     ]
     if not stats:
         return _empty(df, _Z_SCHEMA)
-    found = []
-    for e in stats:
-        value, mean, std = values[e["column_name"]], F.lit(e["mean"]), F.lit(e["std"])
-        score = (value - mean) / std
-        entry = F.struct(
-            F.lit(e["column_name"]).alias("column_name"), value.alias("value"), mean.alias("mean"),
-            std.alias("std"), score.alias("zscore"),
-        )
-        found.append(F.when(F.abs(score) >= threshold, entry))
-    outside = F.filter(F.array(*found), lambda e: e.isNotNull())
+    outside = _present([_z_entry(e["column_name"], e["mean"], e["std"], threshold) for e in stats])
     return df.select(_row_key(keys), F.explode(outside).alias("e")).select(
         F.lit(table).alias("table_name"), _KEY, F.lit("zscore_outlier").alias("anomaly_type"),
         "e.column_name", "e.value", "e.mean", "e.std", "e.zscore",
-        F.when(F.abs("e.zscore") < rules.ZSCORE_HIGH, "medium").otherwise("high").alias("severity"),
+        _z_severity("e.zscore").alias("severity"),
     )
 
 
@@ -101,28 +132,10 @@ def iqr_anomalies(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     if not columns:
         return _empty(df, _IQR_SCHEMA)
     bounds = {c: b for c, b in column_bounds(df, columns).items() if b.count >= rules.MIN_VALUES}
-    quartiles = exact_quantiles(df, bounds, (0.25, 0.75))
-    fences = {}
-    for c in bounds:
-        q1, q3 = quartiles[c, 0.25], quartiles[c, 0.75]
-        if q3 > q1:
-            reach = rules.IQR_FENCE * (q3 - q1)
-            fences[c] = (q1 - reach, q3 + reach)
+    fences = _fences(bounds, exact_quantiles(df, bounds, (0.25, 0.75)))
     if not fences:
         return _empty(df, _IQR_SCHEMA)
-    found = []
-    for c, (lower, upper) in fences.items():
-        value = numeric_value(F.col(f"`{c}`"))
-        found.append(
-            F.when(
-                (value < lower) | (value > upper),
-                F.struct(
-                    F.lit(c).alias("column_name"), value.alias("value"),
-                    F.lit(lower).alias("lower_bound"), F.lit(upper).alias("upper_bound"),
-                ),
-            )
-        )
-    outside = F.filter(F.array(*found), lambda e: e.isNotNull())
+    outside = _present([_iqr_entry(c, *fence) for c, fence in fences.items()])
     return (
         df.select(_row_key(keys), F.explode(outside).alias("e"))
         .select(
@@ -160,18 +173,78 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+_FINDING_SCHEMA = _Z_SCHEMA.replace("severity string", "lower_bound double, upper_bound double, severity string")
+_PROFILE_SCHEMA = (
+    "table_name string, row_count bigint, column_count bigint, column_name string, is_numeric boolean, null_count bigint, "
+    "value_count bigint, mean double, std double, low double, high double, q1 double, q3 double"
+)
+
+
+def table_baseline(df: DataFrame, table: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(findings, profile) of one table: z-score and fence outliers, and a row per column with its statistics.
+
+    One scan takes counts, moments and bounds of all columns, a few counting passes narrow all quartiles
+    down together, and one scan yields both kinds of outliers. All but the findings run now.
+    """
+    numeric = numeric_columns(df)
+    checked = [c for c in numeric if c not in keys]
+    values = {c: numeric_value(F.col(f"`{c}`")) for c in checked}
+    measures = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "low": F.min, "high": F.max}
+    row = df.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[count_where(F.col(f"`{c}`").isNull()).alias(f"nulls{i}") for i, c in enumerate(df.columns)],
+        *[f(v).alias(f"{name}{i}") for i, v in enumerate(values.values()) for name, f in measures.items()],
+    ).first()
+    stats = {c: {name: row[f"{name}{i}"] for name in measures} for i, c in enumerate(checked)}
+    enough = {c: Bounds(s["n"], s["low"], s["high"]) for c, s in stats.items() if s["n"] >= rules.MIN_VALUES}
+    quartiles = exact_quantiles(df, enough, (0.25, 0.75))
+    fences = _fences(enough, quartiles)
+    spread = {c: stats[c] for c in enough if stats[c]["std"] is not None and stats[c]["std"] > 0}
+    kinds = {
+        "zscore_outlier": [_z_entry(c, s["mean"], s["std"], rules.ZSCORE_LIMIT) for c, s in spread.items()],
+        "iqr_outlier": [_iqr_entry(c, *fence) for c, fence in fences.items()],
+    }
+
+    def full(kind: str, e: Column) -> Column:
+        nothing, z = F.lit(None).cast("double"), kind == "zscore_outlier"
+        return F.struct(
+            F.lit(kind).alias("anomaly_type"), e["column_name"].alias("column_name"), e["value"].alias("value"),
+            *[(e[name] if z else nothing).alias(name) for name in ("mean", "std", "zscore")],
+            *[(nothing if z else e[name]).alias(name) for name in ("lower_bound", "upper_bound")],
+        )
+
+    lists = [F.transform(_present(entries), partial(full, kind)) for kind, entries in kinds.items() if entries]
+    if lists:
+        found = df.select(_row_key(keys), F.explode(F.concat(*lists)).alias("e")).select(
+            F.lit(table).alias("table_name"), _KEY, "e.*",
+            F.when(F.col("e.zscore").isNotNull(), _z_severity("e.zscore")).otherwise("medium").alias("severity"),
+        )
+    else:
+        found = _empty(df, _FINDING_SCHEMA)
+    profile = []
+    for i, c in enumerate(df.columns):
+        s = stats.get(c, {})
+        profile.append((
+            table, row["row_count"], len(df.columns), c, c in numeric, row[f"nulls{i}"],
+            *[s.get(name) for name in measures], quartiles.get((c, 0.25)), quartiles.get((c, 0.75)),
+        ))
+    # One row per column of the table.
+    return found, df.sparkSession.createDataFrame(profile, _PROFILE_SCHEMA)
+
+
 def anomaly_baseline(
     tables: Mapping[str, tuple[DataFrame | None, Sequence[str]]],
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(findings, profiles, names of absent tables) over tables given with their key columns."""
+    """(findings, profiles, names of absent tables) over tables given with their key columns.
+
+    Each table is read once for its statistics and once for its findings, with a few counting
+    passes between; pass stored tables.
+    """
     absent = [name for name, (df, _) in tables.items() if df is None]
-    present = {name: pair for name, pair in tables.items() if pair[0] is not None}
-    if not present:
+    made = [table_baseline(df, name, keys) for name, (df, keys) in tables.items() if df is not None]
+    if not made:
         raise ValueError("none of the tables exists")
-    findings = union_findings(
-        *[f(df, name, keys) for name, (df, keys) in present.items() for f in (zscore_anomalies, iqr_anomalies)]
-    )
-    profiles = reduce(DataFrame.unionByName, [profile_table(df, name) for name, (df, _) in present.items()])
+    findings, profiles = (reduce(DataFrame.unionByName, side) for side in zip(*made))
     return findings, profiles, absent
 
 

@@ -24,6 +24,7 @@ from civicloom.plans.pipeline import DAILY_CONFIG, Layers, build_gold, run_gates
 from civicloom.session import stage_path, stage_table
 from civicloom.sources import driver_tables as given
 from civicloom.sources.increments import ingest_increment, late_rows
+from civicloom.sources.json_arrays import read_json_arrays
 from civicloom.sources.readers import (
     malformed_json,
     read_json_bronze,
@@ -557,17 +558,25 @@ def iqr_anomalies(spark, sf_dir):
 
 @register
 def anomaly_baseline(spark, sf_dir):
+    """Profiles and findings of all six gold tables, and one table that doesn't exist."""
     silver = _stored_silver(spark, sf_dir)
-    daily = stage_table(marts.daily_complaints(silver), "daily")
-    tables = {
-        "daily_complaints": (daily, ["complaint_date", "borough"]),
-        "resolution_anomalies": (stage_table(marts.resolution_anomalies(silver), "anomalies"), ["complaint_id"]),
-        "address_risk_score": (None, []),
+    incidents = marts.property_incidents(silver, _macro(spark, sf_dir), "month")
+    gold = {
+        "daily_complaints": (marts.daily_complaints(silver), ["complaint_date", "borough"]),
+        "borough_summary": (marts.borough_summary(silver), ["police_precinct", "borough"]),
+        "anomaly_summary": (marts.anomaly_summary(silver), ["agency", "complaint_type", "borough", "police_precinct", "complaint_year"]),
+        "resolution_anomalies": (marts.resolution_anomalies(silver), ["complaint_id"]),
+        "property_incidents": (incidents, ["complaint_id"]),
+        "address_risk_score": (marts.address_risk_score(silver, SCORED_AT), ["full_address", "police_precinct"]),
     }
-    findings, _, _ = anomaly.anomaly_baseline(tables)
-    return findings.groupBy("table_name", "anomaly_type", "column_name", "severity").agg(
-        F.count(F.lit(1)).alias("findings"), F.min("value").alias("smallest"), F.max("value").alias("largest")
+    tables = {name: (stage_table(df, name), keys) for name, (df, keys) in gold.items()}
+    findings, profiles, absent = anomaly.anomaly_baseline({**tables, "forecasts": (None, [])})
+    counts = findings.groupBy("table_name", "column_name").agg(
+        *[F.count_if(F.col("anomaly_type") == kind).alias(kind) for kind in ("zscore_outlier", "iqr_outlier")],
+        F.count_if(F.col("severity") == "high").alias("high_findings"), F.min("value").alias("smallest"), F.max("value").alias("largest"),
     )
+    rows = profiles.join(counts, ["table_name", "column_name"], "left").fillna(0, ["zscore_outlier", "iqr_outlier", "high_findings"])
+    return _rounded(rows, 6, "mean", "std", "q1", "q3").withColumn("absent_tables", F.lit(",".join(absent)))
 
 
 @register
@@ -772,6 +781,21 @@ def bronze_json_arrays(spark, sf_dir):
     return read.join(bad, F.lit(True))
 
 
+@register
+def bronze_json_splits(spark, sf_dir):
+    """Objects one after the other with braces in their texts, in files that are cut anywhere."""
+    orders, path = given.table(spark, sf_dir, "orders"), stage_path(spark, "objects")
+    note = F.concat(F.lit('"}, {\\'), "o_orderpriority", F.lit('"['))
+    nested = F.struct(F.array(F.struct("o_orderstatus")).alias("states"), F.col("o_totalprice"))
+    rows = orders.select(F.to_json(F.struct("o_orderkey", note.alias("note"), nested.alias("inner"))).alias("value"))
+    rows.write.option("lineSep", ",\n").text(path)
+    schema = "o_orderkey bigint, note string, inner struct<states: array<struct<o_orderstatus: string>>, o_totalprice: double>"
+    read = read_json_arrays(spark, path, T._parse_datatype_string(schema))
+    return read.groupBy(F.col("inner.states")[0]["o_orderstatus"].alias("status"), "note").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("orders"), F.max("inner.o_totalprice").alias("highest")
+    )
+
+
 @register
 def macro_from_files(spark, sf_dir):
     """The series key comes from the name of the file a row is in."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from civicloom import rules, schemas
 from civicloom.operators import gates
 from civicloom.operators.gates import GateContext
+from civicloom.plans import pipeline
 from civicloom.plans.pipeline import DAILY_CONFIG, Layers, run_gates
 from civicloom.sources.sinks import read_gate_log
 
@@ -268,6 +269,35 @@ def test_clean_run_then_broken_run(spark, tmp_path):
     assert gone["promotion"] == "fail" and gone["data_quality"] == "fail"
 
 
+def test_shared_scans_judge_as_each_gate_does(spark):
+    """The same rows, message and details included, from one row of counts and from a scan per gate."""
+    bronze = complaints(spark)
+    silver = bronze.filter("n > 0")
+    gold = daily_of(silver).withColumn("note", F.concat_ws("@", F.lit("a"), F.lit("b.org")))
+    layers = Layers(gold, silver, bronze, bronze.filter("n = 0"), reports(spark, ("APPROVE", 1), ("REVIEW", 9)))
+    config = replace(DAILY_CONFIG, critical=None, soft_mb=1e-9)
+    shared = pipeline._checks(spark, layers, config, CTX, pipeline.measured_layers(spark, layers, config, CTX))
+    alone = pipeline._checks(spark, layers, config, CTX, None)
+    for gate in alone:
+        assert result(shared[gate]()) == result(alone[gate]()), gate
+    assert result(shared["security"]()).status == "warn" and result(shared["cost"]()).status == "warn"
+    some = Layers(gold)
+    found = pipeline.required_gates(spark, some, config, CTX).collect()
+    assert [r.gate_name for r in found] == list(alone) and found[2].status == "fail"
+
+
+def test_each_layer_is_read_once(spark, tmp_path):
+    layer = {}
+    for name in ("gold", "silver", "bronze"):
+        complaints(spark).write.parquet(f"{tmp_path}/{name}")
+        layer[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("shared-gates", "")
+    pipeline.required_gates(spark, Layers(layer["gold"], layer["silver"], layer["bronze"]), DAILY_CONFIG, CTX)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs.getJobIdsForGroup("shared-gates")) <= 6
+
+
 def daily_of(silver):
     counts = {c: F.count(F.lit(1)) for c in ("total_complaints", "closed_complaints", "open_complaints", "anomaly_count")}
     daily = silver.groupBy("complaint_date", "borough").agg(*[n.alias(c) for c, n in counts.items()])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from civicloom import schemas, session
 from civicloom.operators import silver
 from civicloom.session import clear_stage, shared_dir, stage_table
-from civicloom.sources import increments, readers, sinks
+from civicloom.sources import increments, json_arrays, readers, sinks
 
 
 def write(path, payload):
@@ -80,6 +80,65 @@ def test_malformed_documents_are_counted(spark, tmp_path):
     assert got == {"a.json": (2, 0), "b.json": (0, 1)}
 
 
+AWKWARD = ['}', '{"', '\\"}, {', "[", "a\\\\", "", "é}\n{", '"', '\\\\"}']
+
+
+def awkward_objects(count):
+    return [
+        {"id": i, "note": AWKWARD[i % len(AWKWARD)] * (i % 5), "inner": {"list": [{"x": i}, {"y": {}}, [[]]], "text": AWKWARD[(i * 7) % len(AWKWARD)]}}
+        for i in range(count)
+    ]
+
+
+@pytest.mark.parametrize("split", [400, 10_000_000])
+@pytest.mark.parametrize("indent, ascii_only", [(None, True), (2, False)])
+def test_large_arrays_are_split(spark, tmp_path, split, indent, ascii_only):
+    """Arrays cut anywhere, in the middle of strings and of nested objects too, against a parser of the whole."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        objects = awkward_objects(100)
+        write(tmp_path / "j" / "a.json", json.dumps(objects, indent=indent, ensure_ascii=ascii_only))
+        write(tmp_path / "j" / "b.json", "\n ,".join(json.dumps(o) for o in objects[:30]))
+        write(tmp_path / "j" / "c.json", json.dumps({"id": 7, "list": list("}{" * 300)}))
+        write(tmp_path / "j" / "d.json", "[ ]")
+        write(tmp_path / "j" / "e.json", json.dumps(objects)[:3000])
+        rows = json_arrays.array_objects(spark, f"{tmp_path}/j").collect()
+        if split == 400:
+            assert json_arrays._pieces(spark, f"{tmp_path}/j").rdd.getNumPartitions() > 40
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    found = {}
+    for r in rows:
+        found.setdefault(r.file[-6], []).append(r.text)
+    parsed = {name: sorted((json.loads(t) for t in texts), key=lambda o: o["id"]) for name, texts in found.items() if name in "abc"}
+    assert parsed == {"a": objects, "b": objects[:30], "c": [{"id": 7, "list": list("}{" * 300)}]}
+    assert "d" not in found and len(found["e"]) >= 5
+
+
+def test_array_rows_and_malformed_objects(spark, tmp_path):
+    write(tmp_path / "a.json", '[{"unique_key": "1", "borough": "x}"}, {"unique_key": nothing}, {"unique_key": "3", "extra": {"a": []}}, {"unique')
+    df = json_arrays.read_json_arrays(spark, f"{tmp_path}/a.json", schemas.BRONZE_COMPLAINT)
+    assert {r.unique_key: r.borough for r in df.collect()} == {"1": "x}", "3": None}
+    assert df.columns == schemas.BRONZE_COMPLAINT.fieldNames()
+
+
+def test_exports_are_verified_by_content(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, 0.1, "a", None), (2, float("nan"), "b|c", [1]), (3, None, None, []), (4, -1e300, "", [2, 3]), (5, float("inf"), "x", None)],
+        "id int, v double, s string, l array<int>",
+    )
+    manifest = sinks.export_gold({"a": rows, "empty": rows.limit(0), "folders": rows}, f"{tmp_path}/gold", {"folders": ["id"]})
+    checked = {r.table_name: r for r in sinks.verify_export(manifest).collect()}
+    assert all(r.verified and r.row_count == r.found_rows for r in checked.values()) and checked["empty"].checksum == 0
+    again = sinks.export_gold({"a": rows.orderBy(F.desc("id")).select("s", "l", "v", "id")}, f"{tmp_path}/again").first()
+    assert again.checksum == checked["a"].checksum  # neither order counts
+    sinks.materialize(rows.withColumn("v", F.when(F.col("id") == 1, 0.1001).otherwise(F.col("v"))), f"{tmp_path}/gold/a")
+    verified = {r.table_name: r.verified for r in sinks.verify_export(manifest).collect()}
+    assert verified == {"a": False, "empty": True, "folders": True}
+
+
 def test_export_manifest(spark, tmp_path):
     manifest = sinks.export_gold({"a": spark.range(5), "b": spark.range(0)}, f"{tmp_path}/gold")
     assert {r.table_name: r.row_count for r in manifest.collect()} == {"a": 5, "b": 0}
