@@ -146,7 +146,7 @@ agpl-3.0-or-later | gnu affero 3 later | under the terms of the gnu affero gener
 gpl | freedom contrast gnu | the licenses for most software are designed to take away your freedom to share and change it by contrast the gnu general public LIC is intended to guarantee
 gpl-3.0 | gnu copyleft kinds | the gnu general public LIC is a free copyleft LIC for software and other kinds of works
 agpl-3.0 | affero copyleft kinds | the gnu affero general public LIC is a free copyleft LIC for software and other kinds of works
-gpl | gnu everyone verbatim | everyone is permitted to copy and distribute verbatim copies of this LIC document but changing it is not allowed
+gpl | permitted everyone verbatim | everyone is permitted to copy and distribute verbatim copies of this LIC document but changing it is not allowed
 gpl | warranty merchantability gnu | without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public LIC for more details
 lgpl | warranty merchantability lesser | without even the implied warranty of merchantability or fitness for a particular purpose see the gnu lesser general public LIC for more details
 agpl | warranty merchantability affero | without even the implied warranty of merchantability or fitness for a particular purpose see the gnu affero general public LIC for more details

@@ -96,45 +96,70 @@ def test_growth_rate_solves_its_equation():
     assert math.isclose(0.1 * math.exp(2 * rate) + 0.9 * math.exp(-rate), 1, rel_tol=1e-6)
 
 
-def _partial_match(train, text, model):
+def _partial_match(train, text):
     """Code length by the recursive definition."""
-    def symbols(data):
-        return [int(model.symbol[b]) for b in b"   " + data.lower()]
-
-    seen, counts = symbols(train), {}
+    seen, counts = b"   " + train.lower(), {}
     for i in range(3, len(seen)):
         for k in range(4):
-            counts.setdefault(tuple(seen[i - k : i]), Counter())[seen[i]] += 1
-    wanted, total = symbols(text), 0.0
+            counts.setdefault(seen[i - k : i], Counter())[seen[i]] += 1
+    wanted = b"   " + text.lower()
 
     def bits(k, i):
         if k < 0:
-            return math.log2(64)
-        context = tuple(wanted[i - k : i])
-        if k == 3 and model.row[context[0] << 12 | context[1] << 6 | context[2]] < 64**2:
-            return bits(2, i)
-        found = counts.get(context)
+            return 8.0
+        found = counts.get(wanted[i - k : i])
         if not found:
             return bits(k - 1, i)
         n, kinds = sum(found.values()), len(found)
         return -math.log2(found[wanted[i]] / (n + kinds)) if wanted[i] in found else bits(k - 1, i) - math.log2(kinds / (n + kinds))
 
-    for i in range(3, len(wanted)):
-        total += bits(3, i) + (math.log2(193) if wanted[i] == 63 else 0)
-    return total
+    return sum(bits(3, i) for i in range(3, len(wanted)))
 
 
-def test_code_lengths_by_definition():
+def test_code_lengths_by_definition(monkeypatch):
     rng = random.Random(3)
     texts = {k: "".join(rng.choices(a, k=4000)).encode() for k, a in {"x": "ab c", "y": "cde a", "z": "éß ab"}.items()}
-    model = language_id.fit(texts)
-    for text in ("ab cab", "Cde é~q", "\x00 日本"):
-        want = [_partial_match(texts[k], text.encode(), model) for k in sorted(texts)]
-        assert np.allclose(language_id.code_lengths(text.encode(), model), want, rtol=1e-5)
-    assert language_id.predict("cde cde aed", model)[0] == "y"
+    trees = {k: language_id.unpacked(language_id.packed(language_id.fit(t))[0]) for k, t in texts.items()}
+    for chunk in (1 << 20, 4):
+        monkeypatch.setattr(language_id, "_CHUNK", chunk)
+        for text in ("ab cab", "Cde é~q", "\x00 日本", "ab cab dea é" * 20):
+            for k, tree in trees.items():
+                assert math.isclose(language_id.code_length(text.encode(), tree), _partial_match(texts[k], text.encode()), rel_tol=1e-5)
+    assert language_id.predict("cde cde aed", trees)[0] == "y"
     for empty in (None, "", "123 !?"):
-        assert language_id.predict(empty, model) == ("und", 0.0)
-    assert language_id.predict("abc", language_id.fit({})) == ("und", 0.0)
+        assert language_id.predict(empty, trees) == ("und", 0.0)
+    assert language_id.predict("abc", {}) == ("und", 0.0)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.one_of(st.integers(0, (1 << 32) - 1), st.integers(0, 40), st.just((1 << 32) - 1)), max_size=300))
+def test_hash_tables_find_their_keys(keys):
+    keys = np.array(sorted(keys), dtype=np.uint32)
+    table = language_id.table_of(keys, np.arange(len(keys)).astype(float))
+    assert language_id.look_up(table, keys).tolist() == list(range(len(keys)))
+    others = np.setdiff1d(np.arange(50, dtype=np.uint32), keys)
+    assert np.isnan(language_id.look_up(table, others)).all()
+
+
+def test_sampled_rows_share_the_bytes_equally():
+    rows = [b"a" * 10_000_000, b"b" * 100, b"", b"c" * 5000]
+    text = language_id.joined(rows, 9000)
+    assert text.count(b"b") == 100 and all(4440 <= text.count(c) <= 4460 for c in (b"a", b"c"))
+    assert language_id.spread(bytes(range(200)) * 5, 320)[:64] == bytes(range(64)) and language_id.spread(b"abc", 5) == b"abc"
+
+
+def test_languages_in_many_scripts():
+    """Whatever number of others there are: the same code lengths, and each script's texts found."""
+    rng = random.Random(11)
+    starts = [0x61, 0x3B1, 0x430, 0x561, 0x5D0, 0x627, 0x905, 0x995, 0xE01, 0x10D0, 0x1200, 0x3041, 0x30A1, 0x4E00, 0xAC00]
+    trees, words = {}, {}
+    for i in range(24):
+        letters = [chr(starts[i % len(starts)] + k) for k in range(24)]
+        words[i] = ["".join(rng.choices(letters[: 8 + i % 7], k=rng.randint(2, 6))) for _ in range(80)]
+        trees[f"l{i:02}"] = language_id.fit(" ".join(rng.choices(words[i], k=600)).encode())
+    for i in range(24):
+        text = " ".join(rng.choices(words[i], k=12))
+        assert language_id.predict(text, trees)[0] == f"l{i:02}"
 
 
 def test_classifiers_without_two_classes():

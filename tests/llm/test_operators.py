@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from civicloom.llm import (
-    embedding_dedup, html_text, language_id, line_dedup, minhash, mixing, packing, quality_model, quality_rules, simhash, tokens,
+    embedding_dedup, html_text, language_id, line_dedup, minhash, mixing, packing, quality_model, quality_rules, queries, simhash, tokens,
     toxicity,
 )
 from civicloom.session import stage_table
@@ -165,6 +165,11 @@ def simhash_groups(docs):
     return {r.root for r in simhash.grouped(docs).select("root").collect()}
 
 
+def _shingles(text):
+    words = text.encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, min(len(words), 1)))}
+
+
 @pytest.mark.parametrize("piece", [256, 5])
 def test_pipeline_drops_near_copies(spark, sf, monkeypatch, piece):
     """Texts with a few words changed, one large group of them, and texts that share less."""
@@ -179,8 +184,8 @@ def test_pipeline_drops_near_copies(spark, sf, monkeypatch, piece):
                 for k in rng.integers(0, size, changed):
                     words[k] = f"x{rng.integers(0, 10**6)}"
                 texts.append(" ".join(words))
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
-    near = lambda i, j: bool(sets[i] & sets[j]) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    sets = list(map(_shingles, texts))
+    near = lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
     root = _components(texts, near)
     want = {root.index(r) for r in root}
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
@@ -258,6 +263,33 @@ def test_languages(docs):
     assert found[5].lang_pred == "en" and found[200].lang_pred == found[202].lang_pred == "und"
 
 
+def test_languages_in_blocks_of_trees(docs, monkeypatch):
+    """One block of trees, and a block for each tree, give the same rows."""
+    found = []
+    for size in (language_id.BLOCK_BYTES, 1):
+        monkeypatch.setattr(language_id, "BLOCK_BYTES", size)
+        found.append(Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in language_id.languages(docs).collect()))
+    assert found[0] == found[1]
+
+
+def test_language_query_by_brute_force(spark, sf):
+    """The query on the smallest table: the sample, the code lengths and the scores worked out without Spark."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("h")).collect()
+    texts = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.h, r.doc_id)):
+        if r.lang is not None and r.text is not None and not held_out(r.doc_id):
+            texts[r.lang].append(r.text.encode())
+    assert all(len(t) <= language_id.MAX_ROWS for t in texts.values())
+    joined = {k: language_id.joined([language_id.spread(t, language_id.ROW_BYTES) for t in v], language_id.MAX_BYTES) for k, v in texts.items()}
+    trees = {k: language_id.fit(t) for k, t in joined.items()}
+    got = {r.doc_id: r for r in queries.op7_language_id(spark, sf).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        lang, score = language_id.predict(r.text, trees)
+        assert (got[r.doc_id].lang_pred, got[r.doc_id].held_out) == (lang, held_out(r.doc_id))
+        assert abs(got[r.doc_id].score - score) < 1e-6
+
+
 def test_toxic_words_of_few_texts(spark):
     rng = np.random.default_rng(2)
     words = [f"{a}{b}" for a in "bcdfgh" for b in ("ab", "ek", "il", "om", "up")]
@@ -346,6 +378,10 @@ def test_pipeline_stages(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     kept = quality_model.quality(raw, labels).filter("predicted = 1")
     assert counts(good, "doc_id") == counts(kept, "doc_id") and counts(lines, "doc_id") == counts(good, "doc_id")
-    groups = {r.component_id for r in simhash.near_duplicates(lines).collect()}
+    found = lines.orderBy("doc_id").select("doc_id", "text").collect()
+    sets = [_shingles(r.text or "") for r in found]
+    near = lambda i, j: 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+    groups = {found[r].doc_id for r in _components(found, near)}
+    assert groups != {r.component_id for r in simhash.near_duplicates(lines).collect()}
     assert {r.doc_id for r in single.collect()} == groups
     assert {r.doc_id for r in mixed.collect()} <= groups and counts(packed.filter("piece = 0"), "doc_id") == counts(mixed, "doc_id")
