@@ -3,18 +3,22 @@
 Each language has a tree of byte contexts of up to three bytes with counts from its
 training texts, frozen afterwards. A byte's probability in a context is its share there
 or, if it was never seen there, the context's escape probability (method C) times its
-probability in the next shorter context, down to equal shares. The exact code length of
-a text is the sum over its bytes; the language with the shortest one wins, and the score
-is its posterior under equal priors.
+probability in the next shorter context, down to equal shares of all 256 bytes. The exact
+code length of a text is the sum over its bytes; the language with the shortest one wins,
+and the score is its posterior under equal priors.
 
-Bytes are lower-cased (ASCII) and the 63 commonest have symbols of their own; the others
-share one and are coded within it at equal length. The languages' trees share the
-contexts they are laid out on: all of up to two symbols, and of three symbols those met
-often enough, so a text is scored by table look-ups on whole arrays.
+A tree is sparse: contexts of two and three bytes are hash tables of what the language's own sample
+holds, so it doesn't depend on how many or which other languages there are. Trees are
+trained one language a group and stored as a table; texts are scored against blocks of
+trees of bounded size, one block after the other.
+
+The sample is bounded: ``MAX_ROWS`` rows of a language by the smallest hash of the id, of which
+each gives an equal part of ``MAX_BYTES``, what short rows leave going to longer ones. Of a row that is
+longer than its part, slices spread evenly over the text are taken.
 
 Defined results. Null text, or text without a letter, or no learned language: ``und``
-with score zero. Null languages and null ids teach nothing. Ties go to the first name.
-Repeated rows are scored each. Extra columns are ignored.
+with score zero. Null languages and null ids teach nothing, nor do languages without a byte. Ties go to the
+first name. Repeated rows are scored each. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,113 +30,207 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from civicloom.llm.common import held_out
+from civicloom.session import stage_table
 
 UNKNOWN = "und"
-SYMBOLS, ORDER = 64, 3
-#: The bounded sample: rows of a language by the smallest hash of the id, and bytes of it in all.
+ORDER = 3
 MAX_ROWS, MAX_BYTES = 400, 1_000_000
+#: A row is cut to so many bytes before its language's rows meet; slices of a row that is cut.
+ROW_BYTES, SLICES = 1 << 18, 8
 SALTS = 64
-#: Three-symbol contexts are kept when met so often, the commonest first, within this many table cells.
-MIN_MET, MAX_CELLS = 20, 1 << 22
+#: Trees are held by a task in blocks of so many bytes, and of one tree at least.
+BLOCK_BYTES = 1 << 27
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CHUNK = 1 << 20
+_SPREAD, _AGAIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_EMPTY = np.uint32(0xFFFFFFFF)
+
+
+class Table(NamedTuple):
+    """Keys with their bits: slots by two hashes, one after the other, and what found neither place, sorted."""
+
+    slots: tuple[np.ndarray, np.ndarray]
+    values: tuple[np.ndarray, np.ndarray]
+    rest: np.ndarray
+    rest_values: np.ndarray
+
+
+def _slot(keys: np.ndarray, size: int, again: bool) -> np.ndarray:
+    shift = np.uint64(64 - (size.bit_length() - 1))
+    return ((keys.astype(np.uint64) + np.uint64(1)) * (_AGAIN if again else _SPREAD)) >> shift
+
+
+def table_of(keys: np.ndarray, bits: np.ndarray) -> Table:
+    """A table of sorted keys. One that looks like an empty slot, if any, is the last and goes to the rest."""
+    slots, values, left = [], [], np.arange(len(keys) - (len(keys) > 0 and keys[-1] == _EMPTY))
+    for again in (False, True):
+        size = 1 << max(int(1.25 * len(left)).bit_length(), 4)
+        at = _slot(keys[left], size, again).astype(np.int64)
+        first = np.unique(at, return_index=True)[1]
+        own, held = np.full(size, _EMPTY, dtype=np.uint32), np.zeros(size, dtype=np.float32)
+        own[at[first]], held[at[first]] = keys[left[first]], bits[left[first]]
+        slots.append(own)
+        values.append(held)
+        left = np.delete(left, first)
+    left = np.append(left, np.arange(len(keys))[keys == _EMPTY])
+    return Table(tuple(slots), tuple(values), keys[left], bits[left].astype(np.float32))
+
+
+def look_up(table: Table, keys: np.ndarray) -> np.ndarray:
+    """Bits by key; NaN where there are none."""
+    found = np.full(len(keys), np.nan, dtype=np.float32)
+    left = np.arange(len(keys))
+    for again in (False, True):
+        wanted = keys[left]
+        at = _slot(wanted, len(table.slots[again]), again).astype(np.int64)
+        hit = (table.slots[again][at] == wanted) & (wanted != _EMPTY)
+        found[left[hit]] = table.values[again][at[hit]]
+        left = left[~hit]
+    if len(table.rest) and len(left):
+        i = np.minimum(np.searchsorted(table.rest, keys[left]), len(table.rest) - 1)
+        hit = table.rest[i] == keys[left]
+        found[left[hit]] = table.rest_values[i[hit]]
+    return found
+
+
+class Tree(NamedTuple):
+    one: np.ndarray  # bits of a byte after a byte, by both
+    two_escape: np.ndarray  # by two bytes
+    two: Table  # bits of a byte after two, by all three
+    three_escape: Table  # by three bytes
+    three: Table  # bits of a byte after three, by all four
+
+
+def _grams(text: bytes) -> np.ndarray:
+    """Each byte with the three before it as one number; three spaces stand before the text."""
+    s = np.frombuffer((b" " * ORDER + text).translate(_LOWER), np.uint8).astype(np.uint32)
+    return (s[:-3] << 24) | (s[1:-2] << 16) | (s[2:-1] << 8) | s[3:]
+
+
+def _sparse(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and bits of what follows a context, and contexts with the bits of their escape."""
+    keys, n = np.unique(grams, return_counts=True)
+    contexts, first, kinds = np.unique(keys >> np.uint32(8), return_index=True, return_counts=True)
+    total = np.add.reduceat(n, first) + kinds
+    own = -np.log2(n / np.repeat(total, kinds))
+    return keys, own, contexts, -np.log2(kinds / total)
+
+
+def _dense(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    seen, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+    with np.errstate(divide="ignore"):
+        own = -np.log2(counts / np.maximum(seen + kinds, 1))
+        escape = np.where(seen > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(seen + kinds, 1)), 0.0)
+    return np.where(counts > 0, own, escape + shorter)
+
+
+def fit(text: bytes) -> Tree:
+    """The frozen tree of a language's training bytes, of which there is at least one."""
+    grams = _grams(text)
+    none = _dense(np.bincount(grams & 0xFF, minlength=256)[None, :], np.full((1, 256), 8.0))
+    one = _dense(np.bincount(grams & 0xFFFF, minlength=1 << 16).reshape(256, 256), np.repeat(none, 256, axis=0))
+    two_keys, two, contexts, escapes = _sparse(grams & np.uint32(0xFFFFFF))
+    two_escape = np.zeros(1 << 16, dtype=np.float32)
+    two_escape[contexts] = escapes
+    three_keys, three, contexts, escapes = _sparse(grams)
+    return Tree(
+        one.ravel().astype(np.float32), two_escape, table_of(two_keys, two), table_of(contexts, escapes), table_of(three_keys, three)
+    )
 
 
-class Model(NamedTuple):
-    languages: np.ndarray
-    symbol: np.ndarray  # of a byte
-    row: np.ndarray  # of a three-symbol context
-    bits: np.ndarray  # by row * SYMBOLS + symbol, and language
+def code_length(text: bytes, tree: Tree) -> float:
+    """Bits of the text in the language."""
+    total = 0.0
+    for i in range(0, len(text), _CHUNK):
+        before = text[max(i - ORDER, 0) : i]
+        grams = _grams(before + text[i : i + _CHUNK])[len(before) :]
+        found = look_up(tree.three, grams)
+        left = np.flatnonzero(np.isnan(found))
+        total += float(np.nansum(found, dtype=np.float64))
+        escape = look_up(tree.three_escape, grams[left] >> np.uint32(8))
+        shorter = grams[left] & np.uint32(0xFFFFFF)
+        found = look_up(tree.two, shorter)
+        last = np.isnan(found)
+        found[last] = tree.two_escape[shorter[last] >> np.uint32(8)] + tree.one[shorter[last] & np.uint32(0xFFFF)]
+        total += float(np.nansum(escape, dtype=np.float64) + found.sum(dtype=np.float64))
+    return total
 
 
-def _symbols(text: bytes, symbol: np.ndarray) -> np.ndarray:
-    """Symbols of the text behind three spaces."""
-    return np.frombuffer((b" " * ORDER + text).translate(_LOWER).translate(symbol.tobytes()), np.uint8).astype(np.int32)
+def packed(tree: Tree) -> tuple[bytes, int]:
+    """The tree to be stored, and its size in memory."""
+    held = io.BytesIO()
+    arrays = [tree.one, tree.two_escape]
+    for table in tree[2:]:
+        arrays += [*table.slots, *table.values, table.rest, table.rest_values]
+    np.savez_compressed(held, *arrays)
+    return held.getvalue(), sum(a.nbytes for a in arrays)
 
 
-def _contexts(s: np.ndarray) -> np.ndarray:
-    return (s[:-3] << 12) | (s[1:-2] << 6) | s[2:-1]
+def unpacked(data: bytes) -> Tree:
+    with np.load(io.BytesIO(data)) as found:
+        arrays = [found[name] for name in found.files]
+    tables = [Table(tuple(a[:2]), tuple(a[2:4]), a[4], a[5]) for a in (arrays[i : i + 6] for i in range(2, len(arrays), 6))]
+    return Tree(arrays[0], arrays[1], *tables)
 
 
-def _partial_match(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Bits of each symbol by context, from its counts there and its bits in the shorter context."""
-    seen, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
-    with np.errstate(divide="ignore"):
-        own = -np.log2(counts / np.maximum(seen + kinds, 1))
-        escape = np.where(seen > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(seen + kinds, 1)), 0.0)
-    return np.where(counts > 0, own, escape + shorter)
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
 
 
-def fit(texts: dict[str, bytes]) -> Model:
-    """The frozen model of each language's training bytes."""
-    languages = sorted(texts)
-    met = np.bincount(np.frombuffer(b"".join(texts.values()).translate(_LOWER), np.uint8), minlength=256)
-    common = np.argsort(-met, kind="stable")[: SYMBOLS - 1]
-    symbol = np.full(256, SYMBOLS - 1, dtype=np.uint8)
-    symbol[common] = np.arange(len(common))
-    streams = [_symbols(texts[name], symbol) for name in languages]
-    grams = [_contexts(s) * SYMBOLS + s[3:] for s in streams]
-
-    contexts = sum((np.bincount(g >> 6, minlength=SYMBOLS**3) for g in grams), np.zeros(SYMBOLS**3, dtype=np.int64))
-    room = max(MAX_CELLS // (SYMBOLS * max(len(languages), 1)) - SYMBOLS**2, 0)
-    chosen = np.argsort(-contexts, kind="stable")[:room]
-    chosen = np.sort(chosen[contexts[chosen] >= MIN_MET])
-    row = np.arange(SYMBOLS**3, dtype=np.int32) & (SYMBOLS**2 - 1)
-    row[chosen] = SYMBOLS**2 + np.arange(len(chosen))
-
-    bits = np.empty(((SYMBOLS**2 + len(chosen)) * SYMBOLS, len(languages)), dtype=np.float32)
-    for k, g in enumerate(grams):
-        last = [np.bincount(g & (SYMBOLS ** (n + 1) - 1), minlength=SYMBOLS ** (n + 1)).reshape(-1, SYMBOLS) for n in range(3)]
-        found = _partial_match(last[0], np.full((1, SYMBOLS), np.log2(SYMBOLS)))
-        found = _partial_match(last[1], np.repeat(found, SYMBOLS, axis=0))
-        found = _partial_match(last[2], np.tile(found, (SYMBOLS, 1)))
-        order, at = np.unique(g, return_counts=True)
-        where = np.searchsorted(chosen, order >> 6)
-        kept = (where < len(chosen)) & (chosen[np.minimum(where, len(chosen) - 1)] == order >> 6) if len(chosen) else np.zeros(len(order), bool)
-        longest = np.zeros((len(chosen), SYMBOLS))
-        longest[where[kept], order[kept] & (SYMBOLS - 1)] = at[kept]
-        longest = _partial_match(longest, found[chosen & (SYMBOLS**2 - 1)])
-        bits[:, k] = np.concatenate([found, longest]).ravel()
-    rare = 256 - len(common)
-    bits.reshape(len(bits) // SYMBOLS, SYMBOLS, len(languages))[:, SYMBOLS - 1] += np.log2(rare)
-    return Model(np.array(languages), symbol, row, bits)
-
-
-def code_lengths(text: bytes, model: Model) -> np.ndarray:
-    """Bits of the text in each language."""
-    s, total = _symbols(text, model.symbol), np.zeros(len(model.languages))
-    for i in range(0, len(text), _CHUNK):
-        part = s[i : i + _CHUNK + ORDER]
-        total += model.bits[model.row[_contexts(part)] * SYMBOLS + part[ORDER:]].sum(axis=0, dtype=np.float64)
-    return total
+def predict(text: str | None, trees: dict[str, Tree]) -> tuple[str, float]:
+    best = Best.of(text, trees, None)
+    return best.language, best.score()
 
 
-def predict(text: str | None, model: Model) -> tuple[str, float]:
-    if not text or not len(model.languages) or not any(map(str.isalpha, text)):
-        return UNKNOWN, 0.0
-    bits = code_lengths(text.encode(), model)
-    best = int(bits.argmin())
-    return str(model.languages[best]), float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
+class Best(NamedTuple):
+    """The shortest code so far, and the sum of all languages' likelihoods relative to its."""
 
+    language: str
+    bits: float
+    sum: float
 
-def train(docs: DataFrame) -> Model:
-    """Fits in one task on a bounded sample of each language; the model, of bounded size, comes to the driver."""
+    def score(self) -> float:
+        return 1 / self.sum if self.sum else 0.0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[bytes]] = {}
-        for b in batches:
-            for name, order, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-                found.setdefault(name, []).append((order, text))
-        joined = {k: b"\n".join(t.encode() for _, t in sorted(v))[:MAX_BYTES] for k, v in found.items()}
-        held = io.BytesIO()
-        model = fit({k: v for k, v in joined.items() if v})
-        np.savez_compressed(held, *model)
-        yield pa.RecordBatch.from_arrays([pa.array([held.getvalue()], pa.binary())], ["model"])
+    @staticmethod
+    def of(text: str | None, trees: dict[str, Tree], before: Best | None) -> Best:
+        best = before or Best(UNKNOWN, float("inf"), 0.0)
+        if not has_letter(text):
+            return best
+        data = text.encode()
+        for name in sorted(trees):
+            bits = code_length(data, trees[name])
+            if bits < best.bits:
+                best = Best(name, bits, 1 + best.sum * 2 ** max(bits - best.bits, -1000) if best.sum else 1.0)
+            else:
+                best = best._replace(sum=best.sum + 2 ** max(best.bits - bits, -1000))
+        return best
 
-    rows = docs.select("doc_id", "lang", "text").filter(
+
+def spread(text: bytes, size: int) -> bytes:
+    """The text, or slices of it spread evenly, of ``size`` bytes in all."""
+    if len(text) <= size:
+        return text
+    count = min(SLICES, max(size // 64, 1))
+    part, step = size // count, len(text) // count
+    return b"".join(text[i * step : i * step + part] for i in range(count))
+
+
+def joined(texts: list[bytes], size: int) -> bytes:
+    """All texts within ``size`` bytes: an equal part each, what short ones leave going to the others."""
+    order, left, taken = sorted(range(len(texts)), key=lambda i: len(texts[i])), size, {}
+    for k, i in enumerate(order):
+        taken[i] = spread(texts[i], left // (len(order) - k))
+        left -= len(taken[i])
+    return b"\n".join(taken[i] for i in range(len(texts)) if taken[i])
+
+
+def _sample(docs: DataFrame) -> DataFrame:
+    """``lang, order, text``: the bounded sample of each language, texts as bytes and cut to ``ROW_BYTES``."""
+    rows = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text").filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     )
     # Ids are ranked without their texts. The rank limit runs before each shuffle, and a language is first ranked in
@@ -142,24 +240,65 @@ def train(docs: DataFrame) -> Model:
     few = Window.partitionBy("lang", F.pmod(order, F.lit(SALTS))).orderBy(order, "doc_id")
     ids = rows.select("doc_id", "lang").withColumn("place", F.row_number().over(few)).filter(F.col("place") <= MAX_ROWS)
     ids = ids.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= MAX_ROWS)
-    chosen = rows.join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
-    sample = chosen.groupBy("lang", order.alias("order"), "doc_id").agg(F.max("text").alias("text"))
-    held = sample.select("lang", "order", "text").coalesce(1).mapInArrow(run, "model binary").first()
-    if held is None:  # no partition, no task
-        return fit({})
-    with np.load(io.BytesIO(held["model"])) as arrays:
-        return Model(*(arrays[name] for name in arrays.files))
+    # As many ids as languages, so the optimizer chooses the join by their size.
+    chosen = rows.join(stage_table(ids.select("doc_id", "lang").distinct(), "sampled_ids"), ["doc_id", "lang"])
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [spread(t, ROW_BYTES) for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.binary())], ["lang", "order", "doc_id", "text"])
 
-def languages(docs: DataFrame) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(train(docs)))
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    short = chosen.select("lang", order.alias("order"), "doc_id", F.col("text").cast("binary").alias("text"))
+    short = short.mapInArrow(cut, f"lang string, order bigint, doc_id {kinds['doc_id']}, text binary")
+    return short.groupBy("lang", "order", "doc_id").agg(F.max("text").alias("text")).select("lang", "order", "text")
+
+
+def train(docs: DataFrame) -> DataFrame:
+    """``lang, tree, block``: each language's tree, fitted in a task of its own on its bounded sample, and written."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def of(frames: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = Model(*shared.value)
-        for texts in frames:
-            yield pd.DataFrame([predict(t, model) for t in texts.tolist()], columns=["lang_pred", "score"])
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("order").to_pylist(), table.column("text").to_pylist()))
+        text = joined([t for _, t in rows], MAX_BYTES)
+        names = [table.column("lang")[0].as_py()] if text else []
+        trees, sizes = zip(packed(fit(text))) if text else ((), ())
+        columns = pa.array(names, pa.string()), pa.array(trees, pa.binary()), pa.array(sizes, pa.int64())
+        return pa.table(dict(zip(("lang", "tree", "size"), columns)))
 
-    rows = docs.select("doc_id", held_out().alias("held_out"), of("text").alias("found"))
-    return rows.select("doc_id", "held_out", "found.lang_pred", "found.score")
+    trees = stage_table(_sample(docs).groupBy("lang").applyInArrow(run, "lang string, tree binary, size bigint"), "language_trees")
+    before = Window.orderBy("lang").rowsBetween(Window.unboundedPreceding, -1)  # one number a language
+    block = F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / BLOCK_BYTES)
+    return trees.select("lang", "tree").join(trees.select("lang", block.alias("block")), "lang")
+
+
+def _scored(rows: DataFrame, block: DataFrame, text: Column, before: Column | None) -> DataFrame:
+    """``rows`` with ``found``, the best of the languages in the block and those before it."""
+    # The driver holds the packed trees of one block.
+    trees = {r["lang"]: bytes(r["tree"]) for r in block.select("lang", "tree").collect()}
+    shared = rows.sparkSession.sparkContext.broadcast(trees)
+
+    @F.pandas_udf("language string, bits double, sum double")
+    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = {name: unpacked(tree) for name, tree in shared.value.items()}
+        for frame in frames:
+            texts = frame["text"].tolist()
+            olds = [None] * len(texts) if "language" not in frame else [Best(*b) for b in zip(frame["language"], frame["bits"], frame["sum"])]
+            yield pd.DataFrame([Best.of(t, own, b) for t, b in zip(texts, olds)], columns=["language", "bits", "sum"])
+
+    given = [text.alias("text")] if before is None else [text.alias("text"), *[before[c].alias(c) for c in ("language", "bits", "sum")]]
+    return rows.withColumn("found", of(F.struct(*given)))
+
+
+def languages(docs: DataFrame) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` of every row."""
+    trees = stage_table(train(docs), "language_blocks")
+    blocks = [r["block"] for r in trees.groupBy("block").agg(F.count(F.lit(1))).orderBy("block").collect()]
+    rows = docs.select("doc_id", "text", held_out().alias("held_out"))
+    if not blocks:
+        nothing = [F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")]
+        return rows.select("doc_id", "held_out", *nothing)
+    rows = _scored(rows, trees.filter(F.col("block") == blocks[0]), F.col("text"), None)
+    for block in blocks[1:]:  # one pass over the texts for each further block of trees
+        rows = _scored(stage_table(rows, "scored_languages"), trees.filter(F.col("block") == block), F.col("text"), F.col("found"))
+    score = F.when(F.col("found.sum") > 0, 1 / F.col("found.sum")).otherwise(0.0)
+    return rows.select("doc_id", "held_out", F.col("found.language").alias("lang_pred"), score.alias("score"))
