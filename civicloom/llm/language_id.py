@@ -44,7 +44,8 @@ SALTS = 64
 #: Trees are held by a task in blocks of so many bytes, and of one tree at least.
 BLOCK_BYTES = 1 << 27
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_CHUNK = 1 << 20
+#: Bytes of a text that are looked up at a time, and of short texts together.
+_CHUNK, TOGETHER = 1 << 18, 1 << 16
 _SPREAD, _AGAIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -141,24 +142,44 @@ def fit(text: bytes) -> Tree:
     )
 
 
+def _bits(grams: np.ndarray, tree: Tree) -> np.ndarray:
+    """Bits of each gram's last byte after the three before it."""
+    found = look_up(tree.three, grams)
+    left = np.flatnonzero(np.isnan(found))
+    escape = look_up(tree.three_escape, grams[left] >> np.uint32(8))
+    shorter = grams[left] & np.uint32(0xFFFFFF)
+    less = look_up(tree.two, shorter)
+    last = np.isnan(less)
+    less[last] = tree.two_escape[shorter[last] >> np.uint32(8)] + tree.one[shorter[last] & np.uint32(0xFFFF)]
+    found[left] = np.nan_to_num(escape) + less
+    return found
+
+
 def code_length(text: bytes, tree: Tree) -> float:
     """Bits of the text in the language."""
     total = 0.0
     for i in range(0, len(text), _CHUNK):
         before = text[max(i - ORDER, 0) : i]
-        grams = _grams(before + text[i : i + _CHUNK])[len(before) :]
-        found = look_up(tree.three, grams)
-        left = np.flatnonzero(np.isnan(found))
-        total += float(np.nansum(found, dtype=np.float64))
-        escape = look_up(tree.three_escape, grams[left] >> np.uint32(8))
-        shorter = grams[left] & np.uint32(0xFFFFFF)
-        found = look_up(tree.two, shorter)
-        last = np.isnan(found)
-        found[last] = tree.two_escape[shorter[last] >> np.uint32(8)] + tree.one[shorter[last] & np.uint32(0xFFFF)]
-        total += float(np.nansum(escape, dtype=np.float64) + found.sum(dtype=np.float64))
+        total += float(_bits(_grams(before + text[i : i + _CHUNK])[len(before) :], tree).sum(dtype=np.float64))
     return total
 
 
+def code_lengths(texts: list[bytes], trees: list[Tree]) -> np.ndarray:
+    """Bits by tree and text, of texts that are not empty; short texts go through the tables together."""
+    if len(texts) == 1:
+        return np.array([[code_length(texts[0], tree)] for tree in trees])
+    grams = _grams((b" " * ORDER).join(texts))
+    sizes = np.array([len(t) for t in texts])
+    starts = np.concatenate(([0], np.cumsum(sizes[:-1] + ORDER)))
+    between = (starts[1:, None] - ORDER + np.arange(ORDER)).ravel()
+    result = np.empty((len(trees), len(texts)))
+    for row, tree in zip(result, trees):
+        bits = _bits(grams, tree).astype(np.float64)
+        bits[between] = 0.0
+        row[:] = np.add.reduceat(bits, starts)
+    return result
+
+
 def packed(tree: Tree) -> tuple[bytes, int]:
     """The tree to be stored, and its size in memory."""
     held = io.BytesIO()
@@ -180,34 +201,52 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def predict(text: str | None, trees: dict[str, Tree]) -> tuple[str, float]:
-    best = Best.of(text, trees, None)
-    return best.language, best.score()
-
-
 class Best(NamedTuple):
     """The shortest code so far, and the sum of all languages' likelihoods relative to its."""
 
-    language: str
-    bits: float
-    sum: float
-
-    def score(self) -> float:
-        return 1 / self.sum if self.sum else 0.0
-
-    @staticmethod
-    def of(text: str | None, trees: dict[str, Tree], before: Best | None) -> Best:
-        best = before or Best(UNKNOWN, float("inf"), 0.0)
-        if not has_letter(text):
-            return best
-        data = text.encode()
-        for name in sorted(trees):
-            bits = code_length(data, trees[name])
-            if bits < best.bits:
-                best = Best(name, bits, 1 + best.sum * 2 ** max(bits - best.bits, -1000) if best.sum else 1.0)
+    language: str = UNKNOWN
+    bits: float = float("inf")
+    sum: float = 0.0
+
+
+def _likelihood(bits: np.ndarray | float, best: np.ndarray | float) -> np.ndarray:
+    return np.exp2(np.maximum(np.subtract(best, bits), -1000.0))
+
+
+def best_of(texts: list[str | None], trees: dict[str, Tree], before: list[Best] | None = None) -> list[Best]:
+    """Each text's best of the trees and of what was best before, in the order of their names."""
+    result, names = list(before or [Best()] * len(texts)), sorted(trees)
+    group: list[tuple[int, bytes]] = []
+
+    def judge() -> None:
+        bits = code_lengths([t for _, t in group], [trees[name] for name in names])
+        first = bits.argmin(axis=0)
+        least = bits[first, np.arange(len(group))]
+        sums = _likelihood(bits, least).sum(axis=0)
+        for (i, _), k, b, total in zip(group, first.tolist(), least.tolist(), sums.tolist()):
+            old = result[i]
+            if old.bits <= b:
+                result[i] = old._replace(sum=old.sum + total * float(_likelihood(b, old.bits)))
             else:
-                best = best._replace(sum=best.sum + 2 ** max(best.bits - bits, -1000))
-        return best
+                result[i] = Best(names[k], b, total + (old.sum * float(_likelihood(old.bits, b)) if old.sum else 0.0))
+        group.clear()
+
+    size = 0
+    for i, text in enumerate(texts):
+        if names and has_letter(text):
+            group.append((i, text.encode()))
+            size += len(group[-1][1])
+            if size >= TOGETHER:
+                judge()
+                size = 0
+    if group:
+        judge()
+    return result
+
+
+def predict(text: str | None, trees: dict[str, Tree]) -> tuple[str, float]:
+    best = best_of([text], trees)[0]
+    return best.language, 1 / best.sum if best.sum else 0.0
 
 
 def spread(text: bytes, size: int) -> bytes:
@@ -282,8 +321,8 @@ def _scored(rows: DataFrame, block: DataFrame, text: Column, before: Column | No
         own = {name: unpacked(tree) for name, tree in shared.value.items()}
         for frame in frames:
             texts = frame["text"].tolist()
-            olds = [None] * len(texts) if "language" not in frame else [Best(*b) for b in zip(frame["language"], frame["bits"], frame["sum"])]
-            yield pd.DataFrame([Best.of(t, own, b) for t, b in zip(texts, olds)], columns=["language", "bits", "sum"])
+            olds = None if "language" not in frame else [Best(*b) for b in zip(frame["language"], frame["bits"], frame["sum"])]
+            yield pd.DataFrame(best_of(texts, own, olds), columns=["language", "bits", "sum"])
 
     given = [text.alias("text")] if before is None else [text.alias("text"), *[before[c].alias(c) for c in ("language", "bits", "sum")]]
     return rows.withColumn("found", of(F.struct(*given)))
