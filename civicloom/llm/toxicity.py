@@ -3,7 +3,8 @@
 A token is a word; it counts with its stems, its first bytes, so that forms of a word
 that are rare each still add up. A token's score is a lower bound of the log-odds of its rate in toxic against other
 texts, each under a Dirichlet prior with the corpus' own word rates, less a drift that
-makes ordinary text score below zero. One linear scan finds every maximal scoring segment. With lambda from
+makes ordinary text score below zero. One linear scan finds every maximal scoring segment; within
+one, a word counts once. With lambda from
 the corpus' word rates and K from non-toxic training texts, a segment's score becomes
 the number E of such segments that chance would put in a text of that length. A text's
 statistic adds up -ln E of its significant segments, and a logistic curve fitted on the
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from civicloom.llm.common import held_out, labelled_sample, text_of
+from civicloom.session import stage_table
 
 BITS = 20
 #: The bounded sample that the labels' word counts are taken from, by the smallest hash of the id.
@@ -73,16 +75,9 @@ class Tokens:
         return np.array([known.get(w) or self._bins(w) for w in words], dtype=np.int32).reshape(-1, 1 + len(STEMS))
 
 
-def said(bins: np.ndarray, scores: np.ndarray) -> np.ndarray:
-    """A score for each word, its own or the best of its stems; one that is said again adds nothing."""
-    found = scores[bins].max(axis=1, initial=LEAST)
-    high = np.flatnonzero(found > 0)
-    if len(high) > 1:
-        _, first = np.unique(bins[high, 0], return_index=True)
-        again = np.ones(len(high), dtype=bool)
-        again[first] = False
-        found[high[again]] = 0.0
-    return found
+def word_scores(bins: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """A score for each word, its own or the best of its stems."""
+    return scores[bins].max(axis=1, initial=LEAST)
 
 
 def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
@@ -111,6 +106,27 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     return [(after - before, start, end) for before, after, start, end in stack]
 
 
+def found_passages(bins: np.ndarray, scores: np.ndarray) -> list[tuple[float, int, int]]:
+    """Every maximal scoring segment with its damped score: within it a word that is said again adds nothing.
+
+    The scan sees all words in full, so single ones elsewhere in the text take nothing from a passage. Where
+    repeats have stretched a segment, its best part without them counts.
+    """
+    own = word_scores(bins, scores)
+    found = []
+    for score, a, b in segments(own):
+        high = a + np.flatnonzero(own[a:b] > 0)
+        first = np.unique(bins[high, 0], return_index=True)[1]
+        if len(first) < len(high):
+            part = own[a:b].copy()
+            again = np.ones(len(high), dtype=bool)
+            again[first] = False
+            part[high[again] - a] = 0.0
+            score = max(segments(part))[0]
+        found.append((score, a, b))
+    return found
+
+
 def token_scores(toxic: np.ndarray, other: np.ndarray, corpus: np.ndarray) -> np.ndarray:
     """Lower confidence bound of each token's log-odds, less the drift.
 
@@ -140,7 +156,7 @@ def growth_rate(scores: np.ndarray, corpus: np.ndarray) -> float:
 def statistic(bins: np.ndarray, model: Model) -> float:
     """The sum of -ln E over segments that chance would give fewer than ``MOST_E`` of."""
     chance = model.log_k + np.log(max(len(bins), 1))
-    evidence = [model.rate * s - chance for s, _, _ in segments(said(bins, model.scores))]
+    evidence = [model.rate * s - chance for s, _, _ in found_passages(bins, model.scores)]
     return float(sum(e for e in evidence if e > -np.log(MOST_E)))
 
 
@@ -181,7 +197,7 @@ def fit(rows: list[tuple[str, int]], corpus: np.ndarray) -> Model:
     most = []
     for m, other in found:
         for i in other:
-            if not label[i] and (own := segments(said(bins[i], m.scores))):
+            if not label[i] and (own := found_passages(bins[i], m.scores)):
                 most.append(m.rate * max(own)[0] - np.log(len(bins[i])))
     log_k = float(np.mean(most)) - EULER if most else 0.0
     pairs = [(np.log1p(statistic(bins[i], m._replace(log_k=log_k))), label[i]) for m, other in found for i in other]
@@ -219,7 +235,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS)
         yield pa.RecordBatch.from_arrays(columns, ["scores", "rest"])
 
     sample = labelled_sample(docs, labels, "toxic", max_rows).select("text", "label")
-    both = word_counts(docs).unionByName(sample, allowMissingColumns=True)
+    # The counts are written first, so that they are summed by many tasks and the fit reads finished ones.
+    both = stage_table(word_counts(docs), "token_counts").unionByName(sample, allowMissingColumns=True)
     row = both.coalesce(1).mapInArrow(run, "scores binary, rest string").first()
     if row is None:  # no partition, no task
         return fit([], np.zeros(1 << BITS))
@@ -237,7 +254,7 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 bins = tokens(text)
                 chance = own.log_k + np.log(max(len(bins), 1))
-                found = [(own.rate * s - chance, a, b) for s, a, b in segments(said(bins, own.scores))]
+                found = [(own.rate * s - chance, a, b) for s, a, b in found_passages(bins, own.scores)]
                 rows += [(doc, a, b, float(e)) for e, a, b in found if e > -np.log(MOST_E)]
             kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64()]
             columns = list(zip(*rows)) or [()] * 4
