@@ -1,10 +1,12 @@
 """Main text of web pages, with each site's template removed.
 
 Every element outside a page's paragraphs is hashed with its whole subtree. Spark counts
-on how many different pages of a host each subtree is found; those on many of the
-host's pages are its template and are deleted, together with what its tag or names
-mark as no article: menus, adverts, notices, forms and so on. A page counts by its
-article, so copies of a page don't make its text a template. Where a page marks its
+on how many different pages of a host each subtree is found; those on many of them are its
+template and are deleted, together with what its tag or names mark as no article: menus,
+adverts, notices, forms and so on. How many pages are many grows with the square root of
+the host, so that the sidebars of one section among many are found on a large host as
+well. The subtrees of each page are joined to the counts, so a page carries only the
+templates it holds. A page counts by its article, so copies of a page don't make its text a template. Where a page marks its
 article, that is kept, and its paragraphs, headings and lists are never a template.
 
 Defined results. Null or empty html is an empty text. A page whose address has no host
@@ -24,8 +26,8 @@ from pyspark.sql import DataFrame, functions as F
 from civicloom.llm.markup import BLOCKS, RAW, Element, parse
 from civicloom.session import stage_table
 
-#: A template subtree is on so many different pages of its host, and on this share of them.
-MIN_PAGES, MIN_SHARE = 5, 0.3
+#: A template subtree is on so many different pages of its host, and on this share of them or so many times their square root.
+MIN_PAGES, MIN_SHARE, MIN_ROOTS = 5, 0.3, 2.0
 DROP_TAGS = RAW | frozenset(
     "head nav footer aside form button input select datalist option label svg math canvas object embed audio video "
     "dialog menu map".split()
@@ -143,49 +145,67 @@ def main_text(page: str, templates: frozenset[int] = frozenset()) -> str:
 
 
 def _hosted(pages: DataFrame) -> DataFrame:
+    """``page_id, url, html, host, k1, k2``; the keys stand for a host's page as it is written."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
+    return rows.withColumns({"k1": F.xxhash64("host", "html"), "k2": F.xxhash64(F.lit(1), "html", "host")})
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, templates``: hashes of each host's recurring subtrees.
+def page_subtrees(hosted: DataFrame) -> DataFrame:
+    """``host, k1, k2, page, subtree``: the subtrees of each page that may be a template, and a null one for the page itself.
 
-    Each is on a given share of the host's pages, so a host has no more of them than a
-    few pages have elements, and its list stays short however many pages it has.
+    ``page`` is what the page counts as.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(host, *subtrees(page)) for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            rows = [(host, page, h) for host, page, hashes in found for h in [None, *hashes]]
-            columns = list(zip(*rows)) or [()] * 3
-            kinds = [pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "page", "subtree"])
-
-    rows = _hosted(pages).filter("host <> ''").select("host", "html").mapInArrow(run, "host string, page bigint, subtree bigint")
-    # A null subtree stands for the page itself, so its count is the host's number of pages.
-    counts = rows.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+            rows = []
+            for host, k1, k2, html in zip(*(c.to_pylist() for c in batch.columns)):
+                page, hashes = subtrees(html)
+                rows += [(host, k1, k2, page, h) for h in [None, *hashes]]
+            columns = list(zip(*rows)) or [()] * 5
+            kinds = [pa.string(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "k1", "k2", "page", "subtree"])
+
+    rows = hosted.filter("host <> ''").select("host", "k1", "k2", "html")
+    return rows.mapInArrow(run, "host string, k1 bigint, k2 bigint, page bigint, subtree bigint")
+
+
+def site_templates(
+    found: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, min_roots: float = MIN_ROOTS
+) -> DataFrame:
+    """``host, subtree``: the subtrees found on many different pages of their host."""
+    # The null subtree stands for the page itself, so its count is the host's number of pages.
+    counts = found.select("host", "page", "subtree").distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     counts = stage_table(counts.filter(F.col("subtree").isNull() | (F.col("n") >= min_pages)), "subtree_counts")
     sizes = counts.filter("subtree IS NULL").select("host", F.col("n").alias("pages"))
-    many = counts.filter("subtree IS NOT NULL").join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages"))
-    return many.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    many = F.least(min_share * F.col("pages"), min_roots * F.sqrt("pages"))
+    return counts.filter("subtree IS NOT NULL").join(sizes, "host").filter(F.col("n") >= many).select("host", "subtree")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def page_templates(
+    hosted: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, min_roots: float = MIN_ROOTS
+) -> DataFrame:
+    """``k1, k2, templates``: the templates that each page holds, at most as many as it has elements."""
+    found = stage_table(page_subtrees(hosted), "page_subtrees")
+    templates = stage_table(site_templates(found, min_pages, min_share, min_roots), "site_templates")
+    held = found.filter("subtree IS NOT NULL").join(templates, ["host", "subtree"], "left_semi")
+    return stage_table(held.groupBy("k1", "k2").agg(F.collect_set("subtree").alias("templates")), "page_templates")
+
+
+def extract(
+    pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, min_roots: float = MIN_ROOTS
+) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, frozenset[int]] = {}
-            texts = []
-            for host, page, templates in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
-                if host not in known:
-                    known[host] = frozenset(templates or ())
-                texts.append(main_text(page, known[host]))
+            texts = [main_text(page, frozenset(t or ())) for page, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-    templates = stage_table(site_templates(pages, min_pages, min_share), "templates")
-    rows = _hosted(pages).join(templates, "host", "left").select("page_id", "url", "host", "html", "templates")
+    hosted = _hosted(pages)
+    templates = page_templates(hosted, min_pages, min_share, min_roots)
+    rows = hosted.join(templates, ["k1", "k2"], "left").select("page_id", "url", "html", "templates")
     return rows.mapInArrow(run, f"page_id {kinds['page_id']}, url string, text string, n_chars bigint")
