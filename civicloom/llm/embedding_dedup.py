@@ -39,7 +39,7 @@ from civicloom.llm.lists import by_group, lists_once, meeting
 from civicloom.session import stage_table
 
 MIN_COSINE = 0.95
-NEAREST, SHARED = 8, 3
+NEAREST, SHARED = 6, 2
 PIVOT_BITS = (6, 13)  # 64 to 8,192 pivots
 MAX_PIVOT_COSINES, SAMPLE_PER_PIVOT = (0.5, 0.8, 0.95), 4
 PIECE, BLOCK = 2048, 4096
@@ -80,12 +80,8 @@ def classes(rows: DataFrame) -> DataFrame:
     return stage_table(found.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def pivots(vectors: DataFrame, count: int, limits: tuple[float, ...] = MAX_PIVOT_COSINES) -> np.ndarray:
-    """Pivots nearer to each other than the first limit are taken only as far as others are too few."""
-    bits = int(np.clip(round(np.log2(max(2 * np.sqrt(count), 1))), *PIVOT_BITS))
-    wanted = 1 << bits
-    rows = vectors.orderBy("h1", "h2").select("embedding").limit(SAMPLE_PER_PIVOT * wanted).collect()
-    sample = unit(np.array([r[0] for r in rows], dtype=np.float64))
+def apart(sample: np.ndarray, wanted: int, limits: tuple[float, ...]) -> np.ndarray:
+    """Up to ``wanted`` rows, nearer to each other than the first limit only as far as others are too few."""
     chosen, taken = np.empty((wanted, sample.shape[1])), np.zeros(len(sample), dtype=bool)
     for limit in limits:
         for i, row in enumerate(sample):
@@ -97,6 +93,20 @@ def pivots(vectors: DataFrame, count: int, limits: tuple[float, ...] = MAX_PIVOT
     return chosen[: taken.sum()]
 
 
+def pivots(vectors: DataFrame, count: int, limits: tuple[float, ...] = MAX_PIVOT_COSINES) -> np.ndarray:
+    """The pivots, chosen in a task from a bounded sample; they come to the driver as one block of bytes."""
+    wanted = 1 << int(np.clip(round(np.log2(max(2 * np.sqrt(count), 1))), *PIVOT_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = pa.Table.from_batches(batches).sort_by([("h1", "ascending"), ("h2", "ascending")])
+        found = apart(_rows(sample), wanted, limits)
+        yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()]), pa.array([found.shape[1]])], ["points", "width"])
+
+    sample = vectors.orderBy("h1", "h2").select("h1", "h2", "embedding").limit(SAMPLE_PER_PIVOT * wanted)
+    held = sample.coalesce(1).mapInArrow(run, "points binary, width bigint").first()
+    return np.frombuffer(held["points"]).reshape(-1, held["width"])
+
+
 def described(vectors: DataFrame, points: np.ndarray) -> DataFrame:
     """``list, node``: each vector under every set of ``SHARED`` of its nearest pivots."""
     near, shared = min(NEAREST, len(points)), min(SHARED, len(points))
