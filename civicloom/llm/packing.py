@@ -20,14 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from civicloom.llm.tokens import token_pieces
 from civicloom.session import stage_table
 
 CAPACITY = 2048
-#: Sizes the configurations are made of; lengths up to a third of the capacity are best-fitted afterwards.
-GROUPS, SMALL = 200, 3
+#: Sizes the configurations are made of.
+GROUPS = 200
+#: Lengths up to this part of the capacity are small and best-fitted afterwards. The scheme is run with each, and the
+#: plan of the fewest sequences taken: with few small pieces the first leaves less open, with many the second.
+SMALL = (3, 2)
 #: Column generation ends when no configuration is worth more than 1 + GAP: the optimum is then within GAP.
 GAP = 0.002
 ROUNDS = 12
@@ -175,6 +179,10 @@ def _substituted(groups: list[tuple[int, list[list[int]]]], chosen: list[tuple[n
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
     """Runs of like sequences that hold every piece of the histogram."""
+    return min((_plan(counts, capacity, small) for small in SMALL), key=lambda runs: sum(many for _, many in runs))
+
+
+def _plan(counts: dict[int, int], capacity: int, small_part: int) -> list[Run]:
     histogram = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         histogram[length] = n
@@ -183,14 +191,14 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[Run]:
         bins.add([(capacity, 1)], int(histogram[capacity]))
         histogram[capacity] = 0
     large = histogram.copy()
-    large[: capacity // SMALL + 1] = 0
+    large[: capacity // small_part + 1] = 0
     groups = grouped(large, GROUPS)
     rest: list[list[int]] = []
     if groups:
         sizes = np.array([size for size, _ in groups])
         demand = np.array([sum(n for _, n in members) for _, members in groups], dtype=float)
         rest = _substituted(groups, configurations(sizes, demand, capacity), bins)
-    small = [[length, int(histogram[length])] for length in np.flatnonzero(histogram[: capacity // SMALL + 1]).tolist()]
+    small = [[length, int(histogram[length])] for length in np.flatnonzero(histogram[: capacity // small_part + 1]).tolist()]
     for length, n in sorted(rest + small, reverse=True):
         bins.best_fit(length, n)
     return bins.runs()
@@ -210,6 +218,22 @@ def blocks(runs: list[Run]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5)
 
 
+def planned(histogram: DataFrame, capacity: int = CAPACITY) -> np.ndarray:
+    """``blocks`` of the plan of ``length, count``, which is at most ``capacity`` rows.
+
+    Made in a task: there Spark holds the linear algebra to the task's own cores.
+    """
+    names = ["length", "rank", "sequence", "copies", "offset"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {k: n for b in batches for k, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in blocks(plan(counts, capacity)).T.copy()], names)
+
+    found = histogram.coalesce(1).mapInArrow(run, ", ".join(f"{name} bigint" for name in names)).toArrow()
+    table = np.column_stack([found.column(name).to_numpy() for name in names]).astype(np.int64)
+    return table[np.lexsort((table[:, 1], table[:, 0]))]
+
+
 def ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
     """Adds ``rank``, from 0 within a length. A common length is ranked in parts of bounded size."""
     spark = pieces.sparkSession
@@ -234,9 +258,9 @@ def ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Stored pieces with ``sequence_id`` and ``offset``."""
-    rows = pieces.groupBy("length").count().collect()  # at most ``capacity`` rows
-    counts = {r["length"]: r["count"] for r in rows}
-    table = blocks(plan(counts, capacity))
+    histogram = stage_table(pieces.groupBy("length").count(), "length_counts")
+    counts = {r["length"]: r["count"] for r in histogram.collect()}  # at most ``capacity`` rows
+    table = planned(histogram, capacity)
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys = table[:, 0] * (1 << 48) + table[:, 1]
