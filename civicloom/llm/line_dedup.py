@@ -105,8 +105,9 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 def _with_bitmaps(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """``row, text, n_dropped, words``; the row is kept whole, so its names cannot clash."""
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", text_of().alias("text"), _text_key().alias("text_key"))
-    return rows.join(drop_bitmaps(docs, min_chars, min_docs), ["doc_id", "text_key"], "left")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", _text_key().alias("text_key"))
+    joined = rows.join(drop_bitmaps(docs, min_chars, min_docs), ["doc_id", "text_key"], "left")
+    return joined.withColumn("text", text_of("row.text"))  # after the join, so a text travels once
 
 
 def _kept_text() -> Column:
