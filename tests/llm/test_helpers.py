@@ -90,6 +90,23 @@ def test_maximal_segments_by_definition(values):
     assert sum(s for s, _, _ in toxicity.segments(np.array(values, float))) == sum(s for s, _, _ in best(0, len(values)))
 
 
+def test_passages_are_found_whatever_stands_before():
+    """Four strong words, first singly and far apart, then twice in a row, then once more far away."""
+    scores = np.full(1 << toxicity.BITS, -0.5)
+    tokens = toxicity.Tokens()
+    for i, word in enumerate(("morona", "scumbo", "vilest", "idiota")):
+        scores[tokens(word)[0]] = 4.0
+    singly = [w for word in ("morona", "scumbo", "vilest", "idiota") for w in [word, *["filler"] * 40]]
+    passage = ["morona", "scumbo", "vilest", "idiota"] * 2
+    text = " ".join([*singly, *passage, *["filler"] * 80, *passage])
+    found = toxicity.found_passages(tokens(text), scores)
+    assert [(s, b - a) for s, a, b in found if s > 4] == [(16.0, 8), (16.0, 8)]
+    assert sum(s == 4 for s, _, _ in found) == 4
+    # A word said over and over is one word.
+    assert [s for s, _, _ in toxicity.found_passages(tokens("morona filler " * 50), scores)] == [4.0]
+    assert toxicity.found_passages(tokens(""), scores) == []
+
+
 def test_growth_rate_solves_its_equation():
     scores, counts = np.array([2.0, -1.0]), np.array([1.0, 9.0])
     rate = toxicity.growth_rate(scores, counts)
@@ -126,6 +143,12 @@ def test_code_lengths_by_definition(monkeypatch):
             for k, tree in trees.items():
                 assert math.isclose(language_id.code_length(text.encode(), tree), _partial_match(texts[k], text.encode()), rel_tol=1e-5)
     assert language_id.predict("cde cde aed", trees)[0] == "y"
+    many = ["ab cab", None, "Cde é~q", "1", "a", "cc" * 90_000, "ab é"]
+    monkeypatch.setattr(language_id, "TOGETHER", 30)
+    assert [b.language for b in language_id.best_of(many, trees)] == [language_id.predict(t, trees)[0] for t in many]
+    halves = language_id.best_of(many, {"z": trees["z"]}, language_id.best_of(many, {k: trees[k] for k in "xy"}))
+    for whole, half in zip(language_id.best_of(many, trees), halves):
+        assert whole.language == half.language and math.isclose(whole.sum, half.sum, rel_tol=1e-9)
     for empty in (None, "", "123 !?"):
         assert language_id.predict(empty, trees) == ("und", 0.0)
     assert language_id.predict("abc", {}) == ("und", 0.0)

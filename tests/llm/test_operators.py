@@ -104,6 +104,14 @@ def test_packing(docs):
     assert packed == lengths
 
 
+def test_packing_reaches_the_bound(spark):
+    """On the given table of sf0.01 the plan needs no sequence more than all ids do."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    packed = stage_table(packing.pack_documents(docs), "packed")
+    ids, used = packed.agg(F.sum("length"), F.countDistinct("sequence_id")).first()
+    assert used == -(-ids // 2048)
+
+
 def test_packed_sequences_round_trip(docs):
     pieces = stage_table(tokens.token_pieces(docs.filter("doc_id IN (0, 1, 400)"), 2048, with_ids=True), "ids")
     packed = packing.pack_pieces(pieces)
@@ -314,6 +322,40 @@ def test_html_pages(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("sections", [1, 4, 12])
+def test_templates_alone_decide(spark, sections):
+    """No article element, no telling tag or name: menus, sidebars and footers of each section go by their recurrence."""
+    pages, want = [], {}
+    for i in range(600):
+        k = i % sections
+        own = [f"Heading {i}", f"This is what page {i} says.", f"And a second paragraph {i * 7}.", "Thanks for reading." if i < 3 else f"Bye {i}"]
+        side = "".join(f"<div><span>Link {k}-{j}</span></div>" for j in range(6))
+        html = (
+            f"<body><div><div>Home</div><div>Shop</div></div><div class=c{k}>{side}</div><div><h1>{own[0]}</h1><p>{own[1]}</p><p>{own[2]}</p>"
+            f"<p>{own[3]}</p></div><div><p>Company {k} street</p></div></body>"
+        )
+        pages.append((i, f"https://big.org/{k}/{i}", html))
+        want[i] = "\n".join(own)
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)
+    df = df.withColumns({c: F.lit("mine") for c in ("host", "k1", "k2", "page", "subtree", "templates", "n", "pages", "text")})
+    assert {r.page_id: r.text for r in html_text.extract(df).collect()} == want
+
+
+def test_html_query_by_brute_force(spark, sf):
+    """The query on the smallest table: templates counted without Spark."""
+    rows = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    host = lambda url: re.match(r"(?:\w+://([^/?#:]*))?", url or "")[1] or ""
+    counts, sizes = defaultdict(set), defaultdict(set)
+    for r in rows:
+        page, hashes = html_text.subtrees(r.html or "")
+        sizes[host(r.url)].add(page)
+        for h in hashes:
+            counts[host(r.url), h].add(page)
+    many = {k for k, p in counts.items() if len(p) >= max(5, min(0.3 * len(sizes[k[0]]), 2 * len(sizes[k[0]]) ** 0.5))}
+    want = {r.page_id: html_text.main_text(r.html or "", frozenset(h for x, h in many if x == host(r.url))) for r in rows}
+    assert {r.page_id: r.text for r in queries.op8_html_extraction(spark, sf).collect()} == want
+
+
 @pytest.mark.parametrize("piece", [2048, 7])
 def test_embeddings(spark, monkeypatch, piece):
     monkeypatch.setattr(embedding_dedup, "PIECE", piece)
@@ -335,6 +377,24 @@ def test_embeddings(spark, monkeypatch, piece):
     assert all(got[i] == want[i] for i, _ in odd)
 
 
+def test_recall_on_the_given_vectors(spark):
+    """Twins at cosines from just below to well above the limit, planted among the given vectors, against all pairs."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").filter("embedding IS NOT NULL").select("embedding").collect()
+    given_ = np.array([r[0] for r in rows if len(r[0]) == 64 and None not in r[0]], dtype=np.float64)
+    rng = np.random.default_rng(12)
+    base = embedding_dedup.unit(given_[rng.permutation(len(given_))[:600]])
+    aside = rng.normal(size=base.shape)
+    aside = embedding_dedup.unit(aside - (aside * base).sum(axis=1, keepdims=True) * base)
+    cosine = rng.uniform(0.945, 0.99, (len(base), 1))
+    vectors = np.concatenate([given_, cosine * base + np.sqrt(1 - cosine**2) * aside]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>").repartition(4)
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    unit = embedding_dedup.unit(vectors.astype(np.float64))
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    print("recall", sum(got.values()) / want.sum(), "of", want.sum())
+    assert want.sum() > 800 and all(got[i] <= want[i] for i in got) and sum(got.values()) >= 0.98 * want.sum()
+
+
 @pytest.mark.parametrize("longest, recall", [(10_000, 1.0), (300, 0.97)])
 def test_embeddings_of_one_topic(spark, monkeypatch, longest, recall):
     """Many pairs in a hot topic, whose lists are several pieces long and have no big component."""
