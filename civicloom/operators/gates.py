@@ -201,7 +201,7 @@ def data_quality_gate(
     )
     # The first column to reach the worst rate names it, as a scan in column order would.
     worst_name = F.get(names, F.array_position("rates", F.col("worst")).cast("int") - 1)
-    null_rates = F.map_from_arrays(names, F.transform("rates", lambda r: F.round(r, 5)))
+    null_rates = F.map_from_arrays(names, F.transform("rates", lambda r: F.round(r, 5).cast("decimal(10,5)")))
     violations = F.filter(
         F.array(
             *[
@@ -281,7 +281,7 @@ def validation_gate(
         hours_between(F.col("created_at"), timestamp_literal(ctx.now)).alias("age"),
     )
     verdict, age = F.col("verdict"), F.col("age")
-    details = F.to_json(F.struct(verdict.alias("recommendation"), F.round(age, 2).alias("age_hours")))
+    details = F.to_json(F.struct(verdict.alias("recommendation"), F.round(age, 2).cast("decimal(18,2)").alias("age_hours")))
     aged = F.format_string("%.1f h old", age)
     return _result(
         row, "validation", ctx,
@@ -426,7 +426,7 @@ def cost_gate(
         row = measured.withColumn("size_mb", F.col("bytes").cast("double") / 1024 / 1024)
         source = f"measured at {path}"
     rows, size = F.col("rows"), F.col("size_mb")
-    details = F.to_json(F.struct("rows", F.round(size, 2).alias("size_mb"), F.lit(source).alias("source")))
+    details = F.to_json(F.struct("rows", F.round(size, 2).cast("decimal(18,2)").alias("size_mb"), F.lit(source).alias("source")))
     shown = F.format_string("%.1f MB", size)
 
     def over(status: str, limit: float) -> Column:

@@ -265,10 +265,10 @@ def _context(asset: str) -> GateContext:
 
 
 def _gate_rows(*results: DataFrame) -> DataFrame:
-    """Several results as one frame, without free text."""
+    """Several results as one frame, message and details included."""
     rows = reduce(DataFrame.unionByName, results)
     return _rounded(rows, 6, "threshold_value", "actual_value").select(
-        "gate_name", "asset_name", "status", "record_count", "threshold_value", "actual_value", "run_id",
+        "gate_name", "asset_name", "status", "message", "record_count", "threshold_value", "actual_value", "details", "run_id",
         "executed_at",
     )
 

@@ -6,7 +6,8 @@ all files holds what a batch over those files gives.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -84,58 +85,105 @@ def latest_view(
     return keep_latest(rows, keys, order, [*ties, F.desc(_BATCH)]).drop(_BATCH)
 
 
+_BUCKET = "key_bucket"
+#: Parts of a new base, by the hash of the key; a base keeps the number it began with.
+BUCKETS = 64
+
+
 def _base_path(target: str) -> str:
     return f"{target.rstrip('/')}.base"
 
 
-def _bases(spark: SparkSession, target: str) -> list[int]:
-    """Batches up to which complete bases were written, oldest first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_base_path(target))
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return []
-    found = [str(s.getPath().getName()) for s in files.listStatus(folder)]
-    done = [n for n in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{_base_path(target)}/{n}/_SUCCESS"))]
-    return sorted(int(name.removeprefix("upto=")) for name in done)
+def _listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [str(s.getPath().getName()) for s in files.listStatus(path)] if files.exists(path) else []
+
+
+@dataclass(frozen=True)
+class _Base:
+    """A complete base: the batches up to ``upto``, in buckets that lie where their last compaction wrote them."""
+
+    upto: int
+    buckets: int
+    parts: dict[int, int]  # bucket: the compaction whose folder holds it
+
+
+def _newest_base(spark: SparkSession, target: str) -> _Base | None:
+    folder = f"{_base_path(target)}/manifests"
+    done = [n for n in _listed(spark, folder) if "_SUCCESS" in _listed(spark, f"{folder}/{n}")]
+    if not done:
+        return None
+    upto = max(int(n.removeprefix("upto=")) for n in done)
+    rows = spark.read.parquet(f"{folder}/upto={upto}").collect()  # one row a bucket
+    return _Base(upto, rows[0]["buckets"], {r["bucket"]: r["written"] for r in rows if r["bucket"] is not None})
+
+
+def _base_rows(spark: SparkSession, target: str, parts: Mapping[int, int], like: DataFrame) -> DataFrame:
+    paths = [f"{_base_path(target)}/upto={written}/{_BUCKET}={bucket}" for bucket, written in sorted(parts.items())]
+    return (spark.read.parquet(*paths) if paths else like.limit(0)).select(like.columns)
 
 
 def _live_rows(spark: SparkSession, target: str) -> DataFrame:
-    bases, rows = _bases(spark, target), spark.read.parquet(target)
-    if not bases:
+    base, rows = _newest_base(spark, target), spark.read.parquet(target)
+    if base is None:
         return rows
-    base = spark.read.parquet(f"{_base_path(target)}/upto={bases[-1]}")
-    return rows.filter(F.col(_BATCH) > bases[-1]).unionByName(base.select(rows.columns))
+    return rows.filter(F.col(_BATCH) > base.upto).unionByName(_base_rows(spark, target, base.parts, rows))
 
 
-def compact(spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column] = ()) -> int:
+def compact(
+    spark: SparkSession, target: str, keys: Sequence[str], order: Sequence[Column], ties: Sequence[Column] = (), buckets: int = BUCKETS
+) -> int:
     """Fold the batches written so far into a base beside ``target``; returns the last batch in it.
 
-    The stream goes on writing to ``target``. Readers take the newest complete base and
-    the batches after it, so a crash while a base is written changes nothing, and a scan
+    The base is in buckets by the hash of the key. Only buckets that the new batches have keys of are
+    read and written again; the others stay where they are, and a manifest, written last,
+    says where each one lies. The stream goes on writing to ``target``. Readers take the newest
+    complete manifest and the batches after it, so a crash in between changes nothing, and a scan
     no longer opens the folded batches. ``retire`` deletes them.
     """
-    last = spark.read.parquet(target).agg(F.max(_BATCH)).first()[0]
-    rows = _live_rows(spark, target).filter(F.col(_BATCH) <= last)
-    newest = keep_latest(rows, keys, order, [*ties, F.desc(_BATCH)])
-    newest.write.mode("overwrite").parquet(f"{_base_path(target)}/upto={last}")
+    rows = spark.read.parquet(target)
+    last = rows.agg(F.max(_BATCH)).first()[0]
+    base = _newest_base(spark, target) or _Base(-1, buckets, {})
+    if last is None or last == base.upto:
+        return base.upto
+    new = rows.filter((F.col(_BATCH) > base.upto) & (F.col(_BATCH) <= last))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(base.buckets)).cast("int")
+    touched = {r[0] for r in new.select(bucket).distinct().collect()}  # at most as many as buckets
+    old = _base_rows(spark, target, {k: v for k, v in base.parts.items() if k in touched}, rows)
+    newest = keep_latest(new.unionByName(old), keys, order, [*ties, F.desc(_BATCH)]).withColumn(_BUCKET, bucket)
+    newest.hint("rebalance", _BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        _BUCKET
+    ).parquet(f"{_base_path(target)}/upto={last}")
+    parts = base.parts | dict.fromkeys(touched, last)
+    manifest = [(base.buckets, k, v) for k, v in sorted(parts.items())] or [(base.buckets, None, None)]
+    spark.createDataFrame(manifest, "buckets int, bucket int, written bigint").coalesce(1).write.mode("overwrite").parquet(
+        f"{_base_path(target)}/manifests/upto={last}"
+    )
     return last
 
 
 def retire(spark: SparkSession, target: str) -> int:
-    """Delete batches that the newest base holds, and older bases; returns how many folders.
+    """Delete batches that the newest base holds, and what older bases alone hold; returns how many folders.
 
     The newest folded batch stays, so that the table keeps a schema to be read by. To be
     called when no reader started before the last ``compact``.
     """
-    bases = _bases(spark, target)
-    if not bases:
+    base = _newest_base(spark, target)
+    if base is None:
         return 0
-    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    batches = [str(s.getPath().getName()) for s in files.listStatus(folder)]
-    numbers = [int(n.split("=")[1]) for n in batches if n.startswith(f"{_BATCH}=")]
-    old = [f"{target}/{_BATCH}={n}" for n in numbers if n < bases[-1]]
-    old += [f"{_base_path(target)}/upto={n}" for n in bases[:-1]]
+    folder = _base_path(target)
+    numbers = [int(n.split("=")[1]) for n in _listed(spark, target) if n.startswith(f"{_BATCH}=")]
+    old = [f"{target}/{_BATCH}={n}" for n in numbers if n < base.upto]
+    for name in _listed(spark, folder):
+        written = int(name.removeprefix("upto=")) if name.startswith("upto=") else base.upto + 1
+        if written <= base.upto:
+            parts = [n for n in _listed(spark, f"{folder}/{name}") if n.startswith(f"{_BUCKET}=")]
+            dead = [n for n in parts if base.parts.get(int(n.split("=")[1])) != written]
+            old += [f"{folder}/{name}"] if len(dead) == len(parts) else [f"{folder}/{name}/{n}" for n in dead]
+    old += [f"{folder}/manifests/{n}" for n in _listed(spark, f"{folder}/manifests") if int(n.removeprefix("upto=")) < base.upto]
+    files = spark._jvm.org.apache.hadoop.fs.Path(target).getFileSystem(spark._jsc.hadoopConfiguration())
     for path in old:
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
     return len(old)

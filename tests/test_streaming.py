@@ -92,6 +92,26 @@ def test_the_stream_goes_on_after_compaction(spark, folder, tmp_path):
     assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_compaction_rewrites_only_buckets_with_new_keys(spark, folder, tmp_path):
+    """Files of buckets without new keys stay, in any number of compactions; the view is that of all batches."""
+    target, base = f"{tmp_path}/t", tmp_path / "t.base"
+    put(folder, "p2.json", *[complaint(f"k{i}", "2024-01-03T10:00:00") for i in range(200)])
+    run_latest(spark, folder, tmp_path)
+    first = streams.compact(spark, target, KEYS, newest(), buckets=16)
+    before = {p: p.stat().st_mtime_ns for p in base.glob(f"upto={first}/*/*.parquet")}
+    put(folder, "p3.json", complaint("k7", "2024-03-03T10:00:00", "Closed"), complaint("k9", "2024-03-04T10:00:00"))
+    run_latest(spark, folder, tmp_path)
+    second = streams.compact(spark, target, KEYS, newest())
+    assert second > first and 1 <= len(list(base.glob(f"upto={second}/key_bucket=*"))) <= 2
+    assert streams.compact(spark, target, KEYS, newest()) == second  # nothing new
+    streams.retire(spark, target)
+    kept = {p: p.stat().st_mtime_ns for p in base.glob(f"upto={first}/*/*.parquet")}
+    assert 14 <= len({p.parent for p in kept}) < len({p.parent for p in before}) <= 16 and kept.items() <= before.items()
+    got = streams.latest_view(spark, target, KEYS, newest())
+    want = keep_latest(batch(spark, folder), KEYS, newest())
+    assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
+
+
 def test_a_replayed_batch_replaces_itself(spark, folder, tmp_path):
     run_latest(spark, folder, tmp_path)
     before = spark.read.parquet(f"{tmp_path}/t").count()
