@@ -192,6 +192,32 @@ def test_classifiers_without_two_classes():
     assert toxicity.statistic(toxicity.Tokens()("a b"), model) == 0
 
 
+def test_ftrl_by_its_definition():
+    """Sparse updates against a dense reference, one coordinate at a time."""
+    rng = np.random.default_rng(7)
+    size, q = 12, quality_model
+    model, z, n = q.Ftrl(size), [0.0] * (size + 1), [0.0] * (size + 1)
+
+    def weight(i):
+        l1 = 0.0 if i == size else q.L1
+        return 0.0 if abs(z[i]) <= l1 else -math.copysign(abs(z[i]) - l1, z[i]) / ((q.BETA + math.sqrt(n[i])) / q.ALPHA + q.L2)
+
+    for _ in range(200):
+        index = np.sort(rng.choice(size, 4, replace=False))
+        value, label = rng.random(4), int(rng.random() < 0.4)
+        x = {**dict(zip(index.tolist(), value.tolist())), size: 1.0}
+        p = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in x.items())))
+        steps = {}
+        for i, v in x.items():
+            g = (p - label) * v
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / q.ALPHA
+            steps[i] = (g - sigma * weight(i), g * g)
+        for i, (dz, dn) in steps.items():
+            z[i], n[i] = z[i] + dz, n[i] + dn
+        model.update(index, value, label)
+    assert np.allclose(model.weights(np.arange(size + 1)), [weight(i) for i in range(size + 1)], rtol=1e-9)
+
+
 def test_quality_separates_shapes():
     rng = random.Random(5)
     words = ["".join(rng.choices("abcdef", k=5)) for _ in range(3000)]

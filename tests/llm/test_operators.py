@@ -298,6 +298,48 @@ def test_language_query_by_brute_force(spark, sf):
         assert abs(got[r.doc_id].score - score) < 1e-6
 
 
+def _training(spark, sf, label):
+    """All texts by id, and ``(doc_id, text, label)`` of the labelled ones that aren't held out, worked out without Spark."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    known = defaultdict(set)
+    for r in spark.read.parquet(f"{sf}/labels.parquet").collect():
+        if r.doc_id is not None and r[label] is not None and not held_out(r.doc_id):
+            known[r.doc_id].add(r[label])
+    return texts, sorted((doc, texts[doc], min(v)) for doc, v in known.items() if len(v) == 1 and doc in texts)
+
+
+def test_quality_query_by_brute_force(spark, sf):
+    texts, rows = _training(spark, sf, "quality")
+    assert 20 < len(rows) <= quality_model.MAX_TRAINING_ROWS
+    weights = quality_model.fit([r[1:] for r in rows])
+    got = queries.op10_quality_classifier(spark, sf).collect()
+    want = dict(zip(texts, quality_model.scores(list(texts.values()), weights, quality_model.Features())))
+    assert len(got) == len(texts)
+    for r in got:
+        assert abs(r.score - want[r.doc_id]) < 1e-6 and r.held_out == held_out(r.doc_id) and r.predicted == int(r.score >= 0.7)
+
+
+def test_toxicity_query_by_brute_force(spark, sf):
+    import zlib
+
+    texts, rows = _training(spark, sf, "toxic")
+    tokens_, corpus = toxicity.Tokens(), np.zeros(1 << toxicity.BITS)
+    for text in texts.values():
+        np.add.at(corpus, tokens_(text).ravel(), 1)
+    sample = sorted(((t, x) for _, t, x in rows), key=lambda row: (zlib.crc32(row[0].encode()), row))
+    model = toxicity.fit(sample, corpus)
+    model = model._replace(scores=model.scores.astype(np.float32))
+    got = queries.op3_toxicity(spark, sf).collect()
+    assert len(got) == len(texts) and len(rows) > 20
+    for r in got:
+        bins = tokens_(texts[r.doc_id])
+        found = toxicity.found_passages(bins, model.scores)
+        chance = model.log_k + np.log(max(len(bins), 1))
+        evidence = sum(e for e in (model.rate * s - chance for s, _, _ in found) if e > -np.log(toxicity.MOST_E))
+        want = 1 / (1 + np.exp(-np.clip(model.slope * np.log1p(evidence) + model.base, -40, 40)))
+        assert abs(r.score - want) < 1e-6 and r.held_out == held_out(r.doc_id) and r.predicted == int(r.score >= 0.3)
+
+
 def test_toxic_words_of_few_texts(spark):
     rng = np.random.default_rng(2)
     words = [f"{a}{b}" for a in "bcdfgh" for b in ("ab", "ek", "il", "om", "up")]
