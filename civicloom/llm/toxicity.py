@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -90,20 +91,19 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     if not len(starts):
         return []
     sums = np.concatenate(([0.0], np.cumsum(scores)))
-    stack: list[tuple[float, float, int, int]] = []  # sum before, sum after, start, end
+    # Sum before, sum after, start, end, and the place of the last earlier segment that starts lower.
+    stack: list[tuple[float, float, int, int, int]] = []
     for start, before, after in zip(starts.tolist(), sums[starts].tolist(), sums[starts + 1].tolist()):
-        end = start + 1
-        while True:
-            # The last earlier segment that starts lower; those above it on the stack can't be joined.
-            k = len(stack) - 1
-            while k >= 0 and stack[k][0] >= before:
-                k -= 1
-            if k < 0 or stack[k][1] >= after:
-                stack.append((before, after, start, end))
-                break
-            before, start = stack[k][0], stack[k][2]
+        end, k = start + 1, len(stack) - 1
+        # Those that start no lower can't be joined, nor can any between them and the one they name.
+        while k >= 0 and stack[k][0] >= before:
+            k = stack[k][4]
+        while k >= 0 and stack[k][1] < after:
+            before, start, lower = stack[k][0], stack[k][2], stack[k][4]
             del stack[k:]
-    return [(after - before, start, end) for before, after, start, end in stack]
+            k = lower
+        stack.append((before, after, start, end, k))
+    return [(after - before, start, end) for before, after, start, end, _ in stack]
 
 
 def found_passages(bins: np.ndarray, scores: np.ndarray) -> list[tuple[float, int, int]]:
@@ -113,17 +113,22 @@ def found_passages(bins: np.ndarray, scores: np.ndarray) -> list[tuple[float, in
     repeats have stretched a segment, its best part without them counts.
     """
     own = word_scores(bins, scores)
-    found = []
+    high = np.flatnonzero(own > 0)
+    at, words = high.tolist(), bins[high, 0].tolist()
+    found, i = [], 0
     for score, a, b in segments(own):
-        high = a + np.flatnonzero(own[a:b] > 0)
-        first = np.unique(bins[high, 0], return_index=True)[1]
-        if len(first) < len(high):
+        i = bisect_left(at, a, i)
+        j = bisect_left(at, b, i)
+        if len(set(words[i:j])) < j - i:
             part = own[a:b].copy()
-            again = np.ones(len(high), dtype=bool)
-            again[first] = False
-            part[high[again] - a] = 0.0
+            said: set[int] = set()
+            for k in range(i, j):
+                if words[k] in said:
+                    part[at[k] - a] = 0.0
+                said.add(words[k])
             score = max(segments(part))[0]
         found.append((score, a, b))
+        i = j
     return found
 
 
