@@ -253,14 +253,16 @@ def test_clear_stage_deletes_only_this_application(spark, tmp_path, monkeypatch)
     assert [p.name for p in tmp_path.iterdir()] == ["other-app"]
 
 
-def test_a_cluster_must_name_its_folder():
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]", "spark://host:7077"])
+def test_a_cluster_must_name_its_folder(master):
     class Conf:
         def get(self, key, default):
             return default
 
     class Session:
         conf = Conf()
-        sparkContext = type("C", (), {"master": "yarn", "applicationId": "app"})
+        sparkContext = type("C", (), {"applicationId": "app"})
 
+    Session.sparkContext.master = master
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
