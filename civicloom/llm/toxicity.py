@@ -46,6 +46,8 @@ _LETTERS = bytes(
     c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)
 )
 _KNOWN_WORDS = 300_000
+#: Texts whose words are counted at a time.
+TOGETHER = 64
 EULER = 0.5772156649
 
 
@@ -57,23 +59,27 @@ class Model(NamedTuple):
     base: float
 
 
-class Tokens:
-    """Texts as rows of bins, one row per word: the word and its stems. Remembers words it has met."""
+class Tokens(dict):
+    """Texts as rows of bins, one row per word: the word and its stems. Remembers words it has met, by number."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        super().__init__()
+        self.rows = np.empty((1024, 1 + len(STEMS)), dtype=np.int32)
 
-    def _bins(self, word: bytes) -> tuple[int, ...]:
-        if len(self.known) >= _KNOWN_WORDS:
-            self.known.clear()
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        if number == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
         stems = [zlib.crc32(word[:n], n) if len(word) > n else zlib.crc32(word) for n in STEMS]
-        found = self.known[word] = tuple(h & _MASK for h in (zlib.crc32(word), *stems))
-        return found
+        self.rows[number] = [h & _MASK for h in (zlib.crc32(word), *stems)]
+        return number
 
     def __call__(self, text: str) -> np.ndarray:
-        known = self.known
+        if len(self) >= _KNOWN_WORDS:
+            self.clear()
         words = text.encode().translate(_LETTERS).split()
-        return np.array([known.get(w) or self._bins(w) for w in words], dtype=np.int32).reshape(-1, 1 + len(STEMS))
+        numbers = np.array(list(map(self.__getitem__, words)), dtype=np.int64)
+        return self.rows[numbers]  # only now, as new words may have made the table grow
 
 
 def word_scores(bins: np.ndarray, scores: np.ndarray) -> np.ndarray:
@@ -216,8 +222,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = Tokens(), np.zeros(1 << BITS, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, tokens(text).ravel(), 1)
+            texts = batch.column(0).to_pylist()
+            for i in range(0, len(texts), TOGETHER):
+                bins = np.concatenate([tokens(text).ravel() for text in texts[i : i + TOGETHER]])
+                met, n = np.unique(bins, return_counts=True)
+                counts[met] += n
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met], pa.int64())], ["bin", "n"])
 
