@@ -38,6 +38,7 @@ from civicloom.streaming import streams
 SCORED_AT = datetime(2024, 1, 31)
 GATES_AT = datetime(2024, 1, 31, 2)
 SPLIT_AT = "2024-01-15T12:00:00.000"
+JSON_FILE_ROWS = 250_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,7 +80,8 @@ def silver_complaints(spark, sf_dir):
 def bronze_json(spark, sf_dir):
     """Silver by way of JSON: everything is text in the files, as the source delivers it."""
     raw, path = given.raw_complaints(spark, sf_dir), stage_path(spark, "json")
-    raw.write.json(path)
+    # As plain text the files are ten times the tables; a compressed one is read by one task, so it holds few rows.
+    raw.write.option("compression", "gzip").option("maxRecordsPerFile", JSON_FILE_ROWS).json(path)
     typed = [f for f in raw.schema.fields if f.name in given.TIE_BREAKERS]
     schema = T.StructType([*schemas.BRONZE_COMPLAINT.fields, *typed])
     return silver_layer.stage_complaints(read_json_bronze(spark, path, schema, lines=True), given.TIE_BREAKERS)

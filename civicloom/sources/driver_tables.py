@@ -43,11 +43,9 @@ def _pick(index: Column, values: list) -> Column:
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    rows = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    )
+    # Orders find their place first, so that the many lines are shuffled once, by order.
+    placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
     supp, part = F.col("l_suppkey"), F.col("l_partkey")
     closed = F.col("l_linestatus") == "F"
     return rows.select(

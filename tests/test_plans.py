@@ -92,3 +92,15 @@ def test_gold_build_end_to_end(spark, sf, tmp_path):
 def test_risk_score_expands_no_row(spark, sf):
     text = plan(marts.address_risk_score(catalog._silver(spark, sf), datetime(2024, 1, 31)))
     assert "Expand" not in text
+
+
+def test_bronze_json_files_stay_small(spark, sf, tmp_path, monkeypatch):
+    path = str(tmp_path / "json")
+    monkeypatch.setattr(catalog, "stage_path", lambda *_: path)
+    monkeypatch.setattr(catalog, "JSON_FILE_ROWS", 1000, raising=False)
+    rows = catalog.bronze_json(spark, sf).count()
+    stored = spark.read.text(path).agg(F.sum(F.length("value")), F.count("value")).first()
+    files = list((tmp_path / "json").glob("part-*"))
+    assert rows and stored[1] >= rows
+    assert 4 * sum(f.stat().st_size for f in files) < stored[0]
+    assert max(r[1] for r in spark.read.text(path).groupBy("_metadata.file_name").count().collect()) <= 1000
