@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -52,24 +51,17 @@ def normalize_address(address: Column) -> Column:
     The first whole word STREET collapses to ST (only the first one), then a
     trailing abbreviation is spelled out. So a final STREET survives and an inner
     one is shortened. The long forms never end in another abbreviation, so at
-    most one suffix rule can apply.
+    most one suffix rule can apply: that of the last word, looked up in a map.
     """
     line = clean_upper(address)
     first_street = r"(?s)^(.*?)(?<![A-Za-z0-9_])STREET(?![A-Za-z0-9_])"
     line = F.when(
         F.contains(line, F.lit("STREET")), F.regexp_replace(line, first_street, "$1ST")
     ).otherwise(line)
-
-    def spelled(short: str, long: str) -> Column:
-        head = F.substring(line, F.lit(1), F.length(line) - len(short))
-        return F.concat(head, F.lit(long))
-
-    suffixes = list(rules.STREET_SUFFIXES.items())
-    first = F.when(line.endswith(f" {suffixes[0][0]}"), spelled(*suffixes[0]))
-    chain = reduce(
-        lambda acc, pair: acc.when(line.endswith(f" {pair[0]}"), spelled(*pair)), suffixes[1:], first
-    )
-    return F.trim(chain.otherwise(line))
+    last = F.substring_index(line, " ", -1)
+    long = F.try_element_at(F.create_map(*[F.lit(word) for pair in rules.STREET_SUFFIXES.items() for word in pair]), last)
+    head = F.substring(line, F.lit(1), F.length(line) - F.length(last))
+    return F.trim(F.coalesce(F.when(F.contains(line, F.lit(" ")), F.concat(head, long)), line))
 
 
 def full_address(address: Column, city: Column, borough: Column, zip_code: Column) -> Column:

@@ -257,6 +257,9 @@ ADDRESS_KEYS = [
     "police_precinct", "community_board",
 ]
 
+#: The same grain with one short text for both forms of the address.
+LINE_KEYS = ["line", *ADDRESS_KEYS[2:]]
+
 
 # Yes/no facts a complaint contributes to its address, as 1 or NULL columns.
 def _risk_flags() -> dict[str, Column]:
@@ -270,13 +273,13 @@ def _risk_flags() -> dict[str, Column]:
 def risk_base(silver: DataFrame) -> DataFrame:
     """The columns the score needs, addresses cleaned and facts turned into flags.
 
-    Stored before it is aggregated, so that silver and its address texts are gone through once.
+    Stored before it is aggregated, so that silver and its address texts are gone through once. Both forms of
+    the address follow from ``line`` and the other keys, so only that is stored and grouped by.
     """
+    # Without a borough there is no full address, and lines of one normal form are one address.
+    line = F.when(F.col("borough").isNull(), normalize_address(F.col("incident_address")))
     return with_address(silver).select(
-        normalize_address(F.col("incident_address")).alias("incident_address"),
-        full_address(
-            F.col("incident_address"), F.col("city"), F.col("borough"), F.col("zip_code")
-        ).alias("full_address"),
+        F.coalesce(line, clean_upper(F.col("incident_address"))).alias("line"),
         clean_upper(F.col("city")).alias("neighborhood"),
         clean_upper(F.col("borough")).alias("borough"),
         blank_to_null(F.col("zip_code")).alias("zip_code"),
@@ -291,11 +294,14 @@ def address_types(base: DataFrame) -> DataFrame:
 
     A NULL zip matches nothing in the later join, so those rows are left out here.
     """
-    cells = (
+    # Lines are counted as they are, so that only different ones are brought into normal form.
+    lines = (
         base.filter(F.col("zip_code").isNotNull())
-        .groupBy("incident_address", "zip_code", "complaint_type")
+        .groupBy("line", "zip_code", F.col("borough").isNull().alias("normal"), "complaint_type")
         .agg(F.count(F.lit(1)).alias("cell"))
     )
+    address = F.when(F.col("normal"), F.col("line")).otherwise(normalize_address(F.col("line")))
+    cells = lines.groupBy(address.alias("incident_address"), "zip_code", "complaint_type").agg(F.sum("cell").alias("cell"))
     kind = risk_class(F.col("complaint_type"))
     grade = F.when(kind == "HIGH", 3).when(kind == "MEDIUM", 2).otherwise(0)
     biggest = F.struct(-F.col("cell"), F.col("complaint_type").isNull(), F.col("complaint_type"))
@@ -329,7 +335,7 @@ def address_risk_score(silver: DataFrame, scored_at: datetime) -> DataFrame:
     types bound, so no row is expanded for the distinct counts. ``silver`` is read once.
     """
     base = stage_table(risk_base(silver), "risk_base")
-    measures = base.groupBy(*ADDRESS_KEYS).agg(
+    measures = base.groupBy(*LINE_KEYS).agg(
         round_half_away(F.avg("latitude"), 6).alias("latitude"),
         round_half_away(F.avg("longitude"), 6).alias("longitude"),
         F.count(F.lit(1)).alias("total_complaints"),
@@ -346,6 +352,8 @@ def address_risk_score(silver: DataFrame, scored_at: datetime) -> DataFrame:
     history = F.datediff("last_complaint_date", "first_complaint_date").cast("bigint")
     measures = measures.select(
         "*",
+        F.when(F.col("borough").isNull(), F.col("line")).otherwise(normalize_address(F.col("line"))).alias("incident_address"),
+        full_address(F.col("line"), F.col("neighborhood"), F.col("borough"), F.col("zip_code")).alias("full_address"),
         *[
             round_half_away(F.col(part).cast("double") / total * 100, digits).alias(name)
             for name, (part, digits) in shares.items()

@@ -55,20 +55,24 @@ def clean_complaints(
     )
 
 
-def stage_complaints(raw: DataFrame, tie_breakers: Sequence[str] = (), on_bad: str = "raise") -> DataFrame:
+def stage_complaints(
+    raw: DataFrame, tie_breakers: Sequence[str] = (), on_bad: str = "raise", within: Sequence[str] = ()
+) -> DataFrame:
     """Clean, then keep the newest record of each complaint.
 
     Records of one complaint created at the same time are told apart by the later
-    closing time (NULL last), then by ``tie_breakers``, which are not kept.
+    closing time (NULL last), then by ``tie_breakers``, which are not kept. ``within`` names
+    columns that the complaint's key determines. Rows already partitioned by them, as a
+    join by shuffle leaves them, are not shuffled again. They are not kept either.
     """
-    cleaned = clean_complaints(raw, keep=tie_breakers, on_bad=on_bad)
+    cleaned = clean_complaints(raw, keep=[*tie_breakers, *within], on_bad=on_bad)
     latest = keep_latest(
         cleaned,
-        ["complaint_id"],
+        [*within, "complaint_id"],
         [F.desc("created_date")],
         [F.col("closed_date").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_breakers]],
     )
-    return latest.drop(*tie_breakers)
+    return latest.drop(*tie_breakers, *within)
 
 
 def explode_observations(raw: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def register(query: Query) -> Query:
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_layer.stage_complaints(given.raw_complaints(spark, sf_dir), given.TIE_BREAKERS)
+    return silver_layer.stage_complaints(given.raw_complaints(spark, sf_dir), given.TIE_BREAKERS, within=given.WITHIN)
 
 
 def _stored_silver(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -79,7 +79,7 @@ def silver_complaints(spark, sf_dir):
 @register
 def bronze_json(spark, sf_dir):
     """Silver by way of JSON: everything is text in the files, as the source delivers it."""
-    raw, path = given.raw_complaints(spark, sf_dir), stage_path(spark, "json")
+    raw, path = given.raw_complaints(spark, sf_dir).drop(*given.WITHIN), stage_path(spark, "json")
     # As plain text the files are ten times the tables; a compressed one is read by one task, so it holds few rows.
     raw.write.option("compression", "gzip").option("maxRecordsPerFile", JSON_FILE_ROWS).json(path)
     typed = [f for f in raw.schema.fields if f.name in given.TIE_BREAKERS]
@@ -254,7 +254,7 @@ def gold_export(spark, sf_dir):
     macro = marts.pivot_macro(_newest_macro(spark, sf_dir))
     ctx = GateContext("gold", "run_check", SCORED_AT)
     manifest = build_gold(
-        given.raw_complaints(spark, sf_dir), macro, ctx, stage_path(spark, "lake"), given.TIE_BREAKERS
+        given.raw_complaints(spark, sf_dir), macro, ctx, stage_path(spark, "lake"), given.TIE_BREAKERS, within=given.WITHIN
     )
     return verify_export(manifest).select("table_name", "row_count", "checksum", "verified")
 

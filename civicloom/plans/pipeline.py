@@ -24,6 +24,7 @@ def build_gold(
     tie_breakers: Sequence[str] = (),
     mode: str = "month",
     on_bad: str = "raise",
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Bronze to stored silver to exported gold; returns the export manifest.
 
@@ -31,7 +32,7 @@ def build_gold(
     with only its own columns.
     """
     spark = raw.sparkSession
-    materialize(silver_layer.stage_complaints(raw, tie_breakers, on_bad), f"{directory}/silver/complaints")
+    materialize(silver_layer.stage_complaints(raw, tie_breakers, on_bad, within), f"{directory}/silver/complaints")
     materialize(macro, f"{directory}/silver/macro_wide")
     silver = spark.read.parquet(f"{directory}/silver/complaints")
     wide = spark.read.parquet(f"{directory}/silver/macro_wide")

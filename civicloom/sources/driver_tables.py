@@ -21,6 +21,8 @@ CITIES = [None, "Queens", "Astoria", "Jamaica", "Hoboken", "New York"]
 OPEN_BY_FLAG = {"N": "Open", "R": "In Progress", "A": "Unknown"}
 CHANNEL_BY_FLAG = {"N": "phone", "R": "online", "A": "mobile"}
 PRIORITY_SERIES = {"1-URGENT": "UNRATE", "2-HIGH": "CPIAUCSL", "3-MEDIUM": "FEDFUNDS"}
+#: The complaint's key begins with these, and raw complaints are joined by them.
+WITHIN = ["l_orderkey"]
 TIE_BREAKERS = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
 
 
@@ -75,6 +77,7 @@ def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(40.5) + supp / 1000.0).alias("latitude"),
         (F.lit(-74.0) + supp / 1000.0).alias("longitude"),
         *TIE_BREAKERS,
+        *WITHIN,
     )
 
 

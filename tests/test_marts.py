@@ -158,3 +158,17 @@ def test_risk_score_is_capped(spark):
     rows = silver(spark, *[{"status": "OPEN"} for _ in range(40)])
     row = marts.address_risk_score(rows, datetime(2024, 2, 1)).first()
     assert row.property_risk_score == 100.0 and row.risk_tier == "HIGH"
+
+
+def test_risk_base_holds_one_text_of_an_address(spark):
+    rows = silver(
+        spark,
+        {"incident_address": " 1 Main St ", "borough": None}, {"incident_address": "1 MAIN STREET", "borough": None},
+        {"incident_address": "1 main st"}, {"incident_address": "1 MAIN STREET"}, {"incident_address": "ST"},
+    )
+    assert not {"incident_address", "full_address"} & set(marts.risk_base(rows).columns)
+    got = marts.address_risk_score(rows, datetime(2024, 2, 1)).collect()
+    found = sorted((r.incident_address, r.full_address or "", r.total_complaints) for r in got)
+    # Without a borough there is no full address to tell the two forms apart.
+    assert [(a, n) for a, _, n in found] == [("1 MAIN STREET", 2), ("1 MAIN STREET", 1), ("1 MAIN STREET", 1), ("ST", 1)]
+    assert [f.split(",")[0] for _, f, _ in found] == ["", "1 MAIN ST", "1 MAIN STREET", "ST"]

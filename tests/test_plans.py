@@ -104,3 +104,13 @@ def test_bronze_json_files_stay_small(spark, sf, tmp_path, monkeypatch):
     assert rows and stored[1] >= rows
     assert 4 * sum(f.stat().st_size for f in files) < stored[0]
     assert max(r[1] for r in spark.read.text(path).groupBy("_metadata.file_name").count().collect()) <= 1000
+
+
+def test_joined_complaints_are_not_shuffled_again(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(catalog._silver(spark, sf))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Window" in text and "hashpartitioning(complaint_id" not in text
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
