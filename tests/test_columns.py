@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from civicloom.functions import columns as C
 
@@ -107,3 +107,7 @@ def test_rounding_agrees_with_binary_rounding_everywhere(spark):
     for (v,), r in zip(numbers, got):
         scaled = abs(v) * 10
         assert r == math.copysign(math.floor(scaled + 0.5) / 10, v)
+
+
+def test_checksum_sees_large_whole_numbers_as_they_are(spark):
+    assert values(spark, "v double", [(820494475813.0,)], C._checked_text(F.col("v"), T.DoubleType())) == ["820494475813.000000"]
