@@ -90,28 +90,31 @@ def _bin(value: Column, interval: _Interval) -> Column:
     return F.least(F.greatest(place, F.lit(0)), F.lit(BINS - 1)).cast("int")
 
 
+def _hits(df: DataFrame, intervals: Sequence[_Interval]) -> DataFrame:
+    """``interval, bin, v``: every value with each interval it lies in, by the interval's place.
+
+    The range test is on the bare column, so that a scan can skip what lies outside. Values become
+    rows by an expansion of plain columns, which Spark compiles; an array of structs per row costs several times as much.
+    """
+    inside = [F.col(f"`{i.column}`").between(F.lit(i.low), F.lit(i.high)) for i in intervals]
+    names = list(map(str, range(len(intervals))))
+    values = df.filter(reduce(lambda a, b: a | b, inside)).select(
+        *[F.when(hit, F.col(f"`{i.column}`").cast("double")).alias(name) for hit, i, name in zip(inside, intervals, names)]
+    )
+    hits = values.unpivot([], names, "interval", "v").filter("v IS NOT NULL")
+    places = [(F.col("interval") == name, _bin(F.col("v"), i)) for name, i in zip(names, intervals)]
+    place = reduce(lambda chain, p: chain.when(*p), places[1:], F.when(*places[0]))
+    return hits.select("interval", place.alias("bin"), "v")
+
+
 def _narrow(
     df: DataFrame, wanted: dict[_Interval, set[int]]
 ) -> dict[_Interval, dict[int, _Interval]]:
-    """One pass over the data: where inside each interval does each rank lie?
-
-    The range test is on the bare column, so that a scan can skip what lies outside.
-    """
+    """One pass over the data: where inside each interval does each rank lie?"""
     intervals = list(wanted)
-    inside = [F.col(f"`{i.column}`").between(F.lit(i.low), F.lit(i.high)) for i in intervals]
-    entries = []
-    for number, interval in enumerate(intervals):
-        value = F.col(f"`{interval.column}`").cast("double")
-        entry = F.struct(
-            F.lit(number).alias("interval"), _bin(value, interval).alias("bin"), value.alias("v")
-        )
-        entries.append(F.when(inside[number], entry))
-    candidates = df.filter(reduce(lambda a, b: a | b, inside))
-    hits = candidates.select(
-        F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")
-    ).select("e.*")
     bins = (
-        hits.groupBy("interval", "bin")
+        _hits(df, intervals)
+        .groupBy(F.col("interval").cast("int").alias("interval"), "bin")
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
         .collect()  # at most BINS rows per interval
     )
